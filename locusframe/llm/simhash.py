@@ -89,7 +89,7 @@ def bit_sliced_links(fp: np.ndarray, group: np.ndarray, radius: int, most: int =
     n = len(fp)
     width = -(-n // 64)
     bits = np.unpackbits(np.concatenate([fp, np.zeros(width * 64 - n, _U)]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    planes = np.packbits(bits.reshape(width, 64, 64).transpose(2, 0, 1), axis=2, bitorder="little").view(_U)[:, :, 0]
+    planes = np.ascontiguousarray(np.packbits(bits.reshape(width, 64, 64).transpose(2, 0, 1), axis=2, bitorder="little")).view(_U)[:, :, 0]
     start = np.maximum.accumulate(np.where(np.concatenate([[True], group[1:] != group[:-1]]), np.arange(n), 0))
     lo = start // 64
     counts = np.arange(n) // 64 - lo + 1  # a query meets the blocks from its group's start up to itself
