@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locusframe.llm import mixing
+from locusframe.llm import mixing, pii
 from locusframe.llm.fingerprint import edits
 from locusframe.llm.quality import assess
 from locusframe.llm.rlz import remove_repeats
@@ -21,6 +21,10 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(documents(spark, sf_dir))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir), digest=True)
 
@@ -37,5 +41,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op3_source_mixing, op6_substring_dedup, op8_simhash_near_dedup, op9_suffix_array_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op3_source_mixing, op4_pii, op6_substring_dedup, op8_simhash_near_dedup, op9_suffix_array_dedup, op10_quality_rules)}
 ORACLES: dict[str, str] = {"op3_source_mixing": mixing.ORACLE}
