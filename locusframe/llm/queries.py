@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locusframe.llm import mixing, pii
+from locusframe.llm import language, mixing, pii, toxicity
 from locusframe.llm.fingerprint import edits
 from locusframe.llm.quality import assess
 from locusframe.llm.rlz import remove_repeats
@@ -17,6 +17,11 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edits(documents(spark, sf_dir))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.assess(documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted", "evidence", "neighbours", "nearest")
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -25,6 +30,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(documents(spark, sf_dir))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir), digest=True)
 
@@ -41,5 +50,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op3_source_mixing, op4_pii, op6_substring_dedup, op8_simhash_near_dedup, op9_suffix_array_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op2_toxicity, op3_source_mixing, op4_pii, op5_language_id, op6_substring_dedup, op8_simhash_near_dedup, op9_suffix_array_dedup, op10_quality_rules)}
 ORACLES: dict[str, str] = {"op3_source_mixing": mixing.ORACLE}
