@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locusframe.llm import language, mixing, pii, toxicity
+from locusframe.llm import language, mixing, pieces, pii, toxicity
 from locusframe.llm.fingerprint import edits
 from locusframe.llm.quality import assess
 from locusframe.llm.rlz import remove_repeats
@@ -38,6 +38,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir), digest=True)
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(documents(spark, sf_dir), pieces.Pieces.load())
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(documents(spark, sf_dir))
 
@@ -50,5 +54,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op2_toxicity, op3_source_mixing, op4_pii, op5_language_id, op6_substring_dedup, op8_simhash_near_dedup, op9_suffix_array_dedup, op10_quality_rules)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+_ALL = (
+    op1_document_fingerprints,
+    op2_toxicity,
+    op3_source_mixing,
+    op4_pii,
+    op5_language_id,
+    op6_substring_dedup,
+    op7_sentencepiece,
+    op8_simhash_near_dedup,
+    op9_suffix_array_dedup,
+    op10_quality_rules,
+    pipeline,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {"op3_source_mixing": mixing.ORACLE}
