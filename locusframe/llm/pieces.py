@@ -103,7 +103,7 @@ def merge(word: str, table: dict[str, tuple[float, int]], byte_ids: list[int]) -
 
 
 def edges(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """word, edges: the pieces (start, len, id, score) that stand in each word of column `word`."""
+    """word, edges: a map from (start * 1024 + length) to (score, id) of the pieces that stand in each word of column `word`."""
     spark = words.sparkSession
     rows = [(pieces.names[i], i, pieces.scores[i]) for i in sorted(pieces.plain)]
     table = spark.createDataFrame(rows, "piece string, id int, score double")
@@ -114,18 +114,18 @@ def edges(words: DataFrame, pieces: Pieces) -> DataFrame:
     subs = words.select("word", F.explode(parts).alias("e")).select("word", "e.start", "e.len", F.substring("word", F.col("e.start") + 1, F.col("e.len")).alias("piece"))
     # the piece table has a fixed size
     found = subs.join(F.broadcast(table), "piece", "left")
-    return found.groupBy("word").agg(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("start", "len", "id", "score"))).alias("edges"))
+    edge = F.when(F.col("id").isNotNull(), F.struct((F.col("start") * 1024 + F.col("len")).alias("key"), F.struct("score", "id").alias("value")))
+    return found.groupBy("word").agg(F.map_from_entries(F.collect_list(edge)).alias("edges"))
 
 
 def fold(word: Column, edges: Column, pieces: Pieces) -> Column:
     """array<int>: the word's pieces, from its edges."""
     n = F.char_length(word)
     place = lambda start, size: start * 1024 + size
-    by = F.map_from_entries(F.transform(edges, lambda e: F.struct(place(e["start"], e["len"]), F.struct(e["score"], e["id"]))))
     alone = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(i.alias("start"), F.lit(1).alias("len")))
 
     def step(acc: Column, _: Column) -> Column:
-        pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1))), lambda i: F.struct(F.try_element_at(by, place(F.element_at(acc, i)["start"], F.element_at(acc, i)["len"] + F.coalesce(F.try_element_at(acc, i + 1)["len"], F.lit(0))))["score"].alias("score"), (-i).alias("at")))
+        pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1))), lambda i: F.struct(F.try_element_at(edges, place(F.element_at(acc, i)["start"], F.element_at(acc, i)["len"] + F.coalesce(F.try_element_at(acc, i + 1)["len"], F.lit(0))))["score"].alias("score"), (-i).alias("at")))
         best = F.array_max(F.filter(pairs, lambda p: p["score"].isNotNull()))
         at = -best["at"]
         joined = F.struct(F.element_at(acc, at)["start"].alias("start"), (F.element_at(acc, at)["len"] + F.element_at(acc, at + 1)["len"]).alias("len"))
@@ -137,7 +137,7 @@ def fold(word: Column, edges: Column, pieces: Pieces) -> Column:
         def one(s: Column) -> Column:
             raw = F.hex(F.encode(F.substring(word, s["start"] + 1, s["len"]), "UTF-8"))
             spelled = F.transform(F.sequence(F.lit(1), F.length(raw), F.lit(2)), lambda k: F.element_at(bytes_of, F.conv(F.substring(raw, k, F.lit(2)), 16, 10).cast("int") + 1))
-            known = F.try_element_at(by, place(s["start"], s["len"]))["id"]
+            known = F.try_element_at(edges, place(s["start"], s["len"]))["id"]
             return F.when(known.isNotNull(), F.array(known)).otherwise(spelled)
 
         return F.flatten(F.transform(segments, one))
@@ -187,12 +187,12 @@ def _encoded(docs: DataFrame, pieces: Pieces, dictionary: int):
     return context.broadcast(table), context.broadcast(pieces)
 
 
-def encode(docs: DataFrame, pieces: Pieces, dictionary: int = 1 << 16, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode(docs: DataFrame, pieces: Pieces, dictionary: int = 1 << 15, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The named columns of docs and ids (array<int>)."""
     return _over(docs, pieces, dictionary, columns, digest=False)
 
 
-def digests(docs: DataFrame, pieces: Pieces, dictionary: int = 1 << 16) -> DataFrame:
+def digests(docs: DataFrame, pieces: Pieces, dictionary: int = 1 << 15) -> DataFrame:
     """doc_id, n_tokens, n_bytes (of them byte pieces), ids_sha256 (ids as little-endian 32-bit), round_trip: decoding the ids
     gives the text."""
     return _over(docs, pieces, dictionary, ("doc_id",), digest=True)
