@@ -3,8 +3,8 @@
 Rolling hashes of several n-gram lengths are sorted inside each text; every word of an n-gram found twice or more counts as
 covered, the first occurrence included. `coverage_<n>` is the share of the words' characters that duplicated n-grams of
 that length cover, `dup_line_chars` the share of characters in lines equal to an earlier line of the text. A text is kept if
-it passes the base rules (at least 50 words, at most half of them in repeated 3-word windows) and every share is within
-its limit.
+it passes the base rules (at least 50 words, at most half of them in repeated 3-word windows), every share is within its
+limit, and so is the number of markup symbols for each character in words.
 
 Defined results: null and empty texts have no words and fail the base rules; shares of a text without words are 0; other
 columns pass through `keep_good` unchanged, whatever their names.
@@ -23,6 +23,8 @@ from locusframe.llm import arrays as A
 #: Largest allowed share of characters inside duplicated n-grams, by n-gram length; and inside repeated lines.
 LIMITS = {3: 0.5, 5: 0.4, 8: 0.35, 12: 0.3}
 LINE_LIMIT = 0.3
+#: Largest allowed number of symbols for each character in words.
+SYMBOL_LIMIT = 0.05
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -89,7 +91,7 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     length = points[hi] - points[lo]
     out["dup_line_chars"] = np.bincount(row[again], length[again], minlength=rows) / np.maximum(np.bincount(row, length, minlength=rows), 1)
     out["base_failed"] = (out["n_words"] < 50) | (100 * out["n_repeat_words"] > 50 * out["n_words"])
-    within = (out["coverage"] <= np.asarray(list(LIMITS.values()))).all(1) & (out["dup_line_chars"] <= LINE_LIMIT)
+    within = (out["coverage"] <= np.asarray(list(LIMITS.values()))).all(1) & (out["dup_line_chars"] <= LINE_LIMIT) & (out["n_symbols"] <= SYMBOL_LIMIT * whole)
     out["kept"] = ~out["base_failed"] & within
     return out
 

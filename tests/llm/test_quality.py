@@ -33,12 +33,13 @@ def brute(text):
             out["n_repeat_words"] = sum(hit)
         shares.append(sum(len(w) for w, h in zip(words, hit, strict=True) if h) / max(out["word_chars"], 1))
     out["coverage"] = shares
+    out["kept"] = all(c <= limit for c, limit in zip(shares, LIMITS.values(), strict=True)) and out["dup_line_chars"] <= 0.3 and out["n_symbols"] <= 0.05 * max(out["word_chars"], 1)
     out["base_failed"] = out["n_words"] < 50 or 100 * out["n_repeat_words"] > 50 * out["n_words"]
     return out
 
 
 def rows():
-    own = [(200 + i, t, 2, "y") for i, t in enumerate(["é# ü\nx\nx\n\nx \nx", "a b c a b c", "l one\n" * 40, "日本 語\t" * 60, "\n", "a|b <c> " * 3])]
+    own = [(200 + i, t, 2, "y") for i, t in enumerate(["é# ü\nx\nx\n\nx \nx", "a b c a b c", "l one\n" * 40, "日本 語\t" * 60, "\n", "a|b <c> " * 3, " ".join(f"w{i}###" for i in range(60)), " ".join(f"word{i}" for i in range(60))])]
     return corpus(4) + own
 
 
@@ -55,7 +56,7 @@ def test_measures_match_brute_force(spark):
         for k in ("n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"):
             assert r[k] == w[k], (k, r, w)
         assert r.coverage == pytest.approx(w["coverage"]) and r.dup_line_chars == pytest.approx(w["dup_line_chars"])
-        assert not (r.kept and r.base_failed)
+        assert r.kept == (w["kept"] and not w["base_failed"])
     assert want
 
 
