@@ -43,11 +43,11 @@ def representation(sites: DataFrame, contigs: DataFrame, least: tuple[int, ...]
 
 
 def code_histogram(calls: DataFrame, codes: list[str]) -> DataFrame:
-    """sample (`pooled` for all) and a column for each code: how many calls have it, `.` if none."""
+    """sample (`pooled` for all) and a column for each code (dots in its name as _): how many calls have it, `.` if none."""
     rows = calls.select("sample", F.explode(F.split("ft", ";")).alias("code"))
     rows = rows.unionByName(rows.withColumn("sample", F.lit("pooled")))
     out = rows.groupBy("sample").pivot("code", codes).count()
-    return out.select("sample", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(".")).alias(c) for c in codes])
+    return out.select("sample", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(".")).alias(c.replace(".", "_")) for c in codes])
 
 
 def extents(rows: DataFrame, position: str = "pos") -> DataFrame:

@@ -248,7 +248,7 @@ CODES = ["PASS", "DP3", "AF0.75", "RF0.75", "isIndel"]
 
 @query(
     "a06_code_histogram",
-    f"{CALLS}, e AS (SELECT sample, unnest(string_split(ft, ';')) AS code FROM call), x AS (SELECT * FROM e UNION ALL SELECT 'pooled', code FROM e) SELECT sample, {', '.join(f"coalesce(nullif(CAST(count(*) FILTER (code = '{c}') AS VARCHAR), '0'), '.') AS \"{c}\"" for c in CODES)} FROM x GROUP BY sample",
+    f"{CALLS}, e AS (SELECT sample, unnest(string_split(ft, ';')) AS code FROM call), x AS (SELECT * FROM e UNION ALL SELECT 'pooled', code FROM e) SELECT sample, {', '.join(f"coalesce(nullif(CAST(count(*) FILTER (code = '{c}') AS VARCHAR), '0'), '.') AS {c.replace('.', '_')}" for c in CODES)} FROM x GROUP BY sample",
 )
 def a06(spark, d):
     return Q.code_histogram(B.calls(spark, d), CODES)
