@@ -1,15 +1,15 @@
 """Document fingerprints by a homomorphic multiset hash (operator 1), with DataFrame functions only.
 
 A paragraph (a line of the text) is hashed to a wide vector: IDENTITY lanes from XXH64 of the whole paragraph under
-different seeds, and SKETCH lanes that count, for each bit of a hash, how many of the paragraph's word pairs have it set. The
+different seeds, and SKETCH lanes that count, for each bit of a hash, how many of the paragraph's phrases have it set. The
 fingerprint of a text is the sum of its paragraphs' vectors, lane by lane modulo a power of two. So it does not depend on the
 order of paragraphs, and inserting or deleting a paragraph adds or subtracts its vector (`combine`). Equal multisets of
-paragraphs have equal fingerprints; the sketch lanes estimate how many word pairs two texts share.
+paragraphs have equal fingerprints; the sketch lanes estimate how many phrases two texts share.
 
 Sketch lanes are packed three to a long, 20 bits each, and a packed long is summed modulo 2^62: a lane that passes 2^20 carries
-into the next, which blurs the likeness of texts of over a million words but not the homomorphism.
+into the next, which blurs the likeness of texts of over a million phrases but not the homomorphism.
 
-Defined results: null and empty texts are one empty paragraph; two texts without word pairs are alike (1) if their
+Defined results: null and empty texts are one empty paragraph; two texts without phrases are alike (1) if their
 fingerprints are equal, else 0. Rows with one doc_id are ordered by a hash of the text; a null doc_id comes after all others.
 """
 
@@ -26,20 +26,18 @@ ONES = sum(1 << (FIELD * i) for i in range(3))
 LANE = (1 << FIELD) - 1
 WRAP = (1 << 62) - 1
 WIDE = (1 << 32) - 1
-SPACES = "[\\x20\\x09-\\x0D]+"
+PHRASE = "(?<=[es.,;:!?|%#*&$])[\\x20\\x09-\\x0D]+"
 
 
-def _pairs(paragraph: Column) -> Column:
-    """Hashes of a paragraph's word pairs; of its only word if it has one."""
-    words = F.filter(F.split(paragraph, SPACES), lambda w: w != "")
-    pairs = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(1))), F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.xxhash64(a, b))
-    return F.when(F.size(words) > 0, pairs).otherwise(F.array().cast("array<bigint>"))
+def _phrases(paragraph: Column) -> Column:
+    """Hashes of a paragraph's phrases: words up to one that ends in e, s or a mark, so that a cut depends on its place only."""
+    return F.transform(F.filter(F.split(paragraph, PHRASE), lambda x: x != ""), lambda x: F.xxhash64(x))
 
 
 def fingerprint(text: Column) -> Column:
-    """array<long>: IDENTITY sums modulo 2^32, the number of word pairs, PACKED sums modulo 2^62."""
+    """array<long>: IDENTITY sums modulo 2^32, the number of phrases, PACKED sums modulo 2^62."""
     paragraphs = F.split(F.coalesce(text, F.lit("")), "\n")
-    pairs = F.flatten(F.transform(paragraphs, _pairs))
+    phrases = F.flatten(F.transform(paragraphs, _phrases))
 
     def summed(i: int) -> Column:
         return F.aggregate(paragraphs, F.lit(0).cast("long"), lambda acc, p: (acc + F.xxhash64(p, F.lit(i)).bitwiseAND(F.lit(WIDE))).bitwiseAND(F.lit(WIDE)))
@@ -51,8 +49,8 @@ def fingerprint(text: Column) -> Column:
 
     names = [f"s{i}" for i in range(PACKED)]
     zero = F.struct(*[F.lit(0).cast("long").alias(x) for x in names])
-    sums = F.aggregate(pairs, zero, lambda acc, h: F.struct(*[(acc[x] + y).bitwiseAND(F.lit(WRAP)).alias(x) for x, y in zip(names, lanes(h), strict=True)]), lambda acc: F.array(*[acc[x] for x in names]))
-    return F.concat(F.array(*identity, F.size(pairs).cast("long")), sums)
+    sums = F.aggregate(phrases, zero, lambda acc, h: F.struct(*[(acc[x] + y).bitwiseAND(F.lit(WRAP)).alias(x) for x, y in zip(names, lanes(h), strict=True)]), lambda acc: F.array(*[acc[x] for x in names]))
+    return F.concat(F.array(*identity, F.size(phrases).cast("long")), sums)
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -67,7 +65,7 @@ def text_of(fp: Column) -> Column:
 
 
 def _signed(fp: Column) -> Column:
-    """The sketch: for each bit, the pairs that have it set less those that do not."""
+    """The sketch: for each bit, the phrases that have it set less those that do not."""
     packed = F.slice(fp, IDENTITY + 2, PACKED)
     lanes = F.flatten(F.transform(packed, lambda x: F.array(*[F.shiftright(x, FIELD * j).bitwiseAND(F.lit(LANE)) for j in range(3)])))
     return F.transform(lanes, lambda x: (2 * x - F.element_at(fp, IDENTITY + 1)).cast("double"))
@@ -78,7 +76,7 @@ def _square(x: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """1 for equal fingerprints; else 2<x,y> / (<x,x> + <y,y>) of the texts' pair counts, as the sketches estimate it."""
+    """1 for equal fingerprints; else 2<x,y> / (<x,x> + <y,y>) of the texts' phrase counts, as the sketches estimate it."""
     x, y = _signed(a), _signed(b)
     near = 1 - F.try_divide(_square(F.zip_with(x, y, lambda u, v: u - v)), _square(x) + _square(y))
     return F.when(a == b, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(near, F.lit(0.0)))))
