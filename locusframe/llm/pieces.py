@@ -70,9 +70,29 @@ class Pieces:
         return out
 
 
+def _merge_short(word: str, table: dict[str, tuple[float, int]], byte_ids: list[int]) -> list[int]:
+    parts, get = list(word), table.get
+    while len(parts) > 1:
+        best, at = None, -1
+        for i in range(len(parts) - 1):
+            found = get(parts[i] + parts[i + 1])
+            if found is not None and (best is None or found[0] > best):
+                best, at = found[0], i
+        if at < 0:
+            break
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    ids: list[int] = []
+    for part in parts:
+        found = get(part)
+        ids += [found[1]] if found else [byte_ids[b] for b in part.encode()]
+    return ids
+
+
 def merge(word: str, table: dict[str, tuple[float, int]], byte_ids: list[int]) -> list[int]:
     """The word's pieces: neighbours merge by the best score, the leftmost of equals."""
     n = len(word)
+    if n <= 20:
+        return _merge_short(word, table, byte_ids)
     end, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
     heap: list[tuple[float, int, int]] = []
 
@@ -187,12 +207,12 @@ def _encoded(docs: DataFrame, pieces: Pieces, dictionary: int):
     return context.broadcast(table), context.broadcast(pieces)
 
 
-def encode(docs: DataFrame, pieces: Pieces, dictionary: int = 1 << 15, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode(docs: DataFrame, pieces: Pieces, dictionary: int = 1 << 12, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The named columns of docs and ids (array<int>)."""
     return _over(docs, pieces, dictionary, columns, digest=False)
 
 
-def digests(docs: DataFrame, pieces: Pieces, dictionary: int = 1 << 15) -> DataFrame:
+def digests(docs: DataFrame, pieces: Pieces, dictionary: int = 1 << 12) -> DataFrame:
     """doc_id, n_tokens, n_bytes (of them byte pieces), ids_sha256 (ids as little-endian 32-bit), round_trip: decoding the ids
     gives the text."""
     return _over(docs, pieces, dictionary, ("doc_id",), digest=True)
