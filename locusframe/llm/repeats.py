@@ -90,13 +90,23 @@ def repeated_runs(docs: DataFrame, tokens: Tokens) -> DataFrame:
     """The runs whose anchor occurs more than once; mixed: under that anchor stand different spans."""
     runs = written(find_runs(docs, tokens), "runs")
     anchors = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.min("span").alias("a"), F.max("span").alias("b")).filter("c > 1").select("anchor", (F.col("a") != F.col("b")).alias("mixed"))
-    return written(runs.join(anchors, "anchor"), "repeated-runs")
+    # written, so that both sides of the join are plain exchanges, of which Spark splits the large partitions of hot anchors
+    return written(runs.join(written(anchors, "anchors"), "anchor"), "repeated-runs")
 
 
-def mixed_spans(docs: DataFrame, runs: DataFrame, task: Callable, schema: str) -> DataFrame:
-    """task over rows (text, list of (lo, n, anchor, span)): one representative for each span under a mixed anchor."""
+def mixed_spans(docs: DataFrame, runs: DataFrame, task: Callable, schema: str, block: int | None = None) -> DataFrame:
+    """task over rows (text, list of (lo, n, anchor, span)): one representative for each span under a mixed anchor.
+
+    block: the list's structs also have `large`, whether the anchor has more spans than that.
+    """
     one = runs.filter("mixed").groupBy("anchor", "span").agg(F.min(F.struct("rid", "lo", "n")).alias("at"))
-    wanted = one.groupBy(F.col("at.rid").alias("rid")).agg(F.collect_list(F.struct("at.lo", "at.n", "anchor", "span")).alias("spans"))
+    fields = [F.col("at.lo").alias("lo"), F.col("at.n").alias("n"), "anchor", "span"]
+    if block is not None:
+        one = written(one, "one-of-each")
+        large = written(one.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > block).select("anchor", F.lit(True).alias("large")), "large")
+        one = one.join(large, "anchor", "left")
+        fields.append(F.coalesce("large", F.lit(False)).alias("large"))
+    wanted = one.groupBy(F.col("at.rid").alias("rid")).agg(F.collect_list(F.struct(*fields)).alias("spans"))
     return keyed(docs).select("rid", "text").join(wanted, "rid").select("text", "spans").mapInArrow(task, schema)
 
 
@@ -113,7 +123,7 @@ def covered(docs: DataFrame, runs: DataFrame, found: DataFrame, finish: Callable
     spans = runs.groupBy("anchor", "span").agg(F.count(F.lit(1)).alias("c"), F.first("mixed").alias("mixed"))
     spans = spans.filter("c > 1 or mixed").join(found, ["anchor", "span"], "left")
     spans = spans.select("anchor", "span", F.when(F.col("c") > 1, F.lit(None)).otherwise(F.coalesce("windows", F.array().cast("array<struct<lo:int,n:int>>"))).alias("windows"))
-    hits = runs.join(spans, ["anchor", "span"]).select(
+    hits = runs.join(written(spans, "spans-found"), ["anchor", "span"]).select(
         "rid",
         F.when(F.col("windows").isNull(), F.array(F.struct("lo", "n"))).otherwise(F.transform("windows", lambda w: F.struct((F.col("lo") + w["lo"]).alias("lo"), w["n"].alias("n")))).alias("windows"),
     )
@@ -121,6 +131,13 @@ def covered(docs: DataFrame, runs: DataFrame, found: DataFrame, finish: Callable
     return keyed(docs).join(hits, "rid", "left").select("doc_id", "text", F.coalesce("windows", F.array().cast("array<struct<lo:int,n:int>>")).alias("windows")).mapInArrow(finish, schema)
 
 
+def windows_found(index: DataFrame) -> DataFrame:
+    """anchor, span, windows from an index of windows (anchor, span, j, w): those that stand in two different spans."""
+    shared = index.groupBy("anchor", "w").agg(F.min("span").alias("a"), F.max("span").alias("b")).filter("a != b").select("anchor", "w")
+    hits = index.join(written(shared, "shared"), ["anchor", "w"]).select("anchor", "span", "j").distinct()
+    return hits.groupBy("anchor", "span").agg(F.collect_list(F.struct(F.col("j").alias("lo"), F.lit(1).alias("n"))).alias("windows"))
+
+
 def cover_mask(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """True where some [start, end) covers a token."""
     edge = np.zeros(n + 1, np.int32)

@@ -89,7 +89,6 @@ def remove_repeats(docs: DataFrame, window: int = 35, anchor: int = 10, digest:
     tokens = R.Tokens("words", window, min(anchor, window))
     runs = R.repeated_runs(docs, tokens)
     index = written(R.mixed_spans(docs, runs, block_windows(tokens), "anchor long, span long, j int, w long"), "block-windows")
-    shared = index.groupBy("anchor", "w").agg(F.min("span").alias("a"), F.max("span").alias("b")).filter("a != b").select("anchor", "w")
-    found = index.join(shared, ["anchor", "w"]).select("anchor", "span", "j").distinct().groupBy("anchor", "span").agg(F.collect_list(F.struct(F.col("j").alias("lo"), F.lit(1).alias("n"))).alias("windows"))
+    found = R.windows_found(index)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" if digest else RESULT
     return R.covered(docs, runs, found, parse(tokens, digest), schema)

@@ -136,11 +136,11 @@ def span_bytes(tokens: R.Tokens):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, (lo, n, anchor, span) = R.spans_of(batch.column(1))
+            row, (lo, n, anchor, span, large) = R.spans_of(batch.column(1))
             data, offsets = A.text_bytes(batch.column(0))
             begin = offsets[row] + lo
             raw = [data[a:b].tobytes() for a, b in zip(begin.tolist(), (begin + n + tokens.window - 1).tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(span), pa.array(raw, pa.binary())], ["anchor", "span", "raw"])
+            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(span), pa.array(raw, pa.binary()), pa.array(large)], ["anchor", "span", "raw", "large"])
 
     return task
 
@@ -213,12 +213,9 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 400, anchor: int = 160,
     """doc_id, n_bytes, n_removed, n_spans, kept (binary); digest: kept_sha256 for the last."""
     tokens = R.Tokens("bytes", window, min(anchor, window))
     runs = R.repeated_runs(docs, tokens)
-    raw = written(R.mixed_spans(docs, runs, span_bytes(tokens), "anchor long, span long, raw binary"), "spans")
-    sizes = raw.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"))
-    blocks = raw.join(sizes.filter(F.col("c") <= block_spans).select("anchor"), "anchor").groupBy("anchor").agg(F.collect_list(F.struct("span", "raw")).alias("block"))
+    raw = written(R.mixed_spans(docs, runs, span_bytes(tokens), "anchor long, span long, raw binary, large boolean", block_spans), "spans")
+    blocks = raw.filter("not large").groupBy("anchor").agg(F.collect_list(F.struct("span", "raw")).alias("block"))
     small = blocks.mapInArrow(sort_blocks(window), FOUND).select("anchor", "span", F.transform("lo", lambda x: F.struct(x.alias("lo"), F.lit(1).alias("n"))).alias("windows"))
-    index = written(raw.join(sizes.filter(F.col("c") > block_spans).select("anchor"), "anchor", "left_semi").select("anchor", "span", "raw").mapInArrow(string_keys(window), "anchor long, span long, j int, w long"), "string-keys")
-    shared = index.groupBy("anchor", "w").agg(F.min("span").alias("a"), F.max("span").alias("b")).filter("a != b").select("anchor", "w")
-    large = index.join(shared, ["anchor", "w"]).select("anchor", "span", "j").distinct().groupBy("anchor", "span").agg(F.collect_list(F.struct(F.col("j").alias("lo"), F.lit(1).alias("n"))).alias("windows"))
+    index = written(raw.filter("large").select("anchor", "span", "raw").mapInArrow(string_keys(window), "anchor long, span long, j int, w long"), "string-keys")
     schema = f"doc_id long, n_bytes long, n_removed long, n_spans long, {'kept_sha256 string' if digest else 'kept binary'}"
-    return R.covered(docs, runs, small.unionByName(large), cut(tokens, digest), schema)
+    return R.covered(docs, runs, small.unionByName(R.windows_found(index)), cut(tokens, digest), schema)
