@@ -110,15 +110,21 @@ def revealing_terms(docs: DataFrame, lines: DataFrame, support: int = 3, disclos
     # what the spans themselves consist of is no term
     both = wanted.select("entity", F.explode(_terms(F.regexp_replace("line", "|".join((EMAIL, PHONE, CARD)), " "))).alias("term"))
     both = both.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= support)
-    both = written(both, "pairs")
     every = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line"))
+    total = every.agg(F.approx_count_distinct(F.xxhash64("line"), 0.02)).first()[0]
+
+    def ratio(n_t: str) -> Column:
+        n = F.greatest(F.lit(total), F.col(n_t), F.col("n_e") + 1).cast("double")
+        return F.log(F.col("n_et") * n / (F.col("n_e") * F.col(n_t))) / F.log(n / F.col("n_e"))
+
+    # the lines with entities alone already bound a term's count from below, which settles all frequent terms
+    here = contexts.dropDuplicates(["c"]).select("c", F.explode(_terms(F.col("line"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_here"))
+    both = both.join(often, "entity").join(here, "term").filter(ratio("n_here") >= disclosure)
+    both = written(both.select("entity", "term", "n_et", "n_e"), "pairs")
     candidates = written(both.select("term").distinct(), "candidates")
     counts = every.select(F.xxhash64("line").alias("c"), F.explode(_terms(F.col("line"))).alias("term")).join(candidates, "term", "left_semi").groupBy("term").agg(F.count_distinct("c").alias("n_t"))
-    lines_in_all = every.agg(F.approx_count_distinct(F.xxhash64("line"), 0.02)).first()[0]
-    scored = both.join(often, "entity").join(counts, "term")
-    n = F.greatest(F.lit(lines_in_all), F.col("n_t"), F.col("n_e") + 1).cast("double")
-    ratio = F.log(F.col("n_et") * n / (F.col("n_e") * F.col("n_t"))) / F.log(n / F.col("n_e"))
-    return scored.select("entity", "term", ratio.alias("ratio")).filter(F.col("ratio") >= disclosure)
+    scored = both.join(counts, "term")
+    return scored.select("entity", "term", ratio("n_t").alias("ratio")).filter(F.col("ratio") >= disclosure)
 
 
 def term_spans(docs: DataFrame, base: DataFrame, support: int = 3, disclosure: float = 0.9) -> DataFrame:
