@@ -178,7 +178,7 @@ def frequent_words(docs: DataFrame, most: int) -> DataFrame:
     """word: the most frequent words of all texts, at most so many and not too long."""
     words = docs.select(F.explode(F.regexp_extract_all(normalised(docs["text"]), F.lit(UNIT), F.lit(0))).alias("word"))
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.char_length("word") <= LONGEST_WORD)
-    return counts.orderBy(F.desc("n"), "word").limit(most).select("word")
+    return counts.orderBy(F.desc("n"), "word").limit(most).select("word").repartition("word")
 
 
 class Memory(dict):
