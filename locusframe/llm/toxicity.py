@@ -33,21 +33,51 @@ PREFIXES = (3, 4, 5, 6)
 #: A term found so often is a further term, "<term> x<times>": a cosine alone does not see how often all terms are there.
 LEVELS = (2, 3, 5)
 BLOCK = 32
+#: Blocks that a query meets at a time.
+STEP = 8
 
 
-def terms(text: str | None, wanted: dict[str, int] | None = None) -> Counter:
-    """Counts of the text's terms; of those wanted only, by their number."""
-    words = Counter(WORD.findall((text or "").lower()))
-    out: Counter = Counter()
-    for word, n in words.items():
-        for term in (word, *[f"{word[:k]}*" for k in PREFIXES if len(word) > k]):
-            if wanted is None or term in wanted:
-                out[term] += n
-    for term, n in list(out.items()):
+def _forms(word: str) -> tuple[str, ...]:
+    return (word, *[f"{word[:k]}*" for k in PREFIXES if len(word) > k])
+
+
+def _with_levels(found: Counter) -> Counter:
+    out = Counter(found)
+    for term, n in found.items():
         for level in LEVELS:
             if n >= level:
                 out[f"{term} x{level}"] = 1
-    return out if wanted is None else Counter({wanted[t]: n for t, n in out.items() if t in wanted})
+    return out
+
+
+def terms(text: str | None) -> Counter:
+    """Counts of the text's terms."""
+    found: Counter = Counter()
+    for word, n in Counter(WORD.findall((text or "").lower())).items():
+        for term in _forms(word):
+            found[term] += n
+    return _with_levels(found)
+
+
+class Finder:
+    """Counts of a vocabulary's terms in texts, by their number. Remembers which words hold none, so most cost one look-up."""
+
+    def __init__(self, wanted: dict[str, int]):
+        self.wanted, self.plain = wanted, {t for t in wanted if " x" not in t}
+        self.known: dict[str, tuple[str, ...]] = {}
+
+    def __call__(self, text: str | None) -> Counter:
+        found: Counter = Counter()
+        known = self.known
+        for word in WORD.findall((text or "").lower()):
+            hits = known.get(word)
+            if hits is None:
+                if len(known) > 300_000:
+                    known.clear()
+                hits = known[word] = tuple(t for t in _forms(word) if t in self.plain)
+            for term in hits:
+                found[term] += 1
+        return Counter({self.wanted[t]: n for t, n in _with_levels(found).items() if t in self.wanted})
 
 
 @dataclass
@@ -57,7 +87,7 @@ class Index:
     vectors: list[dict[int, float]] = field(default_factory=list)
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))  # votes of each example for label 1
     clean: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    postings: list[list[tuple[np.ndarray, np.ndarray]]] = field(default_factory=list)  # term -> block -> (examples, weights)
+    postings: np.ndarray = field(default_factory=lambda: np.zeros((0, 0, BLOCK)))  # term x block x place: weight
     most: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # term x block: largest weight
     k: int = 15
     slope: float = 1.0
@@ -72,17 +102,11 @@ class Index:
 
     def build(self) -> None:
         blocks = -(-len(self.vectors) // BLOCK)
-        held: dict[tuple[int, int], tuple[list[int], list[float]]] = {}
+        self.postings = np.zeros((len(self.vocabulary), blocks, BLOCK))
         for i, vector in enumerate(self.vectors):
             for t, x in vector.items():
-                rows, weights = held.setdefault((t, i // BLOCK), ([], []))
-                rows.append(i % BLOCK)
-                weights.append(x)
-        self.most = np.zeros((len(self.vocabulary), blocks))
-        self.postings = [[None] * blocks for _ in self.vocabulary]
-        for (t, b), (rows, weights) in held.items():
-            self.postings[t][b] = (np.array(rows), np.array(weights))
-            self.most[t, b] = max(weights)
+                self.postings[t, i // BLOCK, i % BLOCK] = x
+        self.most = self.postings.max(2)
 
     def nearest(self, vector: dict[int, float], without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with any term in common, best first, ties by number."""
@@ -90,16 +114,16 @@ class Index:
         bound = xs @ self.most[ts]
         order = np.argsort(-bound, kind="stable")
         rows, cosines, least = np.zeros(0, int), np.zeros(0), 0.0
-        for b in order.tolist():
-            if bound[b] <= 0 or bound[b] < least - 1e-12:
+        for at in range(0, len(order), STEP):
+            step = order[at : at + STEP]
+            step = step[(bound[step] > 0) & (bound[step] >= least - 1e-12)]
+            if not len(step):
                 break
-            score = np.zeros(BLOCK)
-            for t, x in zip(ts, xs, strict=True):
-                if (p := self.postings[t][b]) is not None:
-                    score[p[0]] += x * p[1]
-            at = np.flatnonzero(score)
-            at = at[at + b * BLOCK != without]
-            rows, cosines = np.concatenate([rows, at + b * BLOCK]), np.concatenate([cosines, score[at]])
+            score = np.tensordot(xs, self.postings[np.ix_(ts, step)], 1).ravel()
+            found = np.flatnonzero(score)
+            number = step[found // BLOCK] * BLOCK + found % BLOCK
+            other = number != without
+            rows, cosines = np.concatenate([rows, number[other]]), np.concatenate([cosines, score[found[other]]])
             if len(rows) > self.k:
                 best = np.lexsort((rows, -cosines))[: self.k]
                 rows, cosines = rows[best], cosines[best]
@@ -168,12 +192,12 @@ def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[i
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shared.value
+        wanted, find = shared.value, Finder(shared.value)
         total, df = 0, np.zeros(len(wanted), np.int64)
         for batch in batches:
             for text in batch.column(0):
                 total += 1
-                df[list(terms(text.as_py(), wanted))] += 1
+                df[list(find(text.as_py()))] += 1
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(wanted))), pa.array(np.concatenate([[total], df]))], ["term", "df"])
 
     out = np.zeros(len(vocabulary) + 1, np.int64)
@@ -233,12 +257,12 @@ def score(docs: DataFrame, index: Index, threshold: float = 0.3) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        names = list(index.vocabulary)
+        names, find = list(index.vocabulary), Finder(index.vocabulary)
         known: dict[tuple, tuple] = {}
         for batch in batches:
             out = []
             for text in batch.column(1):
-                counts = terms(text.as_py(), index.vocabulary)
+                counts = find(text.as_py())
                 key = tuple(sorted(counts.items()))
                 if key not in known:
                     if len(known) > 20_000:
