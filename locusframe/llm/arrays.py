@@ -14,8 +14,10 @@ import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 21
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Polynomial hashes are taken modulo this prime. Modulo 2^64 every base lets Thue-Morse strings collide.
+PRIME = (1 << 61) - 1
+_BASE = 0x9E3779B97F4A7C15 % PRIME
+_INVERSE = pow(_BASE, -1, PRIME)
 _powers = np.ones(1, _U)
 _inverses = np.ones(1, _U)
 
@@ -52,38 +54,82 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-BYTE_VALUES = mix(np.arange(1, 257, dtype=_U))
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME."""
+    x = (x & _U(PRIME)) + (x >> _U(61))
+    return np.minimum(x, x - _U(PRIME))  # what is below 0 wraps and is the larger
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME of numbers below it, by halves of 31 bits."""
+    low = _U((1 << 31) - 1)
+    a1, a0, b1, b0 = a >> _U(31), a & low, b >> _U(31), b & low
+    middle = a1 * b0 + a0 * b1
+    return _reduced(((a1 * b1) << _U(1)) + (middle >> _U(30)) + ((middle & _U((1 << 30) - 1)) << _U(31)) + a0 * b0)
+
+
+def _stretches(n: int) -> Iterator[slice]:
+    """Stretches of an array that stay in a CPU's cache."""
+    return (slice(at, min(at + (1 << 13), n)) for at in range(0, n, 1 << 13))
+
+
+BYTE_VALUES = _reduced(mix(np.arange(1, 257, dtype=_U)))
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
 
 
+def _powers_of(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, _U)
+    have = 1
+    while have < n:
+        more = min(have, n - have)
+        out[have : have + more] = _product(out[:more], _U(pow(base, have, PRIME)))
+        have += more
+    return out
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverses
     if len(_powers) < n:
         n = max(n, CHUNK_BYTES + 1)
-        for base, name in ((_BASE, "_powers"), (_INVERSE, "_inverses")):
-            x = np.full(n, _U(base), _U)
-            x[0] = 1
-            globals()[name] = np.cumprod(x, dtype=_U)
+        _powers, _inverses = _powers_of(_BASE, n), _powers_of(_INVERSE, n)
     return _powers, _inverses
 
 
 def prefix(values: np.ndarray) -> np.ndarray:
-    """Prefix sums of a polynomial hash; see span_hash."""
-    out = np.zeros(len(values) + 1, _U)
-    np.cumsum(values * powers(len(values) + 1)[0][: len(values)], dtype=_U, out=out[1:])
+    """Prefix sums of a polynomial hash modulo PRIME; see span_hash."""
+    n = len(values)
+    power = powers(n + 1)[0]
+    out = np.zeros(n + 1, _U)
+    for part in _stretches(n):
+        x = _product(_reduced(values[part]), power[part])
+        high, low = np.cumsum(x >> _U(31), dtype=_U), np.cumsum(x & _U((1 << 31) - 1), dtype=_U)
+        total = (high >> _U(30)) + ((high & _U((1 << 30) - 1)) << _U(31)) + low + out[part.start]
+        out[part.start + 1 : part.stop + 1] = _reduced(total)
     return out
 
 
+def _hashed(upper: np.ndarray, lower: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+    gap = upper - lower
+    return mix(_product(np.minimum(gap, gap + _U(PRIME)), inverse))
+
+
 def span_hash(sums: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Hash of values[lo:hi], wherever they stand."""
-    return mix((sums[hi] - sums[lo]) * powers(len(sums))[1][lo])
+    """Hash of values[lo:hi], wherever they stand. Two different spans of n values agree with a chance of about n / 2^61."""
+    inverse = powers(len(sums))[1]
+    out = np.empty(len(lo), _U)
+    for part in _stretches(len(lo)):
+        out[part] = _hashed(sums[hi[part]], sums[lo[part]], inverse[lo[part]])
+    return out
 
 
 def window_hash(sums: np.ndarray, width: int) -> np.ndarray:
     """span_hash of every window of `width` values."""
-    n = len(sums) - width
-    return mix((sums[width:] - sums[:n]) * powers(len(sums))[1][:n]) if n > 0 else np.zeros(0, _U)
+    inverse = powers(len(sums))[1]
+    out = np.empty(max(len(sums) - width, 0), _U)
+    for part in _stretches(len(out)):
+        out[part] = _hashed(sums[part.start + width : part.stop + width], sums[part], inverse[part])
+    return out
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

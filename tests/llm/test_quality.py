@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 
 from locusframe.llm.quality import LIMITS, assess, keep_good
-from test_repeats import corpus
+from test_repeats import corpus, thue_morse
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -65,3 +65,13 @@ def test_keep_good_keeps_columns(spark):
     out = keep_good(df).collect()
     assert [r.doc_id for r in out] == [2] and out[0].kept == "b"
     assert keep_good(df.limit(0)).count() == 0 and assess(df.limit(0)).count() == 0
+
+
+def test_thue_morse_and_very_long(spark):
+    one, other = thue_morse()
+    text = f"{one} x y {one}x\n{other} x y {other}x\n{one}\n{other}"
+    long = " ".join(f"w{i}" for i in range(150_000)) + "\nsame line here\nsame line here"
+    rows = [(1, text, "a"), (2, long, "a"), (None, long, "b"), (None, long, "b")]
+    got = sorted(assess(spark.createDataFrame(rows, "doc_id long, text string, kept string")).collect(), key=lambda r: r.n_words)
+    assert (got[0].n_dup_lines, got[0].n_repeat_words) == (0, 0)
+    assert all((r.n_words, r.n_dup_lines, r.n_repeat_words) == (150_006, 1, 6) for r in got[1:]) and len(got) == 4

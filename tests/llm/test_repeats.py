@@ -80,3 +80,29 @@ def test_suffix_array_matches_sorting():
 
 def test_repeated_starts():
     assert [x.tolist() for x in repeated_starts([b"abcabd", b"xabc"], 3)] == [[0], [1]]
+
+
+def thue_morse():
+    """Two texts of 1,024 letters that agree under every polynomial hash modulo 2^64."""
+    one = "a"
+    while len(one) < 1024:
+        one += one.translate(str.maketrans("ab", "ba"))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_thue_morse_texts_are_told_apart(spark):
+    one, other = thue_morse()
+    rest = " ".join(f"w{i}" for i in range(34))
+    rows = [(1, f"{rest} {one}", 1, "x"), (2, f"{rest} {other}", 1, "x")]
+    assert {r.n_removed for r in remove_repeats(spark.createDataFrame(rows, SCHEMA), digest=True).collect()} == {0}
+    rows = [(1, one, 1, "x"), (2, other, 1, "x")]
+    assert {r.n_removed for r in remove_repeated_bytes(spark.createDataFrame(rows, SCHEMA), window=1024, anchor=160).collect()} == {0}
+
+
+def test_very_long_text(spark):
+    words = [f"w{(i * 7919) % 90001}" for i in range(120_000)]
+    words[100_000:100_060] = words[5:65]
+    got = remove_repeats(spark.createDataFrame([(1, " ".join(words), 1, "x")], SCHEMA), digest=True).first()
+    assert got.n_words == 120_000 and got.n_removed >= 120
+    want = brute([(1, " ".join(words))], WORD.findall, 35)[0]
+    assert got.n_removed == sum(want[2])
