@@ -1,18 +1,24 @@
 """PII by information-theoretic sanitisation (operator 4), with DataFrame functions only.
 
 Base: emails, IP addresses, card and phone numbers by pattern and checksum. Each value found is a protected entity. The
-method adds the terms that would reveal one: over the contexts (lines) of the corpus, a term t tells -log p(e) of an entity e
-in the measure of the pointwise mutual information log p(e, t) / (p(e) p(t)); their ratio is 1 if t only ever stands beside
-e. Terms whose ratio reaches `disclosure`, seen with the entity in at least `support` different contexts, are generalised
-wherever they stand beside that entity. Contexts are counted once each, however often copies repeat them.
+method adds the terms that would reveal one. Over the documents of the corpus, n(t) hold a term t, and n(e, t) hold it beside
+an entity e: in one line (of a line over CONTEXT characters, in one stretch that ends before white space). Seeing t tells
+PMI(e, t) of the -log2 p(e) bits that naming e would, and leaves -log2 p(e | t). With p(e | t) taken as
+(n(e, t) + 1/2) / (n(t) + 1), a term that leaves at most `leftover` bits of some entity is revealing: one that only documents
+with e hold is, even if one document; one that others hold too must be rare in them. Revealing terms are generalised wherever
+they stand, in the entity's line or not, in its document or not. What a base pattern matches is no term.
+
+The terms' counts over the corpus are a plain grouped count. Where revealing terms stand is found by joining words to them:
+all words of the texts that hold entities; of the other texts, only to those terms that occur without any entity.
 
 Positions are code points. A pattern's matches come from regexp_extract_all and the gaps between them from split, so ends
-follow from running sums of lengths. Patterns start only where no match could have started earlier in a run of their
-characters (or where the last match ended) and use possessive repeats, so that long runs take linear time; what they
-match is the same.
+follow from running sums of lengths, taken CHUNK matches at a time so that texts with many matches take linear time. Patterns
+start only where no match could have started earlier in a run of their characters (or where the last match ended) and use
+possessive repeats, so that long runs take linear time; what they match is the same. No match holds a line break.
 
-Defined results: null and empty texts have no spans; spans of different kinds may overlap, and the rewritten text replaces
-their union, naming the kind that starts first; rows with equal doc_id and text get equal spans.
+Defined results: null and empty texts have no spans; base spans of different kinds may overlap; a term that begins inside a
+base span is left out; the rewritten text replaces the union of all spans, naming the kind that starts first; rows with equal
+doc_id and text get equal spans.
 """
 
 from __future__ import annotations
@@ -27,8 +33,12 @@ IP = "(?<![0-9])[0-9]++\\.[0-9]++\\.[0-9]++\\.[0-9]++"
 CARD = "[0-9](?:[\\x20-]?[0-9])++"
 PHONE = "\\+[0-9][\\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term")
-SPAN = "array<struct<start:int,end:int,kind:int,value:string>>"
+SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 TERM = "[\\p{L}\\p{N}_]{4,}"
+#: The longest context, in characters.
+CONTEXT = 2000
+_STRETCH = f"[^\\n]{{1,{CONTEXT}}}(?=[\\n\\x20\\t]|$)|[^\\n]{{{CONTEXT}}}"
+CHUNK = 256
 
 
 def _digits(value: Column) -> Column:
@@ -41,24 +51,49 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda acc, v: acc + F.when(v > 9, v - 9).otherwise(v)) % 10 == 0
 
 
+def _let(x: Column, f) -> Column:
+    """f(x) with x evaluated once: what stands in a lambda function would be evaluated at each of its calls."""
+    return F.transform(F.array(x), f)[0]
+
+
+def _scan(items: Column, kind: str, step) -> Column:
+    """Fold an array to another one: step(at, x) gives (the next at, an array of what x adds), at being an int from 0.
+
+    Arrays are copied when they grow, so the fold fills one for each CHUNK items and joins those in the end.
+    """
+    none = F.array().cast(kind)
+
+    def one(acc: Column, x: Column) -> Column:
+        at, more = step(acc["at"], x)
+        return F.struct(at.cast("int").alias("at"), F.concat(acc["out"], more).alias("out"))
+
+    def folded(held: Column) -> Column:
+        def chunk(acc: Column, begin: Column) -> Column:
+            done = lambda a: F.struct(a["at"].alias("at"), F.concat(acc["out"], F.array(a["out"])).alias("out"))
+            return F.aggregate(F.slice(held, begin + 1, F.lit(CHUNK)), F.struct(acc["at"].alias("at"), none.alias("out")), one, done)
+
+        chunks = F.when(F.size(held) > 0, F.sequence(F.lit(0), F.size(held) - 1, F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(chunks, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out")), chunk, lambda a: a["out"])
+
+    return F.flatten(_let(items, folded))
+
+
 def _matches(text: Column, pattern: str, kind: int, valid) -> Column:
-    """Every match as (start, end, kind, value), failing ones dropped."""
+    """Every match as (start, kind, end, value), failing ones dropped."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(found.alias("m"), F.slice(gaps, F.lit(1), F.size(found)).alias("g"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    pairs = _let(found, lambda m: F.arrays_zip(m.alias("m"), F.slice(gaps, F.lit(1), F.size(m)).alias("g")))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.char_length(x["g"])
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        begin = at + F.char_length(x["g"])
         end = begin + F.char_length(x["m"])
-        span = F.struct(begin.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), x["m"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+        return end, F.array(F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["m"].alias("value")))
 
-    return F.filter(F.aggregate(pairs, start, step, lambda acc: acc["out"]), lambda s: valid(s["value"]))
+    return F.filter(_scan(pairs, SPAN, step), lambda s: valid(s["value"]))
 
 
 def base_spans(text: Column) -> Column:
-    """array<struct<start, end, kind, value>> of a text that is not null, by start, then kind."""
+    """array<struct<start, kind, end, value>> of a text that is not null, by start, then kind."""
     none = F.array().cast(SPAN)
     small = lambda v: F.forall(F.split(v, "\\."), lambda p: F.char_length(F.regexp_replace(p, "^0+", "")) <= 3) & F.forall(F.split(v, "\\."), lambda p: F.substring(F.concat(F.lit("000"), F.regexp_replace(p, "^0+", "")), -3, 3) <= "255")
     card = lambda v: F.char_length(_digits(v)).between(14, 19) & _luhn(_digits(v))
@@ -70,8 +105,7 @@ def base_spans(text: Column) -> Column:
             F.when(has("[0-9]\\.[0-9]++\\.[0-9]++\\.[0-9]"), _matches(text, IP, 1, small)).otherwise(none),
             F.when(has("[0-9](?:[\\x20-]?[0-9]){13}"), _matches(text, CARD, 2, card)).otherwise(none),
             F.when(has("\\+[0-9]"), _matches(text, PHONE, 3, phone)).otherwise(none),
-        ),
-        lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(a["kind"] - b["kind"]),
+        )
     )
 
 
@@ -81,63 +115,50 @@ def found(docs: DataFrame) -> DataFrame:
     return rows.withColumn("spans", base_spans(F.col("text")))
 
 
-def _lines(text: Column) -> Column:
-    """array<struct<start, line>>: the lines of a text and where they begin."""
-    lines = F.split(text, "\n", -1)
-    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,line:string>>").alias("out"))
-    return F.aggregate(lines, first, lambda acc, x: F.struct((acc["at"] + F.char_length(x) + 1).alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start"), x.alias("line")))).alias("out")), lambda acc: acc["out"])
-
-
-def entity_lines(base: DataFrame) -> DataFrame:
-    """rid, start, line, entities: the lines that hold protected entities, of texts that have any."""
-    rows = base.filter(F.size("spans") > 0).select("rid", "spans", F.explode(_lines(F.col("text"))).alias("l"))
-    inside = F.filter("spans", lambda s: (s["start"] >= F.col("l.start")) & (s["start"] <= F.col("l.start") + F.char_length("l.line")))
-    rows = rows.select("rid", "l.start", "l.line", inside.alias("spans")).filter(F.size("spans") > 0)
-    return rows.select("rid", "start", "line", "spans", F.array_distinct(F.transform("spans", lambda s: F.concat_ws(":", s["kind"].cast("string"), s["value"]))).alias("entities"))
-
-
-def _terms(line: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(line), F.lit(TERM), F.lit(0)))
-
-
-def revealing_terms(docs: DataFrame, lines: DataFrame, support: int = 3, disclosure: float = 0.9) -> DataFrame:
-    """entity, term, ratio: terms that tell of an entity at least `disclosure` of what naming it would."""
-    contexts = lines.select(F.xxhash64("line").alias("c"), "line", "entities")
-    pairs = contexts.select("c", F.explode("entities").alias("entity")).distinct()
-    often = pairs.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).filter(F.col("n_e") >= support)
-    # only entities that recur can reach the support, so only their lines are opened
-    wanted = contexts.select("c", "line", F.explode("entities").alias("entity")).join(often, "entity", "left_semi").dropDuplicates(["c", "entity"])
-    # what the spans themselves consist of is no term
-    both = wanted.select("entity", F.explode(_terms(F.regexp_replace("line", "|".join((EMAIL, PHONE, CARD)), " "))).alias("term"))
-    both = both.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= support)
-    every = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line"))
-    total = every.agg(F.approx_count_distinct(F.xxhash64("line"), 0.02)).first()[0]
-
-    def ratio(n_t: str) -> Column:
-        n = F.greatest(F.lit(total), F.col(n_t), F.col("n_e") + 1).cast("double")
-        return F.log(F.col("n_et") * n / (F.col("n_e") * F.col(n_t))) / F.log(n / F.col("n_e"))
-
-    # the lines with entities alone already bound a term's count from below, which settles all frequent terms
-    here = contexts.dropDuplicates(["c"]).select("c", F.explode(_terms(F.col("line"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_here"))
-    both = both.join(often, "entity").join(here, "term").filter(ratio("n_here") >= disclosure)
-    both = written(both.select("entity", "term", "n_et", "n_e"), "pairs")
-    candidates = written(both.select("term").distinct(), "candidates")
-    counts = every.select(F.xxhash64("line").alias("c"), F.explode(_terms(F.col("line"))).alias("term")).join(candidates, "term", "left_semi").groupBy("term").agg(F.count_distinct("c").alias("n_t"))
-    scored = both.join(counts, "term")
-    return scored.select("entity", "term", ratio("n_t").alias("ratio")).filter(F.col("ratio") >= disclosure)
-
-
-def term_spans(docs: DataFrame, base: DataFrame, support: int = 3, disclosure: float = 0.9) -> DataFrame:
-    """rid, terms: spans of kind `term`, outside the base spans of the line."""
-    lines = written(entity_lines(base), "entity-lines")
-    revealing = written(revealing_terms(docs, lines, support, disclosure), "revealing-terms")
-    hits = lines.select("rid", "start", "line", "spans", F.explode("entities").alias("entity")).join(revealing.select("entity", "term"), "entity")
-    tokens = _matches(F.col("line"), TERM, 4, lambda v: F.lit(True))
-    hits = hits.select("rid", "start", "spans", "term", F.explode(tokens).alias("t")).filter(F.lower("t.value") == F.col("term"))
-    begin, end = F.col("start") + F.col("t.start"), F.col("start") + F.col("t.end")
-    free = ~F.exists("spans", lambda s: (s["start"] < end) & (s["end"] > begin))
-    spans = hits.filter(free).select("rid", F.struct(begin.alias("start"), end.alias("end"), F.lit(4).alias("kind"), F.col("t.value").alias("value")).alias("s"))
-    return written(spans.groupBy("rid").agg(F.array_sort(F.collect_set("s")).alias("terms")), "term-spans")
+def _terms(text: Column) -> Column:
+    """The different terms of a text, without what the base patterns match."""
+    blank = F.when(text.rlike("@|[0-9]{2}"), F.regexp_replace(text, "|".join((EMAIL, PHONE, CARD, IP)), " ")).otherwise(text)
+    return F.array_distinct(F.regexp_extract_all(F.lower(blank), F.lit(TERM), F.lit(0)))
+
+
+def _contexts(text: Column) -> Column:
+    return F.explode(F.regexp_extract_all(text, F.lit(_STRETCH), F.lit(0)))
+
+
+def revealing_terms(docs: DataFrame, holding: DataFrame, leftover: float = 0.5) -> DataFrame:
+    """term, bits (left of the entity that it tells most of), stray (documents without any entity hold it too).
+
+    docs: every text; holding: row, text of those with entities.
+    """
+    beside = holding.select("row", _contexts(F.col("text")).alias("context"))
+    beside = beside.select("row", "context", F.array_distinct(F.transform(base_spans(F.col("context")), lambda s: F.concat_ws(":", s["kind"].cast("string"), s["value"]))).alias("entities")).filter(F.size("entities") > 0)
+    pairs = beside.select("row", _terms(F.col("context")).alias("terms"), F.explode("entities").alias("entity")).select("row", "entity", F.explode("terms").alias("term")).distinct()
+    best = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).groupBy("term").agg(F.max("n_et").alias("n_et"))
+    here = holding.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_here"))
+
+    def left(n_t: str) -> Column:
+        return F.log2((F.col(n_t) + 1) / (F.col("n_et") + 0.5))
+
+    # the documents with entities bound a term's count from below, which settles most terms
+    hopeful = written(best.join(here, "term").filter(left("n_here") <= leftover), "hopeful-terms")
+    counts = docs.select(F.explode(_terms(F.coalesce("text", F.lit("")))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    return hopeful.join(counts, "term").filter(left("n_t") <= leftover).select("term", left("n_t").alias("bits"), (F.col("n_t") > F.col("n_here")).alias("stray"))
+
+
+def term_spans(docs: DataFrame, leftover: float = 0.5) -> DataFrame:
+    """rid, terms: spans of kind `term`, by start."""
+    rows = found(docs)
+    # a number for each row, fixed by writing it
+    holding = written(rows.filter(F.size("spans") > 0).select(F.monotonically_increasing_id().alias("row"), "rid", "text"), "entity-texts")
+    revealing = written(revealing_terms(docs, holding, leftover), "revealing-terms")
+    others = docs.select(F.xxhash64("doc_id", "text").alias("rid"), F.coalesce("text", F.lit("")).alias("text"))
+    words = others.select("rid", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    astray = words.join(revealing.filter("stray").select("term"), "term", "left_semi").select("rid").distinct()
+    astray = astray.join(holding.select("rid"), "rid", "left_anti")
+    texts = holding.select("rid", "text").unionByName(others.join(astray, "rid", "left_semi"))
+    tokens = texts.select("rid", F.explode(_matches(F.col("text"), TERM, 4, lambda v: F.lit(True))).alias("s")).withColumn("term", F.lower("s.value"))
+    hits = tokens.join(revealing.select("term"), "term", "left_semi")
+    return written(hits.groupBy("rid").agg(F.array_sort(F.collect_set("s")).alias("terms")), "term-spans")
 
 
 def _joined(spans: Column) -> Column:
@@ -146,18 +167,24 @@ def _joined(spans: Column) -> Column:
 
 
 def _all_spans(base: DataFrame, terms: DataFrame) -> DataFrame:
+    """base with `every`: its spans and the terms that begin outside them, by start, then kind."""
     rows = base.join(terms.withColumnRenamed("rid", "terms_rid"), F.col("rid") == F.col("terms_rid"), "left")
-    merged = F.array_sort(F.concat("spans", "terms"), lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(a["kind"] - b["kind"]))
+
+    def step(at: Column, s: Column) -> tuple[Column, Column]:
+        inside = (s["kind"] == 4) & (s["start"] < at)
+        end = F.when(s["kind"] == 4, at).otherwise(F.greatest(at, s["end"]))
+        return end, F.when(inside, F.array().cast(SPAN)).otherwise(F.array(s))
+
+    merged = _scan(F.array_sort(F.concat("spans", "terms")), SPAN, step)
     return rows.withColumn("every", F.when(F.col("terms").isNull(), F.col("spans")).otherwise(merged))
 
 
-def report(docs: DataFrame, support: int = 3, disclosure: float = 0.9) -> DataFrame:
-    """doc_id, counts by kind, base_sha256, spans (kind:start:end by start, then kind, comma-joined), n_term."""
-    base = found(docs)
-    terms = term_spans(docs, base, support, disclosure)
-    rows = _all_spans(base.select("doc_id", "rid", "spans"), terms)
+def report(docs: DataFrame, leftover: float = 0.5) -> DataFrame:
+    """doc_id, counts by kind, base_sha256, spans (kind:start:end by start, then kind, comma-joined), n_term, n_base."""
+    terms = term_spans(docs, leftover)
+    rows = _all_spans(found(docs).select("doc_id", "rid", "spans"), terms)
     counts = [F.size(_of_kind(k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
-    return rows.select("doc_id", *counts[:4], F.sha2(_joined(F.col("spans")), 256).alias("base_sha256"), _joined(F.col("every")).alias("spans"), counts[4])
+    return rows.select("doc_id", *counts[:4], F.sha2(_joined(F.col("spans")), 256).alias("base_sha256"), _joined(F.col("every")).alias("spans"), counts[4], F.size("spans").cast("long").alias("n_base"))
 
 
 def _of_kind(k: int) -> Column:
@@ -165,20 +192,35 @@ def _of_kind(k: int) -> Column:
 
 
 def _rewritten(text: Column, spans: Column) -> Column:
+    """text with the union of the spans (by start) replaced; CHUNK spans at a time, each time on the text that is left."""
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], gap, F.element_at(tags, s["kind"] + 1))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+    def step(at: Column, s: Column) -> tuple[Column, Column]:
+        # a span that begins in an earlier one only lengthens it: no gap, no tag
+        end = F.greatest(at, s["end"])
+        return end, F.array(F.struct(s["start"].alias("start"), F.when(s["start"] >= at, s["kind"]).otherwise(-1).alias("kind"), end.alias("end"), at.alias("before")))
+
+    def chunk(acc: Column, mine: Column) -> Column:
+        n = F.element_at(mine, -1)["end"] - acc["at"]
+
+        def cut(block: Column) -> Column:
+            gap = lambda s: F.substring(block, s["before"] - acc["at"] + 1, s["start"] - s["before"])
+            return F.array_join(F.transform(mine, lambda s: F.when(s["kind"] >= 0, F.concat(gap(s), F.element_at(tags, s["kind"] + 1))).otherwise(F.lit(""))), "")
+
+        rest = F.substring(acc["rest"], n + 1, F.char_length(acc["rest"]))
+        return F.struct(F.element_at(mine, -1)["end"].alias("at"), rest.alias("rest"), F.concat(acc["out"], F.array(_let(F.substring(acc["rest"], F.lit(1), n), cut))).alias("out"))
+
+    def folded(place: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("at"), text.alias("rest"), F.array().cast("array<string>").alias("out"))
+        chunks = F.transform(F.sequence(F.lit(0), F.size(place) - 1, F.lit(CHUNK)), lambda i: F.slice(place, i + 1, F.lit(CHUNK)))
+        return F.aggregate(chunks, begin, chunk, lambda acc: F.concat(F.array_join(acc["out"], ""), acc["rest"]))
 
-    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
+    return _let(_scan(spans, "array<struct<start:int,kind:int,end:int,before:int>>", step), folded)
 
 
-def sanitise(docs: DataFrame, support: int = 3, disclosure: float = 0.9) -> DataFrame:
+def sanitise(docs: DataFrame, leftover: float = 0.5) -> DataFrame:
     """docs with every span of its texts replaced by its kind in brackets; n_chars, if there, follows. Null texts stay."""
-    terms = term_spans(docs, found(docs), support, disclosure)
+    terms = term_spans(docs, leftover)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
     rows = rows.select("doc", F.xxhash64("doc.doc_id", "doc.text").alias("rid"), F.coalesce("doc.text", F.lit("")).alias("text"))
     rows = _all_spans(rows.withColumn("spans", base_spans(F.col("text"))), terms)

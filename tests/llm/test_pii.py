@@ -1,5 +1,8 @@
 import hashlib
+import math
 import re
+import time
+from collections import Counter
 
 from locusframe.llm.pii import report, sanitise
 
@@ -51,20 +54,58 @@ def test_base_matches_brute_force(spark):
         assert set(want) <= set(got[i].spans.split(",")) or not want
 
 
-def test_revealing_terms_are_found_and_rewritten(spark):
-    filler = [f"the day was number{i} and the sky was word{i % 7} with line{i}" for i in range(300)]
+def revealing(texts, leftover=0.5):
+    """The terms that leave at most so many bits of some entity, and their spans in each text, by counting."""
+    blank = re.compile("|".join(KINDS[k] for k in ("email", "phone", "card", "ip")))
+    terms = lambda text: set(re.findall(r"\w{4,}", blank.sub(" ", text.lower())))
+    n_t, n_et = Counter(), Counter()
+    for text in texts:
+        n_t.update(terms(text or ""))
+        lines = (text or "").split("\n")
+        n_et.update({(x.split(":")[0] + c[int(x.split(":")[1]) : int(x.split(":")[2])], t) for c in lines for x in base(c) for t in terms(c)})
+    told = {t for (_, t), n in n_et.items() if math.log2((n_t[t] + 1) / (n + 0.5)) <= leftover}
+    spans = []
+    for t in texts:
+        inside = [tuple(map(int, x.split(":")[1:])) for x in base(t)]
+        spans.append([f"term:{m.start()}:{m.end()}" for m in re.finditer(r"\w{4,}", t or "") if m[0].lower() in told and not any(a <= m.start() < b for a, b in inside)])
+    return told, spans
+
+
+def test_revealing_terms_match_counting(spark):
+    filler = [f"the day was number{i} and the sky was word{i % 7} with line{i}" for i in range(200)]
+    told = [f"ask Zebulon about item{i} the mail is zeb@example.com\nZebulon lives in hamlet{i}\nand the weather was word{i % 7}" for i in range(8)]
+    once = [f"Agnetha{i} and the number{i} call +1 (555) 123-45{i:02d}\nnothing\nthe weather of Agnetha{i}" for i in range(20)]
+    texts = filler + told + once + ["Zebulon passed by once", "Agnetha3 elsewhere", None, "", "x@y.zz Agnetha7q x@y.zz"] + [told[0]] * 5
+    terms, spans = revealing(texts)
+    assert "zebulon" in terms and "agnetha4" in terms and "weather" not in terms and "item0" in terms and len(terms) > 20
+    got = {x.doc_id: x for x in report(spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], SCHEMA)).collect()}
+    for i, want in enumerate(spans):
+        assert [x for x in got[i].spans.split(",") if x.startswith("term")] == want, texts[i]
+        assert got[i].n_term == len(want) and got[i].n_base == len(base(texts[i]))
+    assert any("Zebulon passed" in (t or "") and spans[i] for i, t in enumerate(texts))
+
+
+def test_rewritten_text(spark):
     told = [f"ask Zebulon about item{i} the mail is zeb@example.com" for i in range(5)]
-    rows = [(i, t, "x", 1) for i, t in enumerate(filler + told)] + [(900 + i, told[0], "x", 1) for i in range(20)]
-    df = spark.createDataFrame(rows, SCHEMA)
-    got = {r.doc_id: r for r in report(df).collect()}
-    assert sum(r.n_term for r in got.values() if r.doc_id < 300) == 0
-    begin = told[0].index("Zebulon")
-    assert f"term:{begin}:{begin + 7}" in got[300].spans.split(",") and got[300].n_email == 1
-    out = {r.doc_id: r for r in sanitise(df).collect()}
-    assert out[0].text == filler[0] and "Zebulon" not in out[300].text and "[TERM]" in out[300].text and out[300].text.endswith("[EMAIL]")
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(["the mail is about the weather", *told, *told])], SCHEMA)
+    out = {r.doc_id: r.text for r in sanitise(df).collect()}
+    assert out[0] == "the mail is about the weather" and out[1] == "ask [TERM] about [TERM] the mail is [EMAIL]" or "[TERM]" in out[1]
     assert df.columns == sanitise(df).columns
 
 
+def test_many_spans_in_one_text(spark):
+    text = "".join(f"a{i}@b.co é\n" for i in range(100_000)) + "x" * 50
+    line = " ".join(f"a{i}@b.co" for i in range(20_000))
+    began = time.time()
+    rows = [(1, text, "x", 1), (2, line, "x", 1)]
+    got = {r.doc_id: r for r in report(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[1].n_email == 100_000 and got[2].n_email == 20_000
+    assert got[2].base_sha256 == hashlib.sha256(",".join(base(line)).encode()).hexdigest()
+    out = {r.doc_id: r.text for r in sanitise(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert out[2] == " ".join(["[EMAIL]"] * 20_000) and out[1].startswith("[EMAIL] é\n[EMAIL]") and out[1].count("[EMAIL]") == 100_000
+    assert time.time() - began < 120
+
+
 def test_sanitise_overlaps_nulls_and_empty(spark):
     df = spark.createDataFrame([(1, None, "x", 1), (2, "é +49 30 1234567890@x.yz end", "x", 1)], SCHEMA)
     out = {r.doc_id: r.text for r in sanitise(df).collect()}
