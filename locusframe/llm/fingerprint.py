@@ -15,6 +15,8 @@ fingerprints are equal, else 0. Rows with one doc_id are ordered by a hash of th
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,35 +88,46 @@ def with_next(docs: DataFrame, fields: dict[str, Column], parts: int) -> DataFra
     """doc_id, text and the fields, and next_text and next_<field> of the next row by descending doc_id (after the last: the
     first).
 
-    doc_ids are cut into about `parts` ranges. Each is ordered by itself; the rows with a range's highest id also stand, as
-    guests, at the end of the range above it. So no task orders more than a range. The driver sees a few numbers a range.
+    Rows are ordered by (doc_id, hash of the text) and cut into about `parts` ranges of that; a doc_id with more rows than a
+    range holds is cut by the hash. Each range is ordered by itself; its highest row also stands, as a guest, at the end of
+    the range above it. So no task orders more than a range, but for rows that are equal. The driver sees a few numbers a range.
     """
+    spark = docs.sparkSession
     low = F.lit(-(1 << 63)).cast("long")
-    ids = docs.select(F.coalesce("doc_id", low).alias("sid"))
-    cuts = ids.agg(F.percentile_approx("sid", [i / parts for i in range(1, parts)], 10_000)).first()[0] if parts > 1 else []
-    cuts = sorted(set(cuts or []))
+    ids = docs.select(F.coalesce("doc_id", low).alias("sid"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    found = ids.agg(F.percentile_approx("sid", [i / parts for i in range(1, parts)], max(10_000, 20 * parts))).first()[0] if parts > 1 else []
+    shares = Counter(found or [])
+    cuts = sorted(shares)
     # the number of cuts below an id, found in two steps of about sqrt(parts)
     step = max(1, int(len(cuts) ** 0.5))
     blocks = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+    numbers = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
 
-    def below(sid: Column) -> Column:
+    def range_of(sid: Column, h: Column) -> Column:
         if not cuts:
-            return F.lit(0)
-        block = F.size(F.filter(F.array(*[F.lit(b[-1]).cast("long") for b in blocks]), lambda x: x < sid))
-        inner = F.element_at(F.array(*[F.array(*[F.lit(x).cast("long") for x in b]) for b in blocks]), F.least(block + 1, F.lit(len(blocks))))
-        return F.when(block < len(blocks), block * step + F.size(F.filter(inner, lambda x: x < sid))).otherwise(len(cuts))
-
-    heads = {r.part: r.head for r in ids.groupBy(below(F.col("sid")).alias("part")).agg(F.max("sid").alias("head")).collect()}
+            return F.lit(0).cast("long")
+        block = F.size(F.filter(numbers(b[-1] for b in blocks), lambda x: x < sid))
+        inner = F.element_at(F.array(*[numbers(b) for b in blocks]), F.least(block + 1, F.lit(len(blocks))))
+        below = F.when(block < len(blocks), block * step + F.size(F.filter(inner, lambda x: x < sid))).otherwise(len(cuts)).cast("long")
+        if max(shares.values()) == 1:
+            return below
+        # a doc_id that several cuts fall on gets as many ranges, by its texts' hashes
+        several = {c: n for c, n in shares.items() if n > 1}
+        n = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x).cast("long") for kv in several.items() for x in kv]), sid), F.lit(0))
+        sub = F.when(n > 0, 1 + F.floor((F.shiftright(h, 33) + (1 << 30)) * n / float(1 << 31))).otherwise(0)
+        return below * (max(several.values()) + 2) + sub.cast("long")
+
+    heads = {r.part: r.head for r in ids.groupBy(range_of(F.col("sid"), F.col("h")).alias("part")).agg(F.max(F.struct("sid", "h")).alias("head")).collect()}
     held = sorted(heads)
-    above = {p: held[(i + 1) % len(held)] for i, p in enumerate(held)}
-    part = below(F.col("sid")).cast("int")
+    table = [(p, heads[p].sid, heads[p].h, held[(i + 1) % len(held)]) for i, p in enumerate(held)]
+    # a row a range
+    ends = spark.createDataFrame(table, "part long, head_sid long, head_h long, above long")
     rows = docs.select(F.coalesce("doc_id", low).alias("sid"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select("*", F.xxhash64("text").alias("h"), part.alias("part"), *[c.alias(n) for n, c in fields.items()])
-    every = range(len(cuts) + 1)
-    head = F.element_at(F.array(*[F.lit(heads.get(p)).cast("long") for p in every]), F.col("part") + 1)
-    guest = F.element_at(F.array(*[F.lit(above.get(p, 0)) for p in every]), F.col("part") + 1)
-    own = F.struct(F.col("part").alias("at"), F.lit(0).alias("guest"))
-    rows = rows.select("*", F.explode(F.when(F.col("sid") == head, F.array(own, F.struct(guest.alias("at"), F.lit(1).alias("guest")))).otherwise(F.array(own))).alias("place"))
+    rows = rows.select("*", F.xxhash64("text").alias("h")).select("*", range_of(F.col("sid"), F.col("h")).alias("part"), *[c.alias(n) for n, c in fields.items()])
+    rows = rows.join(F.broadcast(ends), "part")
+    own, guest = (F.struct(F.col(c).alias("at"), F.lit(g).alias("guest")) for c, g in (("part", 0), ("above", 1)))
+    highest = (F.col("sid") == F.col("head_sid")) & (F.col("h") == F.col("head_h"))
+    rows = rows.select("*", F.explode(F.when(highest, F.array(own, guest)).otherwise(F.array(own))).alias("place"))
     order = Window.partitionBy("place.at").orderBy("place.guest", F.desc("sid"), F.desc("h"))
     names = ["text", *fields]
     return rows.select("*", *[F.lead(n).over(order).alias(f"next_{n}") for n in names]).filter("place.guest = 0").select("doc_id", *names, *[f"next_{n}" for n in names])
@@ -128,7 +141,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
 def edits(docs: DataFrame) -> DataFrame:
     """Each text against its edited text, whose second half is the start of the next document, and against that document."""
-    parts = min(16384, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = with_next(docs, {"fp": fingerprint(F.col("text"))}, parts)
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")

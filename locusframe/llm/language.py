@@ -1,10 +1,11 @@
 """Language identification (operator 5): averaged hashed subword embeddings and a linear softmax, trained with numpy.
 
-A text's letters are lower-cased and everything else becomes a space; its subwords are the byte n-grams of that, each hashed
-to one of `buckets` embeddings. A text is the mean of its subwords' embeddings, and a linear softmax on the mean gives the
-languages. Training is stochastic gradient descent on a bounded sample: about `per_language` labelled texts of each language,
-chosen by a hash. As mean and softmax are linear before the exponential, scoring adds up one row of (embeddings x weights) for
-each subword, whole texts at a time.
+ASCII letters and capitals of the Latin-1 block are lower-cased, bytes from 128 up stay as they are and all other bytes become
+spaces; a text's subwords are the byte n-grams of that, each hashed to one of `buckets` embeddings. A text is the mean of its
+subwords' embeddings, and a linear softmax on the mean gives the languages. Training is stochastic gradient descent on a
+bounded sample: about `per_language` labelled texts, chosen by a hash, of each of the `languages` most frequent ones (ties in
+order). As mean and softmax are linear before the exponential, scoring adds up one row of (embeddings x weights) for each
+subword, whole texts at a time.
 
 A part of the sample is set aside to fit the temperature that calibrates the probabilities, and the score below which a
 prediction is rejected: the smallest that leaves `precision` of the accepted ones right.
@@ -139,18 +140,19 @@ def train(texts: list[str], labels: list[str], buckets: int = 1 << 15, width: in
     return Model(languages, table, bias, best, float(top[order[good[-1]]]) if len(good) else 1.0)
 
 
-def sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """text, lang: about per_language rows of each language, chosen by a hash of the text and its id."""
+def sample(docs: DataFrame, per_language: int, languages: int) -> DataFrame:
+    """text, lang, point: about per_language rows of each language, chosen by a hash of the text and its id."""
     rows = docs.filter("text is not null and lang is not null")
-    share = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select(F.col("lang").alias("of"), F.least(F.lit(1.0), F.lit(per_language) / F.col("n")).alias("share"))
-    # a hash in [0, 1)
+    most = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
+    shares = docs.sparkSession.createDataFrame([(r.lang, min(1.0, per_language / r.n)) for r in most], "of string, share double")
+    # a hash in [0, 1); no text moves before it is chosen, as the shares are `languages` rows at most
     point = F.pmod(F.xxhash64(F.lit("sample"), rows["doc_id"], rows["text"]), F.lit(1 << 30)) / float(1 << 30)
-    return rows.select("text", "lang", point.alias("point")).join(share, F.col("lang") == F.col("of")).filter("point < share").select("text", "lang", "point")
+    return rows.select("text", "lang", point.alias("point")).join(F.broadcast(shares), F.col("lang") == F.col("of")).filter("point < share").select("text", "lang", "point")
 
 
-def learn(docs: DataFrame, per_language: int = 400, **options) -> Model | None:
+def learn(docs: DataFrame, per_language: int = 400, languages: int = 512, **options) -> Model | None:
     """A model from the labelled rows of docs (columns doc_id, text, lang)."""
-    rows = sorted((r.point, r.lang, r.text) for r in sample(docs, per_language).collect())
+    rows = sorted((r.point, r.lang, r.text) for r in sample(docs, per_language, languages).collect())
     return train([r[2] for r in rows], [r[1] for r in rows], **options)
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -55,3 +56,22 @@ def test_next_with_repeated_ids_and_one_row(spark):
     one = with_next(df.filter("doc_id = 4"), {}, 4).collect()
     assert [(r.text, r.next_text) for r in one] == [("d", "d")]
     assert edits(df.limit(0)).count() == 0
+
+
+def test_ties_and_nulls_in_many_ranges(spark):
+    texts = [f"line {i}\nother {i % 7} text" for i in range(60)]
+    rows = [(5, t, "x") for t in texts] + [(None, f"n{i}", "x") for i in range(30)] + [(i, f"t{i}", "x") for i in range(20)] + [(5, texts[0], "x")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp string")
+    hashes = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(((d if d is not None else -(1 << 63), hashes[t], t) for d, t, _ in rows), reverse=True)
+    want = Counter((a[2], b[2]) for a, b in zip(order, order[1:] + order[:1], strict=True))
+    for parts in (1, 4, 40):
+        got = Counter((r.text, r.next_text) for r in with_next(df, {}, parts).collect())
+        assert got == want, parts
+
+
+def test_very_long_text(spark):
+    text = "\n".join(f"paragraph {i} of many words, the end" for i in range(30_000))
+    got = edits(spark.createDataFrame([(1, text), (2, text), (3, None)], "doc_id long, text string")).collect()
+    by = {r.doc_id: r for r in got}
+    assert by[1].fingerprint == by[2].fingerprint != by[3].fingerprint and by[2].near_next == 1 and by[1].n_chars == len(text)
