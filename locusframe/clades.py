@@ -38,10 +38,9 @@ def significant(tree: DataFrame, sets: DataFrame, bootstrap: float = 70.0) -> Da
 
 
 def rest(sets: DataFrame) -> DataFrame:
-    """node_id, leaf_id for every leaf that is not below the node."""
-    leaves = sets.agg(F.collect_set("leaf_id").alias("every"))
-    inside = sets.groupBy("node_id").agg(F.collect_set("leaf_id").alias("own"))
-    return inside.crossJoin(F.broadcast(leaves)).select("node_id", F.explode(F.array_except("every", "own")).alias("leaf_id"))
+    """node_id, leaf_id for every leaf that is not below the node; as many rows as that."""
+    nodes, leaves = sets.select("node_id").distinct(), sets.select("leaf_id").distinct()
+    return nodes.crossJoin(leaves).join(sets, ["node_id", "leaf_id"], "left_anti")
 
 
 def between(a: DataFrame, b: DataFrame, edges: DataFrame) -> DataFrame:
@@ -106,11 +105,43 @@ def thresholds(fst: DataFrame) -> DataFrame:
     return rows.filter("n >= 2")
 
 
+def _draw(node: Column, leaf: Column, seed: Column) -> Column:
+    """A seeded hash that orders a node's candidates."""
+    return F.md5(F.concat_ws(":", seed.cast("string"), node.cast("string"), leaf.cast("string")).cast("binary"))
+
+
 def comparison_group(sets: DataFrame, node, size: int, seed: int = 1) -> DataFrame:
     """leaf_id: so many leaves outside the node's, in the order of a seeded hash (without replacement)."""
     own = sets.filter(F.col("node_id") == node).select("leaf_id")
     others = sets.select("leaf_id").distinct().join(own, "leaf_id", "left_anti")
-    return others.orderBy(F.xxhash64("leaf_id", F.lit(seed)), "leaf_id").limit(size)
+    return others.orderBy(_draw(F.lit(node), F.col("leaf_id"), F.lit(seed)), "leaf_id").limit(size)
+
+
+def comparison_groups(sets: DataFrame, reps: int) -> DataFrame:
+    """node_id, rep (from 1), leaf_id: for each node, `reps` groups of as many leaves outside it as it has (or all there are)."""
+    sizes = sets.groupBy("node_id").agg(F.count(F.lit(1)).alias("size"))
+    rows = rest(sets).withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(reps))))
+    rows = rows.withColumn("k", F.row_number().over(Window.partitionBy("node_id", "rep").orderBy(_draw(F.col("node_id"), F.col("leaf_id"), F.col("rep")), "leaf_id")))
+    return rows.join(sizes, "node_id").filter("k <= size").select("node_id", "rep", "leaf_id")
+
+
+def sampled_fixation(sets: DataFrame, edges: DataFrame, reps: int = 10) -> DataFrame:
+    """node_id, average, deviation (of a sample), n: the fixation index of each node against random groups of its size.
+
+    fst = (between - within) / between, within being the mean of both groups' own averages (0 for a single leaf).
+    """
+    drawn = kept(comparison_groups(sets, reps).withColumn("g", F.struct("node_id", "rep")), "comparison-groups")
+    both = kept(both_ways(edges), "both-ways")
+    own = both.join(sets.select("node_id", F.col("leaf_id").alias("a")), "a").join(sets.select(F.col("node_id").alias("n2"), F.col("leaf_id").alias("b")), "b").filter("node_id = n2")
+    own = own.groupBy("node_id").agg(F.avg("d").alias("w1"))
+    inner = both.join(drawn.select("g", F.col("leaf_id").alias("a")), "a").join(drawn.select(F.col("g").alias("g2"), F.col("leaf_id").alias("b")), "b").filter("g = g2")
+    inner = inner.groupBy("g").agg(F.avg("d").alias("w2"))
+    cross = both.join(sets.select("node_id", F.col("leaf_id").alias("a")), "a").join(drawn.select(F.col("node_id").alias("n2"), "rep", F.col("leaf_id").alias("b")), "b").filter("node_id = n2")
+    cross = cross.groupBy("node_id", "rep").agg(F.avg("d").alias("between")).withColumn("g", F.struct("node_id", "rep"))
+    rows = cross.join(own, "node_id", "left").join(inner, "g", "left")
+    within = (F.coalesce("w1", F.lit(0.0)) + F.coalesce("w2", F.lit(0.0))) / 2
+    rows = rows.select("node_id", F.when(F.col("between") == 0, F.lit(0.0)).otherwise((F.col("between") - within) / F.col("between")).alias("fst"))
+    return rows.groupBy("node_id").agg(F.avg("fst").alias("average"), F.stddev_samp("fst").alias("deviation"), F.count(F.lit(1)).alias("n"))
 
 
 def longest_branch(tree: DataFrame) -> DataFrame:

@@ -15,17 +15,34 @@ def _all_pairs(samples: DataFrame) -> DataFrame:
     return rows.select(F.col("sample").alias("a"), F.explode(F.filter("names", lambda x: x > F.col("sample"))).alias("b"))
 
 
-def pairwise(genotypes: DataFrame, site: tuple[str, ...] = ("contig", "pos"), every_pair: bool = True) -> DataFrame:
-    """a, b, d: sites where both samples have a nucleotide and they differ. For many sites and few samples.
+#: Samples of one block meet in one row or task.
+BLOCK = 64
 
-    Sites without variation add nothing and go first; a site's samples meet inside its own row.
+
+def _block(samples: DataFrame, size: int) -> Column:
+    """A block of about `size` samples for each, by a hash; the driver sees the number of samples alone."""
+    return F.pmod(F.xxhash64("sample"), F.lit(max(1, -(-samples.distinct().count() // size)))).cast("int")
+
+
+def pairwise(genotypes: DataFrame, site: tuple[str, ...] = ("contig", "pos"), every_pair: bool = True, block: int = BLOCK) -> DataFrame:
+    """a, b, d: sites where both samples have a nucleotide and they differ. For many sites.
+
+    Sites without variation add nothing and go first. A site's samples stand together by block, so that a row has no more than
+    a block's; pairs inside a block meet in its row, those across two blocks where their rows meet by site.
     """
     nt = F.upper("nt")
-    valid = genotypes.filter(nt.isin(*VALID)).select(*site, "sample", nt.alias("nt"))
-    cells = valid.groupBy(*site).agg(F.array_sort(F.collect_list(F.struct("sample", "nt"))).alias("c"), F.min("nt").alias("x"), F.max("nt").alias("y")).filter("x <> y")
-    others = F.transform(F.filter("c", lambda o: (o["sample"] > F.col("o.sample")) & (o["nt"] != F.col("o.nt"))), lambda o: o["sample"])
-    pairs = cells.select("c", F.explode("c").alias("o")).select(F.col("o.sample").alias("a"), F.explode(others).alias("b"))
-    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("d"))
+    valid = genotypes.filter(nt.isin(*VALID)).select(*site, "sample", nt.alias("nt"), _block(genotypes.select("sample"), block).alias("block"))
+    cells = valid.groupBy(*site, "block").agg(F.array_sort(F.collect_list(F.struct("sample", "nt"))).alias("c"), F.min("nt").alias("x"), F.max("nt").alias("y"))
+
+    def met(rows: DataFrame, c: str, o: str) -> DataFrame:
+        rows = rows.select(F.explode(c).alias("one"), F.col(o).alias("rest"))
+        others = F.transform(F.filter("rest", lambda x: x["nt"] != F.col("one.nt")), lambda x: x["sample"])
+        return rows.select(F.col("one.sample").alias("p"), F.explode(others).alias("q"))
+
+    inside = met(cells.filter("x <> y").withColumn("o", F.col("c")), "c", "o").filter("p < q")
+    left, right = cells.select(*site, "block", "c", "x", "y"), cells.select(*site, F.col("block").alias("other"), F.col("c").alias("o"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    across = met(left.join(right, [*site]).filter("block < other and not (x = y and x2 = y2 and x = x2)"), "c", "o")
+    counted = inside.unionByName(across).groupBy(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).agg(F.count(F.lit(1)).alias("d"))
     if not every_pair:
         return counted
     return _all_pairs(genotypes.select("sample")).join(counted, ["a", "b"], "left").select("a", "b", F.coalesce("d", F.lit(0)).cast("long").alias("d"))
@@ -34,18 +51,19 @@ def pairwise(genotypes: DataFrame, site: tuple[str, ...] = ("contig", "pos"), ev
 def packed(alignment: DataFrame) -> DataFrame:
     """sample, and bit planes (arrays of longs, 32 letters each): two bits a letter, and whether it is a nucleotide."""
     upper = F.upper("seq")
-    words = F.sequence(F.lit(0), F.floor((F.char_length("seq") - 1) / 32).cast("int"))
 
     def plane(ones: str) -> Column:
-        # the letters as 0 and 1, 32 at a time
+        # the letters as 0 and 1, cut into 32 at a time by one pass
         digits = F.translate(F.regexp_replace(upper, f"[^{ones}]", "0"), ones, "1" * len(ones))
-        return F.transform(words, lambda i: F.conv(F.substring(digits, i * 32 + 1, F.lit(32)), 2, 10).cast("long"))
+        return F.transform(F.regexp_extract_all(digits, F.lit("[01]{1,32}"), F.lit(0)), lambda part: F.conv(part, 2, 10).cast("long"))
 
     return alignment.filter("char_length(seq) > 0").select("sample", plane("CT").alias("p"), plane("GT").alias("q"), plane("ACGT").alias("v"))
 
 
-def pairwise_packed(alignment: DataFrame, blocks: int = 16) -> DataFrame:
-    """a, b, d by population counts over bit planes. For many samples: each pair of sample blocks is one join key."""
+def pairwise_packed(alignment: DataFrame, blocks: int | None = None, size: int = 512) -> DataFrame:
+    """a, b, d by population counts over bit planes. For many samples: each pair of sample blocks is one join key, and a block
+    has about `size` samples however many there are (if `blocks` isn't given)."""
+    blocks = blocks or max(1, -(-alignment.select("sample").distinct().count() // size))
     rows = packed(alignment).withColumn("block", F.pmod(F.xxhash64("sample"), F.lit(blocks)).cast("int"))
     others = F.sequence(F.lit(0), F.lit(blocks - 1))
     left = rows.select(*[F.col(c).alias(f"{c}1") for c in ("sample", "p", "q", "v")], F.explode(F.transform(others, lambda o: F.struct(F.col("block").alias("x"), o.alias("y")))).alias("k"))

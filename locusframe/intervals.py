@@ -5,34 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from locusframe.along import WIDTH, binned, neighbours, with_keys
+
 #: Up to so many coalesced intervals are broadcast; more are joined by bins.
 BROADCAST_ROWS = 10_000
 
 
-def union(intervals: DataFrame, gap: int = 1, bin_size: int | None = None) -> DataFrame:
+def union(intervals: DataFrame, gap: int = 1, bin_size: int = WIDTH) -> DataFrame:
     """contig, lo, hi: intervals that overlap or are at most `gap` apart become one (1: adjacent integers join).
 
-    bin_size: merge first among the intervals that begin in the same bin, so that the ordered pass over a contig meets
-    merged rows only.
+    In bins of starts. How far the intervals of earlier bins reach, and how many islands they begin, is carried over in a
+    table with one row a bin.
     """
-
-    def merged(rows: DataFrame, *by: str) -> DataFrame:
-        order = Window.partitionBy(*by).orderBy("lo", "hi")
-        before = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
-        starts = rows.withColumn("new", F.when(F.col("lo") <= before + gap, 0).otherwise(1))
-        island = F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return starts.withColumn("island", island).groupBy(*by, "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("island")
-
-    if bin_size:
-        intervals = merged(intervals.withColumn("bin", F.floor(F.col("lo") / bin_size)), "contig", "bin").drop("bin")
-    return merged(intervals, "contig").select("contig", "lo", "hi")
+    keys = ("contig", "_bin")
+    rows = binned(intervals.select("contig", "lo", "hi").filter("lo is not null"), "lo", bin_size)
+    order, before = Window.partitionBy("contig").orderBy("_bin"), (Window.unboundedPreceding, -1)
+    reach = rows.groupBy(*keys).agg(F.max("hi").alias("_hi")).select(*keys, F.max("_hi").over(order.rowsBetween(*before)).alias("_reach"))
+    inner = Window.partitionBy(*keys).orderBy("lo", "hi")
+    rows = with_keys(rows.withColumn("_held", F.max("hi").over(inner.rowsBetween(*before))), reach, keys)
+    rows = rows.withColumn("_new", F.when(F.col("lo") <= F.greatest("_held", "_reach") + gap, 0).otherwise(1)).drop("_held", "_reach")
+    islands = rows.groupBy(*keys).agg(F.sum("_new").alias("_n")).select(*keys, F.coalesce(F.sum("_n").over(order.rowsBetween(*before)), F.lit(0)).alias("_begun"))
+    rows = rows.withColumn("_in", F.sum("_new").over(inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = with_keys(rows, islands, keys)
+    return rows.groupBy("contig", (F.col("_begun") + F.col("_in")).alias("_island")).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select("contig", "lo", "hi")
 
 
 def complement(intervals: DataFrame, extents: DataFrame, last_base: bool = True) -> DataFrame:
     """contig, lo, hi: what a contig's intervals leave of 1..len (..len - 1 without last_base); all contigs of extents."""
     end = F.col("len") if last_base else F.col("len") - 1
-    merged = union(intervals).withColumn("next", F.lead("lo").over(Window.partitionBy("contig").orderBy("lo")))
-    merged = merged.withColumn("first", F.row_number().over(Window.partitionBy("contig").orderBy("lo")) == 1)
+    merged = neighbours(union(intervals), "lo").select("contig", "lo", "hi", F.col("_next").alias("next"), F.col("_prev").isNull().alias("first"))
     rows = extents.join(merged, "contig", "left")
     head = rows.filter("lo is null or first").select("contig", F.lit(1).cast("long").alias("lo"), F.coalesce(F.least(F.col("lo") - 1, end), end).alias("hi"))
     rest = rows.filter("lo is not null").select("contig", (F.col("hi") + 1).alias("lo"), F.least(F.coalesce(F.col("next") - 1, end), end).alias("hi"))

@@ -225,13 +225,16 @@ def s04(spark, d):
 
 @query("s05_site_matrix_scan", f"{GENO} SELECT contig, pos, ref, sample, nt FROM geno")
 def s05(spark, d):
-    wide = IO.wide(B.genotypes(spark, d), B.SAMPLES)
-    return IO.matrix_to_long(wide.toDF("# [1]CHROM", "[2]POS", "[3]REF", *[f"[{i + 4}]{s}:GT" for i, s in enumerate(B.SAMPLES)]))
+    path = IO.scratch(spark, "matrix")
+    IO.write_matrix(IO.wide(B.genotypes(spark, d), B.SAMPLES), path)
+    return IO.read_matrix(spark, path)
 
 
 @query("s06_transposed_scan", f"{GENO} SELECT contig, pos, sample, nt FROM geno")
 def s06(spark, d):
-    return IO.transposed_to_long(IO.transposed_lines(B.genotypes(spark, d)))
+    path = IO.scratch(spark, "transposed")
+    IO.write_transposed(IO.transposed_lines(B.genotypes(spark, d)), path)
+    return IO.transposed_to_long(IO.read_transposed(spark, path))
 
 
 @query("k01_matrix_sink", f"{GENO} SELECT contig, pos, ref, {', '.join(f"coalesce(max(nt) FILTER (sample = '{s}'), 'N') AS {s}" for s in B.SAMPLES)} FROM geno GROUP BY ALL")
@@ -243,7 +246,9 @@ def k01(spark, d):
 
 @query("k02_alignment_sink", f"{GENO} SELECT sample, string_agg(nt, '' ORDER BY contig, pos) AS seq FROM geno GROUP BY sample")
 def k02(spark, d):
-    return IO.alignment(B.genotypes(spark, d))
+    path = IO.scratch(spark, "alignment")
+    IO.write_fasta(IO.alignment(B.genotypes(spark, d)), path)
+    return IO.read_fasta(spark, path)
 
 
 @query(
@@ -252,7 +257,9 @@ def k02(spark, d):
 UNION ALL SELECT '.', string_agg(contig || ':' || pos, chr(9) ORDER BY contig, pos) FROM site""",
 )
 def k03(spark, d):
-    return IO.transposed_lines(B.genotypes(spark, d))
+    path = IO.scratch(spark, "transposed")
+    IO.write_transposed(IO.transposed_lines(B.genotypes(spark, d)), path)
+    return IO.read_transposed(spark, path)
 
 
 @query("j01_cohort_merge", f"{GENO} SELECT contig, pos, ref, sample, nt FROM geno")

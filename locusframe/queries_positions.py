@@ -88,7 +88,9 @@ def f17(spark, d):
 
 @query("k05_interval_sink", f"{IVL}, {UNION.format(gap=1)} SELECT contig, lo, hi, contig || ':' || lo AS name FROM u ORDER BY ALL")
 def k05(spark, d):
-    return IO.interval_rows(I.union(B.intervals(spark, d)))
+    path = IO.scratch(spark, "intervals")
+    IO.interval_rows(I.union(B.intervals(spark, d))).write.csv(path, sep="\t")
+    return spark.read.csv(path, sep="\t", schema="contig string, lo long, hi long, name string").orderBy("contig", "lo", "hi")
 
 
 NUM = f"{POS}, n AS (SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY contig) AS n, lead(pos, 2) OVER w - pos AS ahead, lag(pos) OVER w AS prev, lead(pos) OVER w - pos AS gap FROM p WINDOW w AS (PARTITION BY contig ORDER BY pos))"

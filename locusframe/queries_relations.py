@@ -20,7 +20,8 @@ ADIST = f"""{ALN}, e AS (SELECT x.sample AS a, y.sample AS b, count(*) FILTER (x
 
 
 def edges(spark, d):
-    return D.pairwise(B.genotypes(spark, d))
+    # counted, then joined: written once
+    return D.pairwise(IO.kept(B.genotypes(spark, d), "genotypes"))
 
 
 def alignment_edges(spark, d):
@@ -151,7 +152,7 @@ TREE = """tree AS (
   SELECT 'root' AS node_id, NULL AS parent_id, NULL::DOUBLE AS bootstrap, NULL::DOUBLE AS branch_length, NULL::BIGINT AS leaf_id
   UNION ALL SELECT DISTINCT 'g' || (label % 2), 'root', 80.0, (label % 2) + 1.5, NULL FROM embeddings
   UNION ALL SELECT DISTINCT 'l' || label, 'g' || (label % 2), (label * 37) % 100, (label * 29 % 17) / 2.0, NULL FROM embeddings
-  UNION ALL SELECT 'v' || vec_id, 'l' || label, NULL, (vec_id * 31 % 97) / 10.0, vec_id FROM embeddings WHERE vec_id % 8 = 0),
+  UNION ALL SELECT 'v' || vec_id, 'l' || label, NULL, (vec_id * 31 % 97) / 10.0, vec_id FROM embeddings),
 leafset AS (SELECT parent_id AS node_id, leaf_id FROM tree WHERE leaf_id IS NOT NULL
   UNION ALL SELECT p.parent_id, t.leaf_id FROM tree t JOIN tree p ON t.parent_id = p.node_id WHERE t.leaf_id IS NOT NULL
   UNION ALL SELECT 'root', leaf_id FROM tree WHERE leaf_id IS NOT NULL)"""
@@ -164,16 +165,12 @@ def tree(spark, d):
     label = F.col("label")
     groups = rows.select(label).distinct().select(F.concat(F.lit("g"), label % 2), F.lit("root"), F.lit(80.0), label % 2 + 1.5, none.cast("long")).distinct()
     labels = rows.select(label).distinct().select(F.concat(F.lit("l"), label), F.concat(F.lit("g"), label % 2), (label * 37 % 100).cast("double"), (label * 29 % 17) / 2.0, none.cast("long"))
-    leaves = rows.filter("vec_id % 8 = 0").select(F.concat(F.lit("v"), "vec_id"), F.concat(F.lit("l"), label), none.cast("double"), (F.col("vec_id") * 31 % 97) / 10.0, F.col("vec_id"))
+    leaves = rows.select(F.concat(F.lit("v"), "vec_id"), F.concat(F.lit("l"), label), none.cast("double"), (F.col("vec_id") * 31 % 97) / 10.0, F.col("vec_id"))
     return root.union(groups).union(labels).union(leaves)
 
 
 def leaf_edges(spark, d):
-    return D.pairwise_packed(B.alignment(spark, d).filter("sample % 8 = 0"))
-
-
-# distances between every eighth vector, the leaves of the tree
-LDIST = ADIST.replace("FROM embeddings)", "FROM embeddings WHERE vec_id % 8 = 0)")
+    return alignment_edges(spark, d)
 
 
 @query("g05_leaf_sets", f"WITH {TREE} SELECT node_id, leaf_id FROM leafset")
@@ -196,7 +193,7 @@ def g07(spark, d):
     return T.longest_branch(tree(spark, d))
 
 
-CLADE = f"{LDIST}, {TREE}, w AS (SELECT a, b, d FROM e UNION ALL SELECT b, a, d FROM e)"
+CLADE = f"{ADIST}, {TREE}, w AS (SELECT a, b, d FROM e UNION ALL SELECT b, a, d FROM e)"
 
 
 @query("j08_clade_join", f"{CLADE} SELECT x.node_id AS x, y.node_id AS y, count(*) AS n, CAST(sum(d) AS BIGINT) AS total FROM w JOIN leafset x ON x.leaf_id = w.a JOIN leafset y ON y.leaf_id = w.b GROUP BY ALL")
@@ -266,16 +263,34 @@ def a17(spark, d):
     return T.thresholds(fst(spark, d)).select("size", *rounded, "n")
 
 
-@query("x02_comparison_group")
+DRAW = f"WITH {TREE}, rst AS (SELECT n.node_id, n.size, t.leaf_id FROM (SELECT node_id, count(*) AS size FROM leafset GROUP BY node_id) n, tree t WHERE t.leaf_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM leafset l WHERE l.node_id = n.node_id AND l.leaf_id = t.leaf_id))"
+
+
+@query(
+    "a15b_sampled_fixation",
+    f"""{ADIST}, w AS MATERIALIZED (SELECT a, b, d FROM e UNION ALL SELECT b, a, d FROM e), {DRAW[5:]},
+drawn AS MATERIALIZED (SELECT node_id, rep, leaf_id FROM (SELECT *, row_number() OVER (PARTITION BY node_id, rep ORDER BY md5(rep || ':' || node_id || ':' || leaf_id), leaf_id) AS k FROM rst, range(1, 11) r(rep)) WHERE k <= size),
+own AS (SELECT x.node_id, avg(d) AS w1 FROM w JOIN leafset x ON x.leaf_id = w.a JOIN leafset y ON y.leaf_id = w.b AND y.node_id = x.node_id GROUP BY x.node_id),
+inr AS (SELECT x.node_id, x.rep, avg(d) AS w2 FROM w JOIN drawn x ON x.leaf_id = w.a JOIN drawn y ON y.leaf_id = w.b AND y.node_id = x.node_id AND y.rep = x.rep GROUP BY ALL),
+crs AS (SELECT x.node_id, y.rep, avg(d) AS bt FROM w JOIN leafset x ON x.leaf_id = w.a JOIN drawn y ON y.leaf_id = w.b AND y.node_id = x.node_id GROUP BY ALL),
+f AS (SELECT crs.node_id, CASE WHEN bt = 0 THEN 0 ELSE (bt - (coalesce(w1, 0) + coalesce(w2, 0)) / 2) / bt END AS fst FROM crs LEFT JOIN own USING (node_id) LEFT JOIN inr USING (node_id, rep))
+SELECT node_id, round(avg(fst), 9) AS average, round(stddev_samp(fst), 9) AS deviation, count(*) AS n FROM f GROUP BY node_id""",
+)
+def a15b(spark, d):
+    out = T.sampled_fixation(IO.kept(T.leaf_sets(tree(spark, d)), "leaf-sets"), IO.kept(alignment_edges(spark, d), "edges"))
+    return out.select("node_id", F.round("average", 9).alias("average"), F.round("deviation", 9).alias("deviation"), "n")
+
+
+@query("x02_comparison_group", f"{DRAW} SELECT leaf_id FROM rst WHERE node_id = 'l3' ORDER BY md5('1:l3:' || leaf_id), leaf_id LIMIT 5")
 def x02(spark, d):
     return T.comparison_group(T.leaf_sets(tree(spark, d)), "l3", 5)
 
 
-KMER = f"{SEQ}, km AS (SELECT sample, substr(seq, CAST(i AS INTEGER), 8) AS kmer, count(*) AS n FROM (SELECT sample, seq, unnest(range(1, length(seq) - 6)) AS i FROM sq WHERE length(seq) >= 8) GROUP BY ALL HAVING count(*) >= 4)"
+KMER = f"{SEQ}, km AS (SELECT sample, substr(seq, CAST(i AS INTEGER), 8) AS kmer, count(*) AS n FROM (SELECT sample, seq, unnest(range(1, length(seq) - 6)) AS i FROM sq WHERE length(seq) >= 8) GROUP BY ALL HAVING count(*) >= 2)"
 
 
 def kmers(spark, d):
-    return K.kmers(B.sequences(spark, d), 8, 4)
+    return K.kmers(B.sequences(spark, d), 8, 2)
 
 
 @query("a18_kmer_counts", f"{KMER} SELECT sample, kmer, n FROM km")
@@ -284,22 +299,34 @@ def a18(spark, d):
 
 
 JAC = f"{KMER}, s AS (SELECT sample, count(*) AS n FROM km GROUP BY sample), c AS (SELECT x.sample AS a, y.sample AS b, count(*) AS common FROM km x JOIN km y ON x.kmer = y.kmer AND x.sample < y.sample GROUP BY ALL)"
-# k-mers of the benchmark items: bounded texts, so that all pairs stay few
+JACCARD = "SELECT a, b, common, p.n + q.n - common AS total, round(1 - common / (p.n + q.n - common)::DOUBLE, 9) AS distance FROM c JOIN s p ON p.sample = a JOIN s q ON q.sample = b"
+DIFFERENCE = ", x AS (SELECT kmer, bool_or(sample = 1) AS a, bool_or(sample = 2) AS b FROM km WHERE sample IN (1, 2) GROUP BY kmer) SELECT count(*) FILTER (a AND NOT b) AS only_a, count(*) FILTER (b AND NOT a) AS only_b, count(*) FILTER (a AND b) AS both, count(*) AS either FROM x"
+# the other set of sequences: benchmark items, all their 6-mers
 BENCH = "WITH sq AS (SELECT item_id AS sample, lower(text) AS seq FROM benchmark)"
-JAC = JAC.replace(SEQ, BENCH).replace(">= 4)", ">= 1)").replace("CAST(i AS INTEGER), 8)", "CAST(i AS INTEGER), 6)").replace("length(seq) - 6", "length(seq) - 4").replace("length(seq) >= 8", "length(seq) >= 6")
+ITEMS = JAC.replace(SEQ, BENCH).replace(">= 2)", ">= 1)").replace("CAST(i AS INTEGER), 8)", "CAST(i AS INTEGER), 6)").replace("length(seq) - 6", "length(seq) - 4").replace("length(seq) >= 8", "length(seq) >= 6")
 
 
 def item_kmers(spark, d):
     return K.kmers(table(spark, d, "benchmark").select(F.col("item_id").alias("sample"), F.lower("text").alias("seq")), 6, 1)
 
 
-@query("a19_jaccard", f"{JAC} SELECT a, b, common, p.n + q.n - common AS total, round(1 - common / (p.n + q.n - common)::DOUBLE, 9) AS distance FROM c JOIN s p ON p.sample = a JOIN s q ON q.sample = b")
+@query("a19_jaccard", f"{JAC} {JACCARD}")
 def a19(spark, d):
+    return K.jaccard(IO.kept(kmers(spark, d), "kmers")).withColumn("distance", F.round("distance", 9))
+
+
+@query("a19b_jaccard_items", f"{ITEMS} {JACCARD}")
+def a19b(spark, d):
     return K.jaccard(item_kmers(spark, d)).withColumn("distance", F.round("distance", 9))
 
 
-@query("u03_kmer_difference", f"{JAC}, x AS (SELECT kmer, bool_or(sample = 1) AS a, bool_or(sample = 2) AS b FROM km WHERE sample IN (1, 2) GROUP BY kmer) SELECT count(*) FILTER (a AND NOT b) AS only_a, count(*) FILTER (b AND NOT a) AS only_b, count(*) FILTER (a AND b) AS both, count(*) AS either FROM x")
+@query("u03_kmer_difference", f"{JAC}{DIFFERENCE}")
 def u03(spark, d):
+    return K.set_difference(kmers(spark, d), 1, 2)
+
+
+@query("u03b_kmer_difference_items", f"{ITEMS}{DIFFERENCE}")
+def u03b(spark, d):
     return K.set_difference(item_kmers(spark, d), 1, 2)
 
 
@@ -316,9 +343,16 @@ def m01(spark, d):
     return K.motif_counts(B.sequences(spark, d), spark.createDataFrame(MOTIFS, "name string, pattern string, score double, platform string"))
 
 
-@query("m01b_motif_spans")
+@query(
+    "m01b_motif_spans",
+    f"""{SEQ}, m AS (SELECT * FROM (VALUES {', '.join(f"('{n}', '({p.replace('(', '(?:')})(.)', {s})" for n, p, s, _ in MOTIFS)}) t(name, pattern, score)),
+f AS (SELECT sample, name, score, regexp_extract_all(seq, pattern) AS hit, string_split_regex(seq, pattern) AS gap FROM sq, m WHERE regexp_matches(seq, pattern)),
+g AS (SELECT sample, name, score, hit[i] AS x, CAST(len(array_to_string(gap[1:i], '')) + len(array_to_string(hit[1:i - 1], '')) AS BIGINT) AS before FROM (SELECT *, unnest(range(1, len(hit) + 1)) AS i FROM f))
+SELECT sample, name, before + 1 AS start, CAST(before + len(x) - 1 AS BIGINT) AS "end", CAST(score AS DOUBLE) AS score, right(x, 1) AS error, CAST(before + len(x) AS BIGINT) AS error_start, CAST(before + len(x) AS BIGINT) AS error_end FROM g""",
+)
 def m01b(spark, d):
-    return K.motif_spans(B.sequences(spark, d), [(n, p, s) for n, p, s, _ in MOTIFS])
+    # the motif, then the error base
+    return K.motif_spans(B.sequences(spark, d), [(n, f"({p.replace('(', '(?:')})(.)", s) for n, p, s, _ in MOTIFS])
 
 
 @query("m02_motifs_by_platform", f"{SEQ}, m AS (SELECT * FROM (VALUES {', '.join(f"('{n}', '{p}', {s}, '{g}')" for n, p, s, g in MOTIFS)}) t(name, pattern, score, platform)) SELECT sample, name, CAST(len(regexp_extract_all(seq, pattern)) AS BIGINT) AS n FROM sq, m WHERE platform = 'p1' AND score >= 2 AND len(regexp_extract_all(seq, pattern)) > 0")
@@ -346,4 +380,4 @@ SELECT a.sample AS a, b.sample AS b, count(*) FILTER (a.nt <> b.nt AND a.nt <> '
 def flagship(spark, d):
     """Observations to calls, cohort, filtered sites, distances in order."""
     good = S.site_filter(B.genotypes(spark, d), ambiguities=True, ns_as_ref=True)
-    return D.pairwise(good).orderBy("d", "a", "b")
+    return D.pairwise(IO.kept(good, "good-sites")).orderBy("d", "a", "b")

@@ -75,7 +75,7 @@ def read_intervals(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def alignment_to_long(alignment: DataFrame) -> DataFrame:
     """sample, pos (from 1), nt (upper case) of (sample, seq)."""
-    letters = F.transform(F.sequence(F.lit(1), F.char_length("seq")), lambda i: F.upper(F.substring("seq", i, F.lit(1))))
+    letters = F.regexp_extract_all(F.upper("seq"), F.lit("(?s)."), F.lit(0))
     return alignment.filter("char_length(seq) > 0").select("sample", F.posexplode(letters)).select("sample", (F.col("pos") + 1).cast("long").alias("pos"), F.col("col").alias("nt"))
 
 
@@ -92,6 +92,38 @@ def clean_header(name: str) -> str:
     return re.sub(r":GT$", "", re.sub(r"^\[\d+\]", "", name.lstrip("# ").strip()))
 
 
+def write_matrix(matrix: DataFrame, path: str) -> None:
+    """A wide site matrix (contig, pos, ref, samples) as tab-separated text, with numbered headers."""
+    names = [f"[{i + 1}]{c}" + (":GT" if i > 2 else "") for i, c in enumerate(("CHROM", "POS", "REF", *matrix.columns[3:]))]
+    matrix.toDF(f"# {names[0]}", *names[1:]).write.csv(path, sep="\t", header=True, quote="")
+
+
+def read_matrix(spark: SparkSession, path: str) -> DataFrame:
+    """contig, pos, ref, sample, nt of site matrices with headers as tools print them."""
+    return matrix_to_long(spark.read.csv(path, sep="\t", header=True, quote=""))
+
+
+def write_transposed(lines: DataFrame, path: str) -> None:
+    """transposed_lines as tab-separated text."""
+    lines.select(F.concat_ws("\t", "sample", "line")).write.text(path)
+
+
+def read_transposed(spark: SparkSession, path: str) -> DataFrame:
+    """sample, line."""
+    return spark.read.text(path).select(F.substring_index("value", "\t", 1).alias("sample"), F.regexp_replace("value", "^[^\t]*\t?", "").alias("line"))
+
+
+def write_fasta(alignment: DataFrame, path: str) -> None:
+    """sample, seq as `>sample`, then the sequence on a line of its own."""
+    alignment.select(F.concat(F.lit(">"), "sample", F.lit("\n"), "seq")).write.text(path)
+
+
+def read_fasta(spark: SparkSession, path: str) -> DataFrame:
+    """sample, seq of FASTA files; a sequence may have several lines."""
+    rows = spark.read.option("lineSep", ">").text(path).filter("value <> ''")
+    return rows.select(F.substring_index("value", "\n", 1).alias("sample"), F.regexp_replace(F.regexp_replace("value", "^[^\n]*\n?", ""), "[\r\n]", "").alias("seq"))
+
+
 def matrix_to_long(matrix: DataFrame) -> DataFrame:
     """contig, pos, ref, sample, nt of a wide site matrix with headers as tools print them."""
     named = matrix.toDF(*[clean_header(c) for c in matrix.columns])

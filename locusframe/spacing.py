@@ -1,18 +1,20 @@
-"""Operators over the spacing of sites along a contig."""
+"""Operators over the spacing of sites along a contig, in bins of positions (see along)."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from locusframe.along import WIDTH, binned, neighbours, with_keys
 
-def _along(*by: str):
-    return Window.partitionBy(*(by or ("contig",))).orderBy("pos")
+EXTRA = ("_prev", "_next", "_i", "_total")
 
 
 def gaps(sites: DataFrame) -> DataFrame:
     """sites with gap: the distance to the next site of the contig (null at its end)."""
-    return sites.withColumn("gap", F.lead("pos").over(_along()) - F.col("pos"))
+    return neighbours(sites).withColumn("gap", F.col("_next") - F.col("pos")).drop(*EXTRA)
 
 
 def density_filter(sites: DataFrame, k: int, window: int) -> DataFrame:
@@ -20,40 +22,82 @@ def density_filter(sites: DataFrame, k: int, window: int) -> DataFrame:
     least `window` before the end. k of 1 and contigs of at most k sites keep all."""
     if k <= 1:
         return sites
-    n = F.count(F.lit(1)).over(Window.partitionBy("contig"))
-    rows = sites.withColumn("_i", F.row_number().over(_along()) - 1).withColumn("_n", n)
-    rows = rows.withColumn("_ahead", F.lead("pos", k - 1).over(_along()) - F.col("pos"))
-    every = Window.partitionBy("contig")
-    span = F.max("pos").over(every) - F.max(F.when(F.col("_i") == F.col("_n") - k - 1, F.col("pos"))).over(every)
-    tail = F.col("_i") >= F.col("_n") - k
-    return rows.withColumn("_span", span).filter((F.col("_n") <= k) | F.when(tail, F.col("_span") >= window).otherwise(F.col("_ahead") >= window)).drop("_i", "_n", "_ahead", "_span")
+    rows = neighbours(sites)
+    # the site k - 1 places further, by its rank
+    ahead = rows.select("contig", (F.col("_i") - (k - 1)).alias("_i"), F.col("pos").alias("_pos"))
+    rows = with_keys(rows, ahead, ("contig", "_i")).withColumn("_ahead", F.col("_pos") - F.col("pos"))
+    ends = neighbours(sites).groupBy("contig").agg((F.max("pos") - F.max(F.when(F.col("_i") == F.col("_total") - k - 1, F.col("pos")))).alias("_span"))
+    rows = with_keys(rows, ends, ("contig",))
+    tail = F.col("_i") >= F.col("_total") - k
+    return rows.filter((F.col("_total") <= k) | F.when(tail, F.col("_span") >= window).otherwise(F.col("_ahead") >= window)).drop("_pos", "_ahead", "_span", *EXTRA)
 
 
 def far_from_previous(sites: DataFrame, distance: int) -> DataFrame:
     """Sites more than `distance` after the one before, whether that stays or not; a contig's first stays."""
-    before = F.lag("pos").over(_along())
-    return sites.withColumn("_gap", F.col("pos") - before).filter(F.col("_gap").isNull() | (F.col("_gap") > distance)).drop("_gap")
+    return neighbours(sites).filter(F.col("_prev").isNull() | (F.col("pos") - F.col("_prev") > distance)).drop(*EXTRA)
 
 
 def least_gap(sites: DataFrame, distance: int, first: bool = True) -> DataFrame:
     """Sites at least `distance` after the one before; a contig's first stays, or (first=False) is compared to itself."""
-    before = F.lag("pos").over(_along())
-    before = before if first else F.coalesce(before, F.col("pos"))
-    return sites.withColumn("_gap", F.col("pos") - before).filter(F.col("_gap").isNull() | (F.col("_gap") >= distance)).drop("_gap")
+    before = F.col("_prev") if first else F.coalesce("_prev", "pos")
+    gap = F.col("pos") - before
+    return neighbours(sites).filter(gap.isNull() | (gap >= distance)).drop(*EXTRA)
 
 
-def thin(sites: DataFrame, distance: int, by: tuple[str, ...] = ("contig",)) -> DataFrame:
+def _following(ps: np.ndarray, distance: int) -> np.ndarray:
+    """For each of several ascending positions, the place of the first at least `distance` after it."""
+    return np.searchsorted(ps, ps + distance)
+
+
+def thin(sites: DataFrame, distance: int, by: tuple[str, ...] = ("contig",), width: int | None = None) -> DataFrame:
     """Greedy thinning: a site stays if it is at least `distance` after the last one that stayed.
 
-    A gap of `distance` between neighbours begins anew whatever came before, so runs between such gaps fold by themselves.
+    In bins of `width` positions (a million, 1,000 times the distance at least). The first site of a bin that stays is one of
+    those in its first `distance` positions or the next; for each of them a bin tells which site stays last. Going through
+    these tables, about `distance` entries a bin, settles where each bin begins; then each bin is thinned by itself.
     """
-    along = _along(*by)
-    start = F.when(F.col("pos") - F.lag("pos").over(along) < distance, 0).otherwise(1)
-    runs = sites.select(*by, "pos").distinct().withColumn("start", start).withColumn("run", F.sum("start").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    runs = runs.groupBy(*by, "run").agg(F.array_sort(F.collect_list("pos")).alias("ps"))
-    none = F.array().cast("array<bigint>")
-    fold = F.aggregate("ps", none, lambda acc, p: F.when((F.size(acc) == 0) | (p - F.element_at(acc, -1) >= distance), F.concat(acc, F.array(p))).otherwise(acc))
-    return sites.join(runs.select(*by, F.explode(fold).alias("pos")), [*by, "pos"], "left_semi")
+    distance = max(int(distance), 1)
+    width = width or max(1 << 20, 1000 * distance)
+    keys = (*by, "_bin")
+    rows = binned(sites.select(*by, "pos").filter("pos is not null").distinct(), "pos", width).withColumn("pos", F.col("pos").cast("long"))
+    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*by).schema.fields)
+
+    def named(key: tuple, n: int) -> dict[str, pd.Series]:
+        return {c: pd.Series([v] * n, dtype=object) for c, v in zip(by, key, strict=False)}
+
+    def table(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        ps = np.sort(part["pos"].to_numpy())
+        follows = _following(ps, distance)
+        last = np.arange(len(ps))
+        for i in range(len(ps) - 1, -1, -1):
+            if follows[i] < len(ps):
+                last[i] = last[follows[i]]
+        n = int(np.searchsorted(ps, key[-1] * width + distance)) + 1
+        return pd.DataFrame({**named(key, 1), "_bin": [key[-1]], "entry": [ps[:n]], "last": [ps[last[:n]]]})
+
+    def begin(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("_bin")
+        first, held = [], None
+        for entry, last in zip(part["entry"], part["last"], strict=True):
+            # without an entry far enough, no site of the bin is
+            at = 0 if held is None else int(np.searchsorted(entry, held + distance))
+            first.append(int(entry[at]) if at < len(entry) else held + distance)
+            held = int(last[at]) if at < len(last) else held
+        return pd.DataFrame({**named(key, len(first)), "_bin": part["_bin"].to_numpy(), "first": first})
+
+    def kept(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        ps = np.sort(part["pos"].to_numpy())
+        follows, out = _following(ps, distance), []
+        i = int(np.searchsorted(ps, part["first"].iloc[0]))
+        while i < len(ps):
+            out.append(ps[i])
+            i = follows[i]
+        return pd.DataFrame({**named(key, len(out)), "pos": np.array(out, np.int64)})
+
+    tables = rows.groupBy(*keys).applyInPandas(table, f"{own}, _bin long, entry array<long>, last array<long>")
+    firsts = tables.groupBy(*by).applyInPandas(begin, f"{own}, _bin long, first long")
+    chosen = with_keys(rows, firsts, keys).groupBy(*keys).applyInPandas(kept, f"{own}, pos long")
+    return with_keys(sites, chosen.withColumn("_kept", F.lit(True)), (*by, "pos"), "left").filter("_kept").drop("_kept")
 
 
 def binned_gaps(sites: DataFrame, size: int = 100) -> DataFrame:
@@ -90,7 +134,11 @@ def slopes(dense: DataFrame, width: int = 10) -> DataFrame:
     last = dense.groupBy("contig").agg(F.max("pos").alias("last"))
     pad = last.select("contig", F.explode(F.sequence(F.col("last") + 1, F.col("last") + width - 1)).alias("pos"), F.lit(0).alias("depth"), F.lit(True).alias("pad"))
     rows = dense.select("contig", "pos", "depth", F.lit(False).alias("pad")).unionByName(pad)
-    frame = _along().rowsBetween(0, width - 1)
+    # a window that reaches into the next bin finds its first positions here as guests
+    own = F.floor(F.col("pos") / WIDTH)
+    places = F.when(F.col("pos") - own * WIDTH < width - 1, F.array(own, own - 1)).otherwise(F.array(own))
+    rows = rows.withColumn("_bin", F.explode(places)).withColumn("pad", F.col("pad") | (F.col("_bin") != own))
+    frame = Window.partitionBy("contig", "_bin").orderBy("pos").rowsBetween(0, width - 1)
     sums = {"n": F.lit(1), "x": F.col("pos"), "y": F.col("depth"), "xx": F.col("pos") * F.col("pos"), "xy": F.col("pos") * F.col("depth"), "yy": F.col("depth") * F.col("depth")}
     rows = rows.select("contig", "pos", "pad", *[F.sum(v.cast("long")).over(frame).alias(k) for k, v in sums.items()]).filter("not pad")
     # whole numbers, so equal in any order of adding

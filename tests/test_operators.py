@@ -14,6 +14,7 @@ from locusframe import sites as S
 from locusframe import sketch as K
 from locusframe import sources as IO
 from locusframe import spacing as W
+from locusframe.along import neighbours
 
 
 def sites(spark, *pos, contig="c"):
@@ -74,6 +75,31 @@ def test_thinning_is_greedy(spark):
                 want.append(p)
                 last = p
         assert kept(W.thin(sites(spark, *pos), 17)) == want
+        for width in (17, 40, 100, 700):
+            assert kept(W.thin(sites(spark, *pos), 17, width=width)) == want
+
+
+def test_neighbours_across_bins(spark):
+    r = random.Random(2)
+    pos = sorted(r.sample(range(500), 60)) + [499, 499]
+    rows = [("c", p) for p in pos] + [(None, 7), (None, 3)]
+    df = spark.createDataFrame(rows, "contig string, pos long")
+    for width in (1, 13, 10_000):
+        got = neighbours(df, width=width).collect()
+        mine = sorted((x._i, x.pos, x._prev, x._next, x._total) for x in got if x.contig == "c")
+        assert [x[0] for x in mine] == list(range(62)) and [x[1] for x in mine] == sorted(pos) and {x[4] for x in mine} == {62}
+        assert [x[2] for x in mine] == [None, *sorted(pos)[:-1]] and [x[3] for x in mine] == [*sorted(pos)[1:], None]
+        assert sorted((x.pos, x._prev, x._next) for x in got if x.contig is None) == [(3, None, 7), (7, 3, None)]
+    intervals = [("c", a, a + r.randint(0, 30)) for a in r.sample(range(400), 40)]
+    want = []
+    for _, lo, hi in sorted(intervals):
+        if want and lo <= want[-1][1] + 3:
+            want[-1][1] = max(want[-1][1], hi)
+        else:
+            want.append([lo, hi])
+    table = spark.createDataFrame(intervals, "contig string, lo long, hi long")
+    for size in (1, 7, 1000):
+        assert sorted([x.lo, x.hi] for x in I.union(table, 3, size).collect()) == want
 
 
 def test_intervals(spark):
@@ -191,5 +217,12 @@ def test_kmers_and_motifs(spark):
     assert {(r["sample"], r.kmer): r.n for r in K.kmers(seqs, 2, 1).collect()} == {(1, "ab"): 2, (1, "ba"): 1, (2, "ab"): 1}
     j = K.jaccard(K.kmers(seqs, 2, 1)).first()
     assert (j.a, j.b, j.common, j.total, j.distance) == (1, 2, 1, 2, 0.5)
-    assert [(r.start, r.end) for r in K.motif_spans(seqs, [("m", "ab", 1.0)]).orderBy("sample", "start").collect()] == [(1, 2), (3, 4), (1, 2)]
+    spans = K.motif_spans(seqs, [("m", "ab", 1.0)]).orderBy("sample", "start").collect()
+    assert [(r.start, r.end, r.error, r.error_start) for r in spans] == [(1, 2, "a", 3), (3, 4, None, None), (1, 2, None, None)]
+    spans = K.motif_spans(seqs, [("m", "(b)(a)", 1.0)]).collect()
+    assert [(r.start, r.end, r.error, r.error_start, r.error_end) for r in spans] == [(2, 2, "a", 3, 3)]
+    many = spark.createDataFrame([(i, f"common {'x' * (i % 5 + 2)} y{i % 9}") for i in range(200)], "sample long, seq string")
+    sets = {i: {t[j : j + 3] for j in range(len(t) - 2)} for i, t in ((r["sample"], r.seq) for r in many.collect())}
+    got = {(r.a, r.b): (r.common, r.total) for r in K.jaccard(K.kmers(many, 3, 1)).collect()}
+    assert got == {(a, b): (len(sets[a] & sets[b]), len(sets[a] | sets[b])) for a in sets for b in sets if a < b}
     assert [r.c for r in spark.createDataFrame([("acgtn",)], "k string").select(K.encoded(F.col("k")).alias("c")).collect()] == ["01234"]
