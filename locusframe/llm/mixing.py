@@ -1,11 +1,12 @@
 """Mixing sources to target weights by a low-discrepancy schedule (operator 3).
 
 The mix has as many words as the documents. Each source's target is its weight's share, at most `most` times its size; what
-is over goes to the others by weight. The mix is a sequence of slots, one for each block of equal size in words. The golden
-ratio's multiples, modulo 1, are spread evenly over [0, 1): slot i goes to the source under whose stretch of the cumulative
-targets its point falls, so that every stretch of the mix has the sources in proportion. A slot's rank among its source's
-slots tells which block it takes: the source's documents, shuffled by a hash, are laid end to end and cut into blocks, and
-slots take blocks in this order, again from the first after the last.
+is over goes to the others by weight. A source's documents, shuffled by a hash, are laid end to end and cut into blocks of
+equal size in words: about the mix's words by `slots`, but at least FINEST blocks a source, so that a small one comes near its
+target too, however large the rest is. The mix is a sequence of slots, one a block. The golden ratio's multiples, modulo 1, are
+spread evenly over [0, 1): slot i goes to the source under whose stretch of the cumulative targets, counted in blocks, its
+point falls, so that every stretch of the mix has the sources in proportion. A slot's rank among its source's slots tells
+which block it takes: they take blocks in order, again from the first after the last.
 
 Ranks and running sums are taken in two steps (inside stretches of slots or hash buckets, then over their totals), so a source
 with a third of all rows is no single task.
@@ -24,8 +25,9 @@ from locusframe.llm.store import written
 WORD = "[^\\x20\\x09-\\x0D]+"
 WEIGHTS = (5, 2, 1)
 GOLDEN = 0.6180339887498949
-#: Blocks are as large as makes about this many slots.
+#: Blocks are as large as makes about this many slots, but a source has FINEST blocks at least (of a word at least).
 SLOTS = 1 << 20
+FINEST = 1 << 10
 STRETCH = 1 << 12
 BUCKETS = 1024
 
@@ -36,8 +38,9 @@ def sizes(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", key.alias("key"), F.xxhash64("text").alias("h"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
 
 
-def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3) -> DataFrame:
-    """source, rank (from 0), source_size, target, upto (whole targets up to and with this one), whole. A row a source."""
+def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, slots: int = SLOTS) -> DataFrame:
+    """source, rank (from 0), source_size, target, block (words), whole (the target in blocks), upto (whole up to and with this
+    one). A row a source."""
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     order = Window.orderBy(F.col("source").asc_nulls_last())
     per = per.withColumn("rank", (F.row_number().over(order) - 1).cast("long"))
@@ -53,15 +56,18 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3)
     # the first source that does not fill up sets the rate of all after it
     per = per.withColumn("held", F.first("open", ignorenulls=True).over(fill.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     per = per.withColumn("target", F.coalesce(F.col("held") * F.col("weight"), F.col("full").cast("double")))
-    per = per.withColumn("whole", F.floor("target").cast("long"))
-    return per.withColumn("upto", F.sum("whole").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).select("source", "rank", "source_size", "target", "whole", "upto")
+    even = F.ceil(F.col("total") / float(slots))
+    per = per.withColumn("block", F.greatest(F.lit(1), F.least(even, F.ceil(F.col("source_size") / float(FINEST)))).cast("long"))
+    per = per.withColumn("whole", F.round(F.col("target") / F.col("block")).cast("long"))
+    upto = F.sum("whole").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return per.withColumn("upto", upto).select("source", "rank", "source_size", "target", "block", "whole", "upto")
 
 
-def schedule(plan: DataFrame, total: int, block: int) -> DataFrame:
+def schedule(plan: DataFrame) -> DataFrame:
     """slot, rank (of its source), nth (its place among the source's slots, from 0)."""
     spark = plan.sparkSession
     whole = plan.agg(F.max("upto")).first()[0] or 0
-    slots = spark.range(-(-total // block)).select(F.col("id").alias("slot"))
+    slots = spark.range(whole).select(F.col("id").alias("slot"))
     point = (F.col("slot") + 0.5) * GOLDEN
     slots = slots.select("slot", F.floor((point - F.floor(point)) * whole).cast("long").alias("at"), F.floor(F.col("slot") / STRETCH).cast("long").alias("stretch"))
     bounds = plan.filter("whole > 0").select(F.col("rank"), (F.col("upto") - F.col("whole")).alias("lo"), F.col("upto").alias("hi"))
@@ -77,8 +83,8 @@ def schedule(plan: DataFrame, total: int, block: int) -> DataFrame:
 
 
 def laid_out(sized: DataFrame, plan: DataFrame) -> DataFrame:
-    """sized with rank, source_size, target and lo, the words of its source before this document."""
-    of = plan.select(F.col("source").alias("of"), "rank", "source_size", "target")
+    """sized with rank, source_size, target, block and lo, the words of its source before this document."""
+    of = plan.select(F.col("source").alias("of"), "rank", "source_size", "target", "block")
     rows = sized.join(of, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     rows = rows.withColumn("bucket", F.floor(F.conv(F.substring("key", 1, 4), 16, 10).cast("int") * BUCKETS / 65536))
     sums = rows.groupBy("rank", "bucket").agg(F.sum("size").alias("n"))
@@ -91,17 +97,16 @@ def laid_out(sized: DataFrame, plan: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, slots: int = SLOTS) -> DataFrame:
     """doc_id, source, h (a hash of the text), size, source_size, target, taken: words the mix takes, repeats counted."""
     sized = written(sizes(docs), "sizes")
-    plan = written(targets(sized, weights, most), "targets")
-    total = plan.agg(F.sum("source_size")).first()[0] or 0
-    block = max(1, -(-total // slots))
+    plan = written(targets(sized, weights, most, slots), "targets")
     placed = written(laid_out(sized, plan), "laid-out")
-    blocks = F.ceil(F.col("source_size") / block).cast("long")
-    chosen = schedule(plan, total, block).join(plan.select("rank", "source_size"), "rank")
+    blocks = F.ceil(F.col("source_size") / F.col("block")).cast("long")
+    chosen = schedule(plan).join(plan.select("rank", blocks.alias("blocks")), "rank")
     # blocks run through the source in order, `most` times at most
-    times = chosen.filter(F.col("nth") < most * blocks).groupBy("rank", (F.col("nth") % blocks).alias("block")).agg(F.count(F.lit(1)).alias("times"))
-    pieces = placed.filter("size > 0").select("rank", "key", "doc_id", "h", "lo", "size", F.explode(F.sequence(F.floor(F.col("lo") / block), F.floor((F.col("lo") + F.col("size") - 1) / block))).alias("block"))
-    words = F.least(F.col("lo") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("lo"), F.col("block") * block)
-    taken = pieces.join(times, ["rank", "block"]).groupBy("rank", "lo").agg(F.sum(words * F.col("times")).cast("long").alias("taken"))
+    times = chosen.filter(F.col("nth") < most * F.col("blocks")).groupBy("rank", (F.col("nth") % F.col("blocks")).alias("number")).agg(F.count(F.lit(1)).alias("times"))
+    block, end = F.col("block"), F.col("lo") + F.col("size")
+    pieces = placed.filter("size > 0").select("rank", "lo", "size", "block", F.explode(F.sequence(F.floor(F.col("lo") / block), F.floor((end - 1) / block))).alias("number"))
+    words = F.least(end, (F.col("number") + 1) * block) - F.greatest(F.col("lo"), F.col("number") * block)
+    taken = pieces.join(times, ["rank", "number"]).groupBy("rank", "lo").agg(F.sum(words * F.col("times")).cast("long").alias("taken"))
     # a document with words is known by its source and where it begins
     out = placed.join(taken.withColumnsRenamed({"rank": "r", "lo": "l"}), (F.col("rank") == F.col("r")) & (F.col("lo") == F.col("l")) & (F.col("size") > 0), "left")
     return out.select("doc_id", "source", "h", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
@@ -144,26 +149,29 @@ filling AS (
 opened AS (
   SELECT *, first_value(CASE WHEN full_size > rate * weight THEN rate END IGNORE NULLS) OVER (ORDER BY CAST(full_size AS DOUBLE) / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS held
   FROM filling),
-aimed AS (SELECT *, coalesce(held * weight, CAST(full_size AS DOUBLE)) AS target FROM opened),
+aimed AS (
+  SELECT *, coalesce(held * weight, CAST(full_size AS DOUBLE)) AS target,
+         greatest(1, least((total + 1048575) // 1048576, (source_size + 1023) // 1024)) AS block
+  FROM opened),
 plan AS (
-  SELECT source, rank, source_size, target, total, CAST(floor(target) AS BIGINT) AS whole,
-         CAST(sum(floor(target)) OVER (ORDER BY rank) AS BIGINT) AS upto
+  SELECT source, rank, source_size, target, block, CAST(round(target / CAST(block AS DOUBLE)) AS BIGINT) AS whole,
+         CAST(sum(round(target / CAST(block AS DOUBLE))) OVER (ORDER BY rank) AS BIGINT) AS upto
   FROM aimed),
-const AS (SELECT max(total) AS total, max(upto) AS whole, greatest(1, (max(total) + 1048575) // 1048576) AS block FROM plan),
+const AS (SELECT max(upto) AS whole FROM plan),
 slots AS (
   SELECT slot, CAST(floor(((slot + 0.5::DOUBLE) * 0.6180339887498949::DOUBLE - floor((slot + 0.5::DOUBLE) * 0.6180339887498949::DOUBLE)) * whole) AS BIGINT) AS at
-  FROM (SELECT unnest(range(CAST((total + block - 1) // block AS BIGINT))) AS slot, whole FROM const)),
+  FROM (SELECT unnest(range(whole)) AS slot, whole FROM const)),
 found AS (
-  SELECT p.rank, p.source_size, row_number() OVER (PARTITION BY p.rank ORDER BY slot) - 1 AS nth
+  SELECT p.rank, p.source_size, p.block, row_number() OVER (PARTITION BY p.rank ORDER BY slot) - 1 AS nth
   FROM slots ASOF JOIN (SELECT *, upto - whole AS lo FROM plan WHERE whole > 0) p ON slots.at >= p.lo),
 times AS (
   SELECT rank, nth % ((source_size + block - 1) // block) AS block_no, count(*) AS times
-  FROM found, const WHERE nth < 3 * ((source_size + block - 1) // block) GROUP BY ALL),
+  FROM found WHERE nth < 3 * ((source_size + block - 1) // block) GROUP BY ALL),
 placed AS (
-  SELECT s.*, p.rank, p.source_size, p.target,
+  SELECT s.*, p.rank, p.source_size, p.target, p.block,
          CAST(coalesce(sum(size) OVER (PARTITION BY p.rank ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS lo
   FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source),
-pieces AS (SELECT *, unnest(range(lo // block, (lo + size - 1) // block + 1)) AS block_no FROM placed, const WHERE size > 0),
+pieces AS (SELECT *, unnest(range(lo // block, (lo + size - 1) // block + 1)) AS block_no FROM placed WHERE size > 0),
 taken AS (
   SELECT q.doc_id, CAST(sum((least(lo + size, (q.block_no + 1) * block) - greatest(lo, q.block_no * block)) * times) AS BIGINT) AS taken
   FROM pieces q JOIN times t ON q.rank = t.rank AND q.block_no = t.block_no GROUP BY q.doc_id)

@@ -52,3 +52,20 @@ def test_empty(spark):
     assert mix(df).count() == 0 and mixed(df).count() == 0
     none = spark.createDataFrame([(1, None, None, "x"), (2, " ", "a", "x")], SCHEMA)
     assert [(r.size, r.target, r.taken) for r in mix(none).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_small_sources_come_near_their_targets_with_few_slots(spark):
+    r = random.Random(1)
+    data = [(i, " ".join("w" for _ in range(r.randint(200, 900))), f"s{i % 3}", "x") for i in range(600)]
+    data += [(1000 + i, " ".join("w" for _ in range(20)), "tiny", "x") for i in range(5)] + [(2000 + i, "a b c d e f g", "u", "x") for i in range(200)]
+    got = mix(spark.createDataFrame(data, SCHEMA), slots=64).toPandas()
+    for _, g in got.groupby("source"):
+        target, size = g["target"].iloc[0], g["source_size"].iloc[0]
+        assert abs(g["taken"].sum() - target) <= max(8, 0.02 * size), (target, size, g["taken"].sum())
+    assert (got["taken"] <= 3 * got["size"]).all()
+
+
+def test_null_ids_and_repeated_rows(spark):
+    data = [(None, "a b c", "x", "r")] * 3 + [(1, "d e", "x", "r")] * 2 + [(2, "f", None, None)]
+    got = mix(spark.createDataFrame(data, SCHEMA)).collect()
+    assert len(got) == 6 and all(0 <= r.taken <= 3 * r.size for r in got)
