@@ -6,9 +6,10 @@ encoding: its scores are merge ranks, for which the best path of a Viterbi searc
 the edges that span two neighbouring segments, the one of the best score until none is left.
 
 Words are cut before a run of spaces and around \\t and \\n, which no piece of such models spans (checked on loading). The join
-serves the corpus's most frequent words, at most `dictionary` of them, so the encodings go to all tasks as a table of bounded
-size. A join of all words' encodings back to each text would shuffle every token twice, more than twice the input. Words
-outside the table are merged in the task that meets them, by the same rule.
+serves the corpus's frequent words, at most `dictionary` of them and of LONGEST_WORD characters each, so that the encodings go
+to all tasks as a table of bounded size; which words are in it changes no result. A join of all words' encodings back to each
+text would shuffle every token twice, more than twice the input. Words outside the table are merged in the task that meets
+them, by the same rule.
 
 As the library does, a text gets a space before it, spaces become U+2581, and characters without a piece become their UTF-8
 bytes' pieces. Defined results: null and empty texts have no pieces; U+2581 in a text decodes to a space, so such a text does
@@ -28,9 +29,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from locusframe.llm.store import written
+
 SPACE = "▁"
 UNIT = f"{SPACE}+[^{SPACE}\\t\\n]*|[^{SPACE}\\t\\n]+|[\\t\\n]"
-LONGEST_WORD = 32
+LONGEST_WORD = 64
 #: Words that a task remembers besides the table.
 REMEMBERED = 400_000
 
@@ -175,10 +178,21 @@ def normalised(text: Column) -> Column:
 
 
 def frequent_words(docs: DataFrame, most: int) -> DataFrame:
-    """word: the most frequent words of all texts, at most so many and not too long."""
+    """word: the most frequent words of all texts that occur twice and are not too long, at most so many.
+
+    Counts fall into classes of about 4 % each; the words of the highest classes that fit are taken, so nothing is sorted and
+    the driver sees a number for each class.
+    """
     words = docs.select(F.explode(F.regexp_extract_all(normalised(docs["text"]), F.lit(UNIT), F.lit(0))).alias("word"))
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.char_length("word") <= LONGEST_WORD)
-    return counts.orderBy(F.desc("n"), "word").limit(most).select("word").repartition("word")
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & (F.char_length("word") <= LONGEST_WORD))
+    counts = written(counts.select("word", F.floor(F.log2("n") * 16).cast("int").alias("of")), "frequent-words")
+    least, total = None, 0
+    for r in sorted(counts.groupBy("of").agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        total += r.words
+        if total > most:
+            break
+        least = r.of
+    return counts.filter(F.lit(False) if least is None else F.col("of") >= least).select("word").repartition("word")
 
 
 class Memory(dict):
@@ -207,12 +221,12 @@ def _encoded(docs: DataFrame, pieces: Pieces, dictionary: int):
     return context.broadcast(table), context.broadcast(pieces)
 
 
-def encode(docs: DataFrame, pieces: Pieces, dictionary: int = 1 << 12, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode(docs: DataFrame, pieces: Pieces, dictionary: int = 1 << 16, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The named columns of docs and ids (array<int>)."""
     return _over(docs, pieces, dictionary, columns, digest=False)
 
 
-def digests(docs: DataFrame, pieces: Pieces, dictionary: int = 1 << 12) -> DataFrame:
+def digests(docs: DataFrame, pieces: Pieces, dictionary: int = 1 << 16) -> DataFrame:
     """doc_id, n_tokens, n_bytes (of them byte pieces), ids_sha256 (ids as little-endian 32-bit), round_trip: decoding the ids
     gives the text."""
     return _over(docs, pieces, dictionary, ("doc_id",), digest=True)

@@ -3,7 +3,7 @@ import random
 import public_tokenizers
 import sentencepiece
 
-from locusframe.llm.pieces import Pieces, decode, digests, encode, encode_words, merge
+from locusframe.llm.pieces import Pieces, decode, digests, encode, encode_words, frequent_words, merge
 
 SCHEMA = "doc_id long, text string, ids string, own0 int"
 SP = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
@@ -35,6 +35,22 @@ def test_relational_words_match_merging(spark):
     assert got == {w: merge(w, pieces.table(), pieces.byte_ids) for w in words}
 
 
+def test_frequent_words_are_the_most_frequent(spark):
+    text = " ".join(w for i, w in enumerate("one two three four five six seven eight".split()) for _ in range(2**i)) + " " + "x" * 80 + " " + "x" * 80
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert {r.word for r in frequent_words(df, 3).collect()} == {"▁six", "▁seven", "▁eight"}
+    assert frequent_words(df, 0).count() == 0 and frequent_words(df, 100).count() == 7 and frequent_words(df.limit(0), 5).count() == 0
+
+
+def test_very_long_texts_repeated_rows_and_null_ids(spark):
+    pieces = Pieces.load()
+    long = " ".join(f"word{i % 977}" for i in range(120_000)) + "y" * 20_000
+    df = spark.createDataFrame([(1, long, "x", 1), (None, "again and again", "x", 1), (None, "again and again", "x", 1)], SCHEMA)
+    got = digests(df, pieces).collect()
+    assert len(got) == 3 and all(r.round_trip for r in got) and sum(r.doc_id is None for r in got) == 2
+    assert next(r for r in got if r.doc_id == 1).n_tokens == len(SP.encode(long))
+
+
 def test_mark_in_text_and_empty_table(spark):
     pieces = Pieces.load()
     df = spark.createDataFrame([(1, "a▁b", "x", 1)], SCHEMA)
