@@ -19,7 +19,7 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.assess(documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted", "evidence", "neighbours", "nearest")
+    return toxicity.assess(documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted", "evidence", "neighbours", "nearest", "voters")
 
 
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

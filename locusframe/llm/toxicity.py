@@ -1,17 +1,20 @@
 """Toxicity by nearest labelled examples (operator 2): exact TF-IDF cosine over a block-max inverted index.
 
-A text's terms are its lower-case words and their prefixes of PREFIXES letters. Terms found several
-times count as further terms. The vocabulary is those terms that go with
-one label in the examples (a likelihood-ratio test), so that a cosine compares what the label depends on. Terms are weighed by
-(1 + log tf) log((n + 1) / (df + 0.5)), df counted over all documents. The examples' vectors stand in an inverted index cut
-into blocks of examples; each block keeps every term's largest weight in it. A query goes through the blocks by falling upper
-bound and stops when a bound is below its k-th cosine, so the k nearest are exact. Their votes, weighed by cosine and by how
-many labelled rows each stands for, become a probability by a logistic fit to the examples' own leave-one-out votes.
-
 The examples are a bounded sample: about `per_label` labelled rows of either label, chosen by a hash; each label's rows stand
-for all its labelled rows. Different examples with the same vector are one example with their joint votes.
-
-Defined results: null and empty texts, and texts without a term of the vocabulary, get the share of label 1 among the examples
+for all its labelled rows. The vocabulary is every lower-case word of the examples, and of the words' prefixes of PREFIXES
+letters and of the marks "found 2, 3, 5 times" those that go with one label. A term weighs
+(1 + log tf) log((n + 1) / (df + 0.5)), df counted over all documents; terms that go with one label (a likelihood-ratio test
+on the examples) weigh in full, the others by OTHERS of it, as a cosine over all words alike sees mostly topic.
+
+The inverted index holds, for each term, the blocks of BLOCK examples that have it, with the largest weight in the block, and
+for each such block the examples and weights. Terms that a share of DENSE of the examples have stand as rows of a table
+instead. A query adds up that table's rows, and to the largest sum in each block the largest weights of its other terms: a
+bound. It opens blocks by falling bound, and stops when a bound is below its k-th cosine; so the k nearest are exact. Their votes, weighed by cosine and
+by how many labelled rows each stands for, become a probability by a logistic fit to the examples' own leave-one-out votes.
+The doc_ids of the examples that voted are the evidence. Different examples with the same vector are one example, under the
+smallest doc_id, with their joint votes.
+
+Defined results: null and empty texts, and texts without a word of the vocabulary, get the share of label 1 among the examples
 like them; without examples of both labels every score is the share of label 1 (0 without labels); labels other than 0 and 1,
 and null ones, are not learned; of several labels of one doc_id all count.
 """
@@ -19,6 +22,7 @@ and null ones, are not learned; of several labels of one doc_id all count.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -33,97 +37,162 @@ PREFIXES = (3, 4, 5, 6)
 #: A term found so often is a further term, "<term> x<times>": a cosine alone does not see how often all terms are there.
 LEVELS = (2, 3, 5)
 BLOCK = 32
-#: Blocks that a query meets at a time.
-STEP = 8
+#: Blocks that a query opens first; then four times as many each time.
+STEP = 12
+DENSE = 1 / 8
+#: The weight of terms that go with no label.
+OTHERS = 0.05
 
 
 def _forms(word: str) -> tuple[str, ...]:
     return (word, *[f"{word[:k]}*" for k in PREFIXES if len(word) > k])
 
 
-def _with_levels(found: Counter) -> Counter:
-    out = Counter(found)
-    for term, n in found.items():
-        for level in LEVELS:
-            if n >= level:
-                out[f"{term} x{level}"] = 1
-    return out
-
-
 def terms(text: str | None) -> Counter:
-    """Counts of the text's terms."""
+    """Counts of the text's words, their prefixes, and the marks of how often each was found."""
     found: Counter = Counter()
     for word, n in Counter(WORD.findall((text or "").lower())).items():
         for term in _forms(word):
             found[term] += n
-    return _with_levels(found)
+    return found + Counter(f"{t} x{level}" for t, n in found.items() for level in LEVELS if n >= level)
+
+
+class _Words(dict):
+    """A number for each word met, and in `flat`, from first[number] to first[number + 1], the vocabulary's terms in it."""
+
+    def __init__(self, wanted: dict[str, int]):
+        super().__init__()
+        self.wanted, self.flat, self.first = wanted, array("q"), array("q", [0])
+        self.starts = {k: {t[:-1]: i for t, i in wanted.items() if len(t) == k + 1 and t[-1] == "*"} for k in PREFIXES}
+
+    def __missing__(self, word: str) -> int:
+        if word in self.wanted:
+            self.flat.append(self.wanted[word])
+        n = len(word)
+        for k, starts in self.starts.items():
+            if n > k and (hit := starts.get(word[:k])) is not None:
+                self.flat.append(hit)
+        self.first.append(len(self.flat))
+        self[word] = len(self)
+        return len(self) - 1
 
 
 class Finder:
-    """Counts of a vocabulary's terms in texts, by their number. Remembers which words hold none, so most cost one look-up."""
+    """The vocabulary's terms in texts, by number. Remembers what is wanted of a word, so most words cost one look-up."""
 
     def __init__(self, wanted: dict[str, int]):
-        self.wanted, self.plain = wanted, {t for t in wanted if " x" not in t}
-        self.known: dict[str, tuple[str, ...]] = {}
-
-    def __call__(self, text: str | None) -> Counter:
-        found: Counter = Counter()
-        known = self.known
-        for word in WORD.findall((text or "").lower()):
-            hits = known.get(word)
-            if hits is None:
-                if len(known) > 300_000:
-                    known.clear()
-                hits = known[word] = tuple(t for t in _forms(word) if t in self.plain)
-            for term in hits:
-                found[term] += 1
-        return Counter({self.wanted[t]: n for t, n in _with_levels(found).items() if t in self.wanted})
+        self.wanted, self.known = wanted, _Words(wanted)
+        marks = sorted((wanted[t.rpartition(" x")[0]], int(t.rpartition(" x")[2]), i) for t, i in wanted.items() if " x" in t)
+        self.base, self.level, self.mark = np.array(marks, np.int64).reshape(-1, 3).T
+
+    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(terms in order, their counts)."""
+        if len(self.known) > 300_000:
+            self.known = _Words(self.wanted)
+        number, n = np.unique(np.array([self.known[w] for w in WORD.findall((text or "").lower())], np.int64), return_counts=True)
+        first = np.frombuffer(self.known.first, np.int64)
+        lo, hi = first[number], first[number + 1]
+        hits = np.frombuffer(self.known.flat, np.int64)[_ranges(lo, hi)] if len(self.known.flat) else number[:0]
+        ids, place = np.unique(hits, return_inverse=True)
+        counts = np.bincount(place, np.repeat(n, hi - lo), minlength=len(ids))
+        if len(self.mark) and len(ids):
+            at = np.minimum(np.searchsorted(ids, self.base), len(ids) - 1)
+            more = self.mark[(ids[at] == self.base) & (counts[at] >= self.level)]
+            ids, counts = np.append(ids, more), np.append(counts, np.ones(len(more)))
+            order = np.argsort(ids)
+            ids, counts = ids[order], counts[order]
+        return ids, counts
+
+
+def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """first[0] .. last[0] - 1, first[1] .. last[1] - 1, ..."""
+    sizes = last - first
+    return np.arange(sizes.sum()) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
 
 
 @dataclass
 class Index:
     vocabulary: dict[str, int]
-    idf: np.ndarray
-    vectors: list[dict[int, float]] = field(default_factory=list)
+    idf: np.ndarray  # times OTHERS for terms that go with no label
+    strong: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))  # terms that go with a label
+    names: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # doc_id of each example
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))  # votes of each example for label 1
     clean: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    postings: np.ndarray = field(default_factory=lambda: np.zeros((0, 0, BLOCK)))  # term x block x place: weight
-    most: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # term x block: largest weight
+    entries: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # of each term: its first entry, and the end
+    block: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # of each entry
+    most: np.ndarray = field(default_factory=lambda: np.zeros(0))  # the largest weight of the term in that block
+    postings: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # of each entry: its first posting, and the end
+    example: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # of each posting
+    weight: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    row: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # of each term: its row in the table, or -1
+    table: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     k: int = 15
     slope: float = 1.0
     shift: float = 0.0
     base: float = 0.0
     plain: float = 0.0
 
-    def vector(self, counts: Counter) -> dict[int, float]:
-        raw = {t: (1 + np.log(n)) * self.idf[t] for t, n in counts.items()}
-        norm = np.sqrt(sum(x * x for x in raw.values()))
-        return {t: x / norm for t, x in raw.items()} if norm else {}
-
-    def build(self) -> None:
-        blocks = -(-len(self.vectors) // BLOCK)
-        self.postings = np.zeros((len(self.vocabulary), blocks, BLOCK))
-        for i, vector in enumerate(self.vectors):
-            for t, x in vector.items():
-                self.postings[t, i // BLOCK, i % BLOCK] = x
-        self.most = self.postings.max(2)
-
-    def nearest(self, vector: dict[int, float], without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, weights) of length 1."""
+        raw = (1 + np.log(counts)) * self.idf[ids]
+        norm = np.sqrt(raw @ raw)
+        return (ids, raw / norm) if norm else (ids[:0], raw[:0])
+
+    def build(self, vectors: list[tuple[np.ndarray, np.ndarray]], dense: float = DENSE) -> None:
+        """The inverted index of the examples' vectors."""
+        blocks = -(-len(vectors) // BLOCK)
+        example = np.repeat(np.arange(len(vectors)), [len(v[0]) for v in vectors])
+        term, weight = (np.concatenate([v[i] for v in vectors] or [np.zeros(0)]) for i in range(2))
+        term = term.astype(np.int64)
+        often = np.flatnonzero(np.bincount(term, minlength=len(self.vocabulary)) >= max(1, dense * len(vectors)))
+        self.row = np.full(len(self.vocabulary), -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        mine = self.row[term] >= 0
+        self.table = np.zeros((len(often), blocks * BLOCK))
+        self.table[self.row[term[mine]], example[mine]] = weight[mine]
+        term, example, weight = term[~mine], example[~mine], weight[~mine]
+        order = np.lexsort((example, term))
+        term, self.example, self.weight = term[order], example[order].astype(np.int32), weight[order]
+        key = term * (blocks + 1) + self.example // BLOCK
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        self.postings = np.append(first, len(key))
+        self.block = self.example[first] // BLOCK
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
+        self.entries = np.searchsorted(term[first], np.arange(len(self.vocabulary) + 1))
+
+    def nearest(self, vector: tuple[np.ndarray, np.ndarray], without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with any term in common, best first, ties by number."""
-        ts, xs = list(vector), np.array(list(vector.values()))
-        bound = xs @ self.most[ts]
+        ids, x = vector
+        row = self.row[ids]
+        often = row >= 0
+        of_rows = np.zeros(len(self.table))
+        of_rows[row[often]] = x[often]
+        begun = of_rows @ self.table
+        ids, x = ids[~often], x[~often]
+        first, last = self.entries[ids], self.entries[ids + 1]
+        entry, x = _ranges(first, last), np.repeat(x, last - first)
+        block = self.block[entry]
+        bound = np.bincount(block, x * self.most[entry], minlength=len(begun) // BLOCK) + begun.reshape(-1, BLOCK).max(1)
         order = np.argsort(-bound, kind="stable")
-        rows, cosines, least = np.zeros(0, int), np.zeros(0), 0.0
-        for at in range(0, len(order), STEP):
-            step = order[at : at + STEP]
-            step = step[(bound[step] > 0) & (bound[step] >= least - 1e-12)]
-            if not len(step):
+        rows, cosines, least, at, step = np.zeros(0, int), np.zeros(0), 0.0, 0, STEP
+        while at < len(order):
+            now = order[at : at + step]
+            now = now[(bound[now] > 0) & (bound[now] >= least - 1e-12)]
+            if not len(now):
                 break
-            score = np.tensordot(xs, self.postings[np.ix_(ts, step)], 1).ravel()
-            found = np.flatnonzero(score)
-            number = step[found // BLOCK] * BLOCK + found % BLOCK
-            other = number != without
-            rows, cosines = np.concatenate([rows, number[other]]), np.concatenate([cosines, score[found[other]]])
+            at, step = at + step, 4 * step
+            opened = np.zeros(len(bound), bool)
+            opened[now] = True
+            mine = np.flatnonzero(opened[block])
+            e = entry[mine]
+            first, last = self.postings[e], self.postings[e + 1]
+            posting = _ranges(first, last)
+            score = np.bincount(self.example[posting], np.repeat(x[mine], last - first) * self.weight[posting], minlength=len(begun))
+            score = np.where(np.repeat(opened, BLOCK), score + begun, 0)
+            if without >= 0:
+                score[without] = 0
+            found = np.flatnonzero(score >= max(least, 1e-15))
+            rows, cosines = np.concatenate([rows, found]), np.concatenate([cosines, score[found]])
             if len(rows) > self.k:
                 best = np.lexsort((rows, -cosines))[: self.k]
                 rows, cosines = rows[best], cosines[best]
@@ -137,25 +206,24 @@ class Index:
         one, zero = (weight * self.toxic[rows]).sum(), (weight * self.clean[rows]).sum()
         return float(np.log((one + self.base) / (zero + 1 - self.base)))
 
-    def score(self, counts: Counter) -> tuple[float, list[int], list[float]]:
-        vector = self.vector(counts)
-        if not vector or not self.vectors:
-            return self.plain, [], []
-        rows, cosines = self.nearest(vector)
+    def score(self, ids: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        none = np.zeros(0, int)
+        if not len(ids) or not len(self.toxic):
+            return self.plain, none, np.zeros(0)
+        rows, cosines = self.nearest(self.vector(ids, counts))
         if not len(rows):
-            return self.plain, [], []
+            return self.plain, none, np.zeros(0)
         z = self.slope * self.vote(rows, cosines) + self.shift
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30)))), rows.tolist(), cosines.tolist()
+        return float(1 / (1 + np.exp(-np.clip(z, -30, 30)))), rows, cosines
 
 
-def select(examples: list[tuple[Counter, int, float]], most: int, least_support: int = 4, significance: float = 15.0) -> list[str]:
-    """Up to `most` terms that go with a label: by the likelihood ratio of their presence in the examples' texts."""
+def telling(texts: list[tuple[str, int]], least_support: int = 4, significance: float = 15.0) -> set[str]:
+    """The terms that go with a label: by the likelihood ratio of their presence in the examples' texts."""
     seen = {0: Counter(), 1: Counter()}
-    total = Counter(label for _, label, _ in examples)
-    for counts, label, _ in examples:
-        seen[label].update(counts.keys())
-    out = []
-    n = total[0] + total[1]
+    total = Counter(label for _, label in texts)
+    for text, label in texts:
+        seen[label].update(terms(text).keys())
+    out, n = set(), total[0] + total[1]
     for term in seen[0].keys() | seen[1].keys():
         a, b = seen[1][term], seen[0][term]
         if a + b < least_support:
@@ -166,14 +234,13 @@ def select(examples: list[tuple[Counter, int, float]], most: int, least_support:
                 if x > 0:
                     g += 2 * x * np.log(x / (size * share))
         if g >= significance:
-            out.append((-g, term))
-    chosen = [t for _, t in sorted(out)[:most]]
-    # a level needs its term counted
-    return chosen + sorted({t.split(" x")[0] for t in chosen} - set(chosen))
+            out.add(term)
+    # a mark needs its term counted
+    return out | {t.rpartition(" x")[0] for t in out if " x" in t}
 
 
 def choose(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple[list, dict[int, int]]:
-    """((point, text, label) of the examples; labelled rows by label)."""
+    """((point, doc_id, text, label) of the examples; labelled rows by label)."""
     marks = labels.select(F.col("doc_id").alias("marked"), F.col("toxic").alias("label")).filter("label in (0, 1)")
     both = docs.select("doc_id", F.xxhash64("text").alias("h")).join(marks, F.col("doc_id") == F.col("marked")).select("doc_id", "h", "label")
     sizes = {r.label: r["count"] for r in both.groupBy("label").count().collect()}
@@ -183,8 +250,9 @@ def choose(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple[list, di
     point = F.pmod(F.xxhash64(F.lit("example"), "doc_id", "h"), F.lit(1 << 30)) / float(1 << 30)
     wanted = both.withColumn("point", point).filter(F.col("point") < share).select(F.struct("doc_id", "h", "label", "point").alias("w"))
     w = F.col("w")
+    # about 2 * per_label rows
     rows = docs.select("doc_id", "text").join(F.broadcast(wanted), (F.col("doc_id") == w["doc_id"]) & (F.xxhash64("text") == w["h"]))
-    return sorted((r.point, r.text or "", r.label) for r in rows.select("text", w["label"].alias("label"), w["point"].alias("point")).collect()), sizes
+    return sorted((r.point, r.doc_id, r.text or "", r.label) for r in rows.select("doc_id", "text", w["label"].alias("label"), w["point"].alias("point")).collect()), sizes
 
 
 def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]:
@@ -197,40 +265,47 @@ def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[i
         for batch in batches:
             for text in batch.column(0):
                 total += 1
-                df[list(find(text.as_py()))] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(wanted))), pa.array(np.concatenate([[total], df]))], ["term", "df"])
+                df[find(text.as_py())[0]] += 1
+        held = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(held, -1)), pa.array(np.append(df[held], total))], ["term", "df"])
 
     out = np.zeros(len(vocabulary) + 1, np.int64)
-    for r in docs.select("text").mapInArrow(task, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
-        out[r.term + 1] = r.df
+    counts = docs.select("text").mapInArrow(task, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    out[counts["term"].to_numpy() + 1] = counts["df"].to_numpy()
     return int(out[0]), out[1:]
 
 
-def learn(docs: DataFrame, labels: DataFrame, everything: DataFrame, per_label: int = 1500, vocabulary: int = 1000, k: int = 15) -> Index:
+def learn(docs: DataFrame, labels: DataFrame, everything: DataFrame, per_label: int = 1500, k: int = 15) -> Index:
     """An index from the labelled rows of docs; document frequencies from `everything`."""
     rows, sizes = choose(docs, labels, per_label)
     share = sizes.get(1, 0) / max(sum(sizes.values()), 1)
-    counts = [(terms(text), label, 1.0) for _, text, label in rows]
-    names = select(counts, vocabulary) if len({label for _, label, _ in counts}) == 2 else []
-    index = Index({t: i for i, t in enumerate(names)}, np.zeros(len(names)), k=k, base=share, plain=share)
-    if not names:
-        return index
+    if len({label for *_, label in rows}) < 2:
+        return Index({}, np.zeros(0), k=k, base=share, plain=share)
+    strong = telling([(text, label) for _, _, text, label in rows])
+    words = {w for _, _, text, _ in rows for w in WORD.findall(text.lower())}
+    index = Index({t: i for i, t in enumerate(sorted(words | strong))}, np.zeros(0), k=k, base=share, plain=share)
     n, df = document_frequencies(everything, index.vocabulary)
-    index.idf = np.log((n + 1) / (df + 0.5))
-    stands = {x: sizes[x] / max(sum(label == x for _, label, _ in counts), 1) for x in sizes}
-    merged: dict[tuple, list[float]] = {}
-    empty = [0.0, 0.0]
-    for text_counts, label, _ in counts:
-        vector = index.vector(Counter({index.vocabulary[t]: c for t, c in text_counts.items() if t in index.vocabulary}))
-        votes = merged.setdefault(tuple(sorted(vector.items())), [0.0, 0.0]) if vector else empty
-        votes[label] += stands[label]
-    index.vectors = [dict(v) for v in merged]
-    index.clean, index.toxic = np.array([v[0] for v in merged.values()]), np.array([v[1] for v in merged.values()])
+    index.strong = np.array([t in strong for t in index.vocabulary])
+    index.idf = np.maximum(np.log((n + 1) / (df + 0.5)), 0) * np.where(index.strong, 1.0, OTHERS)
+    stands = {x: sizes[x] / max(sum(label == x for *_, label in rows), 1) for x in sizes}
+    find, merged, empty = Finder(index.vocabulary), {}, [0.0, 0.0]
+    for _, doc_id, text, label in rows:
+        ids, counts = find(text)
+        if not len(ids):
+            empty[label] += stands[label]
+            continue
+        held = merged.setdefault(ids.tobytes() + counts.tobytes(), [[0.0, 0.0], doc_id, ids, counts])
+        held[0][label] += stands[label]
+        held[1] = min(held[1], doc_id)
+    examples = list(merged.values())
+    index.names = np.array([e[1] for e in examples], np.int64)
+    index.clean, index.toxic = np.array([e[0][0] for e in examples]), np.array([e[0][1] for e in examples])
     index.plain = (empty[1] + share) / (sum(empty) + 1)
-    index.build()
+    vectors = [index.vector(e[2], e[3]) for e in examples]
+    index.build(vectors)
     # leave-one-out votes, then slope and shift by Newton's method with a little ridge
     z, one, zero = [], [], []
-    for i, vector in enumerate(index.vectors):
+    for i, vector in enumerate(vectors):
         near, cosines = index.nearest(vector, without=i)
         z.append(index.vote(near, cosines))
         one.append(index.toxic[i])
@@ -251,28 +326,23 @@ def learn(docs: DataFrame, labels: DataFrame, everything: DataFrame, per_label:
 
 
 def score(docs: DataFrame, index: Index, threshold: float = 0.3) -> DataFrame:
-    """doc_id, score, predicted, evidence (the terms of the vocabulary found), neighbours (of the votes), nearest (cosine)."""
+    """doc_id, score, predicted, evidence (the terms found that go with a label), neighbours (their number), nearest (cosine),
+    voters (doc_ids of the neighbours, nearest first)."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
-    schema = "doc_id long, score double, predicted int, evidence array<string>, neighbours int, nearest double"
+    schema = "doc_id long, score double, predicted int, evidence array<string>, neighbours int, nearest double, voters array<long>"
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         names, find = list(index.vocabulary), Finder(index.vocabulary)
-        known: dict[tuple, tuple] = {}
         for batch in batches:
             out = []
             for text in batch.column(1):
-                counts = find(text.as_py())
-                key = tuple(sorted(counts.items()))
-                if key not in known:
-                    if len(known) > 20_000:
-                        known.clear()
-                    value, rows, cosines = index.score(counts)
-                    known[key] = (value, int(value >= threshold), [names[t] for t, _ in key], len(rows), cosines[0] if cosines else 0.0)
-                out.append(known[key])
-            columns = list(zip(*out, strict=True)) or [[]] * 5
-            kinds = (pa.float64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]], ["doc_id", "score", "predicted", "evidence", "neighbours", "nearest"])
+                ids, counts = find(text.as_py())
+                value, rows, cosines = index.score(ids, counts)
+                out.append((value, int(value >= threshold), [names[t] for t in ids[index.strong[ids]]] if len(ids) else [], len(rows), float(cosines[0]) if len(cosines) else 0.0, index.names[rows].tolist()))
+            columns = list(zip(*out, strict=True)) or [[]] * 6
+            kinds = (pa.float64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.float64(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]], ["doc_id", "score", "predicted", "evidence", "neighbours", "nearest", "voters"])
 
     return docs.select("doc_id", "text").mapInArrow(task, schema)
 

@@ -53,29 +53,45 @@ def test_language_rejects_below_its_threshold():
     assert model.languages == ["a", "x"] and 0 < model.reject_below <= 1 and model.temperature > 0
 
 
-def index(seed=3, n=300):
+def index(dense, seed=3, n=300):
     r = random.Random(seed)
     out = toxicity.Index({f"t{i}": i for i in range(40)}, np.array([r.uniform(0.5, 4) for _ in range(40)]), k=10)
-    seen = {tuple(sorted(Counter(r.choices(range(40), k=r.randint(1, 8))).items())) for _ in range(n)}
-    out.vectors = [out.vector(Counter(dict(s))) for s in sorted(seen)]
-    out.toxic, out.clean = np.array([r.random() for _ in out.vectors]), np.array([r.random() for _ in out.vectors])
-    out.build()
-    return out, r
-
-
-def test_nearest_is_exact():
-    made, r = index()
-    dense = np.zeros((len(made.vectors), 40))
-    for i, v in enumerate(made.vectors):
-        dense[i, list(v)] = list(v.values())
+    seen = {tuple(sorted(Counter(min(r.randrange(40), r.randrange(40)) for _ in range(r.randint(1, 8))).items())) for _ in range(n)}
+    vectors = [out.vector(*np.array(s).T) for s in sorted(seen)]
+    out.toxic, out.clean = np.array([r.random() for _ in vectors]), np.array([r.random() for _ in vectors])
+    out.build(vectors, dense)
+    return out, vectors, r
+
+
+@pytest.mark.parametrize("dense", [2.0, 1 / 8, 0.0])
+def test_nearest_is_exact(dense):
+    made, vectors, r = index(dense)
+    table = np.zeros((len(vectors), 40))
+    for i, (ids, x) in enumerate(vectors):
+        table[i, ids] = x
     for _ in range(100):
-        vector = made.vector(Counter(r.choices(range(40), k=r.randint(1, 6))))
+        ids, x = made.vector(*np.array(sorted(Counter(r.choices(range(40), k=r.randint(1, 6))).items())).T)
         query = np.zeros(40)
-        query[list(vector)] = list(vector.values())
-        want = dense @ query
-        rows, cosines = made.nearest(vector)
+        query[ids] = x
+        want = table @ query
+        rows, cosines = made.nearest((ids, x))
         best = np.sort(want[want > 0])[::-1][:10]
         assert cosines == pytest.approx(best) and want[rows] == pytest.approx(cosines)
+        out = made.nearest((ids, x), without=int(rows[0]))[0]
+        assert rows[0] not in out
+
+
+def test_finder_matches_counting():
+    r = random.Random(5)
+    texts = [words(r, "abc", r.randint(0, 60)) for _ in range(50)] + [None, "", "Aaaa aaaa AAAA aaaa aaaa"]
+    every = sorted({t for x in texts for t in toxicity.terms(x)})
+    wanted = {t: i for i, t in enumerate(t for t in every if r.random() < 0.6)}
+    wanted |= {b: len(wanted) + i for i, b in enumerate(sorted({t.rpartition(" x")[0] for t in wanted if " x" in t} - set(wanted)))}
+    find = toxicity.Finder(wanted)
+    for text in texts:
+        ids, counts = find(text)
+        assert dict(zip(ids.tolist(), counts.tolist(), strict=True)) == {wanted[t]: n for t, n in toxicity.terms(text).items() if t in wanted}
+        assert list(ids) == sorted(ids)
 
 
 def test_toxicity_held_out(spark):
@@ -88,6 +104,10 @@ def test_toxicity_held_out(spark):
     assert all(got[d].predicted == int(d % 8 == 1) for d in held) and len(held) > 50
     assert all(r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for r in got.values())
     assert got[1000].score == got[1001].score < 0.3 and "vileword" in got[1].evidence
+    label = {d: x for d, x, _ in marks}
+    voted = [d for r in got.values() for d in r.voters]
+    assert all(label[d] in (0, 1) and not got[d].held_out for d in voted) and all(len(r.voters) == r.neighbours <= 15 for r in got.values())
+    assert all(label[got[d].voters[0]] == 1 for d in held if got[d].predicted)
 
 
 def test_toxicity_one_label_and_empty(spark):
@@ -95,3 +115,16 @@ def test_toxicity_one_label_and_empty(spark):
     labels = spark.createDataFrame([(i, 0) for i in range(20)], "doc_id long, toxic int")
     assert {r.score for r in toxicity.assess(df, labels).collect()} == {0.0}
     assert toxicity.assess(df, labels.limit(0)).count() == 20 and toxicity.assess(df.limit(0), labels).count() == 0
+
+
+def test_toxicity_repeated_rows_and_very_long_text(spark):
+    rows = documents()[:200]
+    long = "word another " * 60_000 + "vileword"
+    df = spark.createDataFrame(rows + rows[:40] + [(900, long, "xx", "s"), (901, long, "xx", "s")], SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 8 == 1)) for i in range(200)], "doc_id long, toxic int")
+    got = toxicity.assess(df, labels).collect()
+    assert len(got) == 242
+    scores = {}
+    for r in got:
+        scores.setdefault(r.doc_id, set()).add(r.score)
+    assert all(len(x) == 1 for x in scores.values()) and scores[900] == scores[901]
