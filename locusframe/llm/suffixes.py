@@ -145,6 +145,8 @@ def span_bytes(tokens: R.Tokens):
     return task
 
 
+#: About so many spans are sorted in one task.
+TASK_SPANS = 2000
 FOUND = "anchor long, span long, lo array<int>"
 
 
@@ -214,7 +216,10 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 400, anchor: int = 160,
     tokens = R.Tokens("bytes", window, min(anchor, window))
     runs = R.repeated_runs(docs, tokens)
     raw = written(R.mixed_spans(docs, runs, span_bytes(tokens), "anchor long, span long, raw binary, large boolean", block_spans), "spans")
-    blocks = raw.filter("not large").groupBy("anchor").agg(F.collect_list(F.struct("span", "raw")).alias("block"))
+    # as many partitions as keep a task's sorting short, whatever the size of the corpus
+    few = raw.filter("not large")
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), few.count() // TASK_SPANS)
+    blocks = few.repartition(parts, "anchor").groupBy("anchor").agg(F.collect_list(F.struct("span", "raw")).alias("block"))
     small = blocks.mapInArrow(sort_blocks(window), FOUND).select("anchor", "span", F.transform("lo", lambda x: F.struct(x.alias("lo"), F.lit(1).alias("n"))).alias("windows"))
     index = written(raw.filter("large").select("anchor", "span", "raw").mapInArrow(string_keys(window), "anchor long, span long, j int, w long"), "string-keys")
     schema = f"doc_id long, n_bytes long, n_removed long, n_spans long, {'kept_sha256 string' if digest else 'kept binary'}"
