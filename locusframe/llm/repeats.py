@@ -1,4 +1,4 @@
-"""Windows of k tokens that occur more than once in a corpus, found exactly and without comparing pairs.
+"""Windows of k tokens that occur more than once in a corpus, found without comparing pairs.
 
 Each window is owned by its anchor: the g-gram of the smallest hash in it, the leftmost if tied. Equal windows have equal
 anchors at equal offsets, so only windows with the same anchor need comparing. Consecutive windows with one anchor form a
@@ -10,7 +10,8 @@ run; a run is one row (anchor, hash of all it spans), about 2 for every k - g +
   what the two operators that use this module do each in its own way.
 
 Rows are keyed by a hash of (doc_id, text), so rows with the same doc_id and different texts stay apart. Hashes have 64
-bits; two equal hashes under the same anchor are taken for equal windows.
+bits, of a polynomial modulo 2^61 - 1; two equal hashes under the same anchor are taken for equal spans (two different ones
+agree with a chance of about their length by 2^61). The words or bytes of different spans are compared by the operators.
 """
 
 from __future__ import annotations
@@ -118,17 +119,36 @@ def spans_of(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.repeat(np.arange(len(column)), sizes), [x.to_numpy(zero_copy_only=False) for x in flat.flatten()]
 
 
-def covered(docs: DataFrame, runs: DataFrame, found: DataFrame, finish: Callable, schema: str) -> DataFrame:
-    """finish over every row (doc_id, text, list of (lo, n) of repeated windows); found: anchor, span, list of windows."""
-    spans = runs.groupBy("anchor", "span").agg(F.count(F.lit(1)).alias("c"), F.first("mixed").alias("mixed"))
+def covered(docs: DataFrame, runs: DataFrame, found: DataFrame, finish: Callable, schema: str, sources: bool = False) -> DataFrame:
+    """finish over every row (doc_id, text, list of (lo, n) of repeated windows); found: anchor, span, list of windows.
+
+    sources: the lists also have where else the windows stand (source, a row key, and there, the place in it), and found's
+    windows have ref, the other span under the anchor, and there, the place in that.
+    """
+    kind = "array<struct<lo:int,n:int,source:bigint,there:int>>" if sources else "array<struct<lo:int,n:int>>"
+    none = F.array().cast(kind)
+    ends = [F.min(F.struct("rid", "lo")).alias("one"), F.max(F.struct("rid", "lo")).alias("other")] if sources else []
+    spans = runs.groupBy("anchor", "span").agg(F.count(F.lit(1)).alias("c"), F.first("mixed").alias("mixed"), *ends)
+    extra = ["one", "other"] if sources else []
+    if sources:
+        # the references of the mixed spans' factors: where the other span first stands
+        first = spans.filter("mixed").select("anchor", F.col("span").alias("ref"), F.col("one").alias("at"))
+        found = found.select("anchor", "span", F.explode("windows").alias("x")).select("anchor", "span", "x", "x.ref").join(first, ["anchor", "ref"])
+        found = found.groupBy("anchor", "span").agg(F.collect_list(F.struct("x.lo", "x.n", F.col("at.rid").alias("source"), (F.col("at.lo") + F.col("x.there")).alias("there"))).alias("windows"))
     spans = spans.filter("c > 1 or mixed").join(found, ["anchor", "span"], "left")
-    spans = spans.select("anchor", "span", F.when(F.col("c") > 1, F.lit(None)).otherwise(F.coalesce("windows", F.array().cast("array<struct<lo:int,n:int>>"))).alias("windows"))
-    hits = runs.join(written(spans, "spans-found"), ["anchor", "span"]).select(
-        "rid",
-        F.when(F.col("windows").isNull(), F.array(F.struct("lo", "n"))).otherwise(F.transform("windows", lambda w: F.struct((F.col("lo") + w["lo"]).alias("lo"), w["n"].alias("n")))).alias("windows"),
-    )
+    spans = spans.select("anchor", "span", *extra, F.when(F.col("c") > 1, F.lit(None)).otherwise(F.coalesce("windows", none)).alias("windows"))
+    rows = runs.join(written(spans, "spans-found"), ["anchor", "span"])
+    if sources:
+        mine = F.struct("rid", "lo") == F.col("one")
+        elsewhere = F.when(mine, F.col("other")).otherwise(F.col("one"))
+        whole = F.struct("lo", "n", elsewhere["rid"].alias("source"), elsewhere["lo"].alias("there"))
+        moved = lambda w: F.struct((F.col("lo") + w["lo"]).alias("lo"), w["n"].alias("n"), w["source"].alias("source"), w["there"].alias("there"))
+    else:
+        whole = F.struct("lo", "n")
+        moved = lambda w: F.struct((F.col("lo") + w["lo"]).alias("lo"), w["n"].alias("n"))
+    hits = rows.select("rid", F.when(F.col("windows").isNull(), F.array(whole)).otherwise(F.transform("windows", moved)).alias("windows"))
     hits = hits.filter(F.size("windows") > 0).groupBy("rid").agg(F.flatten(F.collect_list("windows")).alias("windows"))
-    return keyed(docs).join(hits, "rid", "left").select("doc_id", "text", F.coalesce("windows", F.array().cast("array<struct<lo:int,n:int>>")).alias("windows")).mapInArrow(finish, schema)
+    return keyed(docs).join(hits, "rid", "left").select("doc_id", "text", F.coalesce("windows", none).alias("windows")).mapInArrow(finish, schema)
 
 
 def windows_found(index: DataFrame) -> DataFrame:

