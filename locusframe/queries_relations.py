@@ -103,7 +103,19 @@ def g01(spark, d):
     return G.clusters(alignment_edges(spark, d), LIMIT)
 
 
-@query("g02_limited_clusters")
+def _limited(most: int, largest: int, floor: int) -> str:
+    """The clusters at each limit among the edges that are left, limit by limit."""
+    parts, done = [f"x{most} AS MATERIALIZED (SELECT a, b, d FROM e WHERE d <= {most})"], []
+    for at in range(most, floor - 1, -1):
+        parts.append(f"n{at} AS MATERIALIZED (SELECT a, b FROM x{at} WHERE d <= {at} UNION SELECT b, a FROM x{at} WHERE d <= {at})")
+        parts.append(f"h{at} AS (SELECT a AS node, a AS root FROM n{at} UNION SELECT n.b, h.root FROM h{at} h JOIN n{at} n ON n.a = h.node)")
+        parts.append(f"c{at} AS MATERIALIZED (SELECT node, cluster, count(*) OVER (PARTITION BY cluster) AS size FROM (SELECT node, min(root) AS cluster FROM h{at} GROUP BY node))")
+        parts.append(f"x{at - 1} AS MATERIALIZED (SELECT x.a, x.b, x.d FROM x{at} x JOIN c{at} p ON p.node = x.a JOIN c{at} q ON q.node = x.b WHERE p.cluster = q.cluster AND p.size > {largest})")
+        done.append(f"SELECT node, cluster, size, {at}::INTEGER AS at FROM c{at}" + ("" if at == floor else f" WHERE size <= {largest}"))
+    return f"WITH RECURSIVE {ADIST[5:]}, {', '.join(parts)} {' UNION ALL '.join(done)}"
+
+
+@query("g02_limited_clusters", _limited(33, 10, 20))
 def g02(spark, d):
     return G.limited_clusters(IO.kept(alignment_edges(spark, d).filter("d <= 33"), "edges"), 33, 10, step=1, floor=20)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,16 +10,38 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the cluster's shared checkpoint folder; in a temporary one only if none is set."""
+#: The tables written by this process and not yet deleted.
+_written: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder. Only a local session without one (tests) gets a new temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = held.get() if held.isDefined() else None
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(folder)
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables that this process wrote; for when the results that read them have been used. Their number."""
+    n = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
@@ -87,15 +110,13 @@ def flush(alignment: DataFrame) -> DataFrame:
 
 def clean_header(name: str) -> str:
     """A site matrix's column name without `#`, `[n]` and `:GT`."""
-    import re
-
     return re.sub(r":GT$", "", re.sub(r"^\[\d+\]", "", name.lstrip("# ").strip()))
 
 
 def write_matrix(matrix: DataFrame, path: str) -> None:
     """A wide site matrix (contig, pos, ref, samples) as tab-separated text, with numbered headers."""
     names = [f"[{i + 1}]{c}" + (":GT" if i > 2 else "") for i, c in enumerate(("CHROM", "POS", "REF", *matrix.columns[3:]))]
-    matrix.toDF(f"# {names[0]}", *names[1:]).write.csv(path, sep="\t", header=True, quote="")
+    matrix.toDF(*names).write.csv(path, sep="\t", header=True, quote="")
 
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:

@@ -226,3 +226,48 @@ def test_kmers_and_motifs(spark):
     got = {(r.a, r.b): (r.common, r.total) for r in K.jaccard(K.kmers(many, 3, 1)).collect()}
     assert got == {(a, b): (len(sets[a] & sets[b]), len(sets[a] | sets[b])) for a in sets for b in sets if a < b}
     assert [r.c for r in spark.createDataFrame([("acgtn",)], "k string").select(K.encoded(F.col("k")).alias("c")).collect()] == ["01234"]
+
+
+def test_matrix_and_fasta_files(spark, tmp_path):
+    wide = spark.createDataFrame([("c", 5, "A", "T", "N"), ("c", 6, "G", "G", "*")], "contig string, pos long, ref string, s1 string, s2 string")
+    IO.write_matrix(wide, f"{tmp_path}/m")
+    assert "[1]CHROM\t[2]POS\t[3]REF\t[4]s1:GT\t[5]s2:GT" in "".join(x.value + "\n" for x in spark.read.text(f"{tmp_path}/m").collect())
+    got = sorted((x.pos, x["sample"], x.nt, x.ref) for x in IO.read_matrix(spark, f"{tmp_path}/m").collect())
+    assert got == [(5, "s1", "T", "A"), (5, "s2", "N", "A"), (6, "s1", "G", "G"), (6, "s2", "*", "G")]
+    IO.write_fasta(spark.createDataFrame([("s1", "TG"), ("s2", "")], "sample string, seq string"), f"{tmp_path}/f")
+    (tmp_path / "f" / "more.txt").write_text(">s3\nAC\nGT\n")
+    assert sorted((x["sample"], x.seq) for x in IO.read_fasta(spark, f"{tmp_path}/f").collect()) == [("s1", "TG"), ("s2", ""), ("s3", "ACGT")]
+
+
+def test_distances_across_sample_blocks(spark):
+    r = random.Random(4)
+    cells = [("c", p, f"s{i:02d}", r.choice("AACGN")) for p in range(30) for i in range(20)]
+    want = {(f"s{i:02d}", f"s{j:02d}"): 0 for i in range(20) for j in range(i + 1, 20)}
+    by = {}
+    for _, p, x, nt in cells:
+        by.setdefault(p, {})[x] = nt
+    for row in by.values():
+        for a, b in want:
+            want[a, b] += row[a] != row[b] and "N" not in (row[a], row[b])
+    df = spark.createDataFrame(cells, "contig string, pos long, sample string, nt string")
+    for block in (3, 64):
+        assert {(x.a, x.b): x.d for x in D.pairwise(df, block=block).collect()} == want
+
+
+def test_sampled_fixation_draws_other_leaves(spark):
+    sets = spark.createDataFrame([("x", i) for i in range(4)] + [("y", i) for i in range(4, 9)] + [("r", i) for i in range(12)], "node_id string, leaf_id long")
+    groups = {}
+    for x in T.comparison_groups(sets, 3).collect():
+        groups.setdefault((x.node_id, x.rep), set()).add(x.leaf_id)
+    assert set(groups) == {(n, k) for n in "xy" for k in (1, 2, 3)} and all(len(g) == (4 if n == "x" else 5) for (n, _), g in groups.items())
+    assert all(not g & set(range(4) if n == "x" else range(4, 9)) for (n, _), g in groups.items()) and len({frozenset(g) for g in groups.values()}) > 2
+    near = lambda i: 0 if i < 4 else 1 if i < 9 else 2
+    edges = spark.createDataFrame([(i, j, 1 if near(i) == near(j) else 10) for i in range(12) for j in range(i + 1, 12)], "a long, b long, d long")
+    got = {x.node_id: x for x in T.sampled_fixation(sets, edges, 3).collect()}
+    assert set(got) == {"x", "y"} and got["x"].n == 3 and 0 < got["x"].average < 1
+
+
+def test_tables_are_deleted(spark):
+    IO.release(spark)
+    df = IO.kept(spark.range(5).toDF("n"), "some")
+    assert df.count() == 5 and IO.release(spark) == 1 and IO.release(spark) == 0
