@@ -1,32 +1,14 @@
-"""Tables that a job writes once and reads several times, in the folder that spark.checkpoint.dir names."""
+"""Tables that a job writes once and reads several times, in the folder that spark.checkpoint.dir names; `release` deletes them."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from locusframe.sources import kept as written
+from locusframe.sources import release, shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; only where none is set (tests), a new temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = held.get() if held.isDefined() else None
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: computed once, and read again after the loss of any executor."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["documents", "release", "row_key", "shared_folder", "written"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,3 +128,14 @@ def test_toxicity_repeated_rows_and_very_long_text(spark):
     for r in got:
         scores.setdefault(r.doc_id, set()).add(r.score)
     assert all(len(x) == 1 for x in scores.values()) and scores[900] == scores[901]
+
+
+def test_language_repeated_rows_and_very_long_text(spark):
+    rows = documents()
+    long = rows[0][1] * 3000
+    got = language.identify(spark.createDataFrame(rows + rows[:30] + [(2000, long, None, "s")], SCHEMA)).collect()
+    assert len(got) == len(rows) + 31
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, set()).add((r.lang_pred, r.score))
+    assert all(len(x) == 1 for x in by.values()) and {x for x, _ in by[2000]} == {"xx"}

@@ -7,13 +7,23 @@ import sentencepiece
 import corpus_pipeline
 from locusframe.llm.store import written
 from test_mixing import ORACLE
-from test_pii import KINDS
+from test_pii import base, revealing
 from test_quality import brute as measures
 from test_simhash import brute_components, fingerprint
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def rewritten(text, terms):
+    spans = sorted((int(a), int(b), kind) for kind, a, b in (x.split(":") for x in base(text) + terms))
+    out, at = "", 0
+    for a, b, kind in spans:
+        if a >= at:
+            out += text[at:a] + f"[{kind.upper()}]"
+        at = max(at, b)
+    return out + text[at:]
+
+
 def documents():
     r = random.Random(11)
     vocabulary = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(3, 8))) for _ in range(4000)]
@@ -44,10 +54,10 @@ def test_stages_against_brute_force(spark, tmp_path):
     for d, f in prints.items():
         least[roots[f]] = min(d, least.get(roots[f], d))
     assert sorted(r.doc_id for r in stages["near_dedup"]) == sorted(least.values()) and len(least) < len(kept)
-    import re
-
     clean = {r.doc_id: r.text for r in stages["pii"]}
-    assert clean == {d: re.sub(KINDS["email"], "[EMAIL]", kept[d]) for d in least.values()}
+    ids = sorted(least.values())
+    _, terms = revealing([kept[d] for d in ids])
+    assert clean == {d: rewritten(kept[d], t) for d, t in zip(ids, terms, strict=True)} and sum("[TERM]" in t for t in clean.values()) > 5
     assert all(r.n_chars == len(r.text) for r in stages["pii"] + stages["mixing"])
     import duckdb
     import pandas as pd
@@ -68,3 +78,14 @@ def test_stages_against_brute_force(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_extra_and_clashing_columns_and_repeated_rows(spark, tmp_path):
+    rows = [(*x, "kept?", i) for i, x in enumerate(documents()[:60])] + [(*documents()[3], "kept?", 99)] * 3
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept string, rid int"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    at = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        at = written(f(spark, at, str(tmp_path)), name)
+        assert at.columns == [*COLUMNS, "kept", "rid"], name
+    assert {r.kept for r in at.collect()} == {"kept?"} and corpus_pipeline.run(spark, str(tmp_path)).count() == at.count() > 0

@@ -79,3 +79,14 @@ def test_long_path_and_empty(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 40)], "a long, b long")
     assert {r.label for r in components(edges).collect()} == {0}
     assert classes(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_very_long_and_repeated_rows(spark):
+    # more shingles than a stretch of counters holds
+    long = " ".join(f"w{(i * 7919) % 50021}" for i in range(70_000))
+    rows = [(1, long), (2, long), (2, long), (None, long + " end"), (3, "short text")]
+    got = classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, set()).add((r.fingerprint, r.component_id))
+    assert len(got) == 5 and by[1] == by[2] == {(f"{fingerprint(long):016x}", 1)} and {c for _, c in by[None]} == {1}
