@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from locusframe.llm.store import written
+
 WORD = re.compile(r"[^\W_]+")
 PREFIXES = (3, 4, 5, 6)
 #: A term found so often is a further term, "<term> x<times>": a cosine alone does not see how often all terms are there.
@@ -89,7 +91,8 @@ class Finder:
         """(terms in order, their counts)."""
         if len(self.known) > 300_000:
             self.known = _Words(self.wanted)
-        number, n = np.unique(np.array([self.known[w] for w in WORD.findall((text or "").lower())], np.int64), return_counts=True)
+        words = WORD.findall((text or "").lower())
+        number, n = np.unique(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)), return_counts=True)
         first = np.frombuffer(self.known.first, np.int64)
         lo, hi = first[number], first[number + 1]
         hits = np.frombuffer(self.known.flat, np.int64)[_ranges(lo, hi)] if len(self.known.flat) else number[:0]
@@ -255,36 +258,41 @@ def choose(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple[list, di
     return sorted((r.point, r.doc_id, r.text or "", r.label) for r in rows.select("doc_id", "text", w["label"].alias("label"), w["point"].alias("point")).collect()), sizes
 
 
-def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]:
-    """(documents, documents with each term), over all rows."""
+def with_terms(docs: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
+    """doc_id, terms, counts: the vocabulary's terms in each text, in order, and how often."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, find = shared.value, Finder(shared.value)
-        total, df = 0, np.zeros(len(wanted), np.int64)
+        find = Finder(shared.value)
         for batch in batches:
-            for text in batch.column(0):
-                total += 1
-                df[find(text.as_py())[0]] += 1
-        held = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(held, -1)), pa.array(np.append(df[held], total))], ["term", "df"])
+            found = [find(text.as_py()) for text in batch.column(1)]
+            ends = pa.array(np.cumsum([0, *(len(x[0]) for x in found)]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([x[i] for x in found] or [np.zeros(0)]).astype(np.int32))) for i in range(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], ["doc_id", "terms", "counts"])
+
+    return docs.select("doc_id", "text").mapInArrow(task, "doc_id long, terms array<int>, counts array<int>")
+
 
-    out = np.zeros(len(vocabulary) + 1, np.int64)
-    counts = docs.select("text").mapInArrow(task, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
-    out[counts["term"].to_numpy() + 1] = counts["df"].to_numpy()
-    return int(out[0]), out[1:]
+def document_frequencies(found: DataFrame, size: int) -> tuple[int, np.ndarray]:
+    """(documents, documents with each of `size` terms) of with_terms."""
+    out = np.zeros(size, np.int64)
+    counts = found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")).toArrow()
+    out[counts["term"].to_numpy()] = counts["df"].to_numpy()
+    return found.count(), out
 
 
-def learn(docs: DataFrame, labels: DataFrame, everything: DataFrame, per_label: int = 1500, k: int = 15) -> Index:
-    """An index from the labelled rows of docs; document frequencies from `everything`."""
+def learn(docs: DataFrame, labels: DataFrame, everything: DataFrame, per_label: int = 1500, k: int = 15) -> tuple[Index, DataFrame]:
+    """(an index from the labelled rows of docs, with_terms of `everything`, which the document frequencies come from)."""
     rows, sizes = choose(docs, labels, per_label)
     share = sizes.get(1, 0) / max(sum(sizes.values()), 1)
     if len({label for *_, label in rows}) < 2:
-        return Index({}, np.zeros(0), k=k, base=share, plain=share)
+        return Index({}, np.zeros(0), k=k, base=share, plain=share), with_terms(everything, {})
     strong = telling([(text, label) for _, _, text, label in rows])
     words = {w for _, _, text, _ in rows for w in WORD.findall(text.lower())}
     index = Index({t: i for i, t in enumerate(sorted(words | strong))}, np.zeros(0), k=k, base=share, plain=share)
-    n, df = document_frequencies(everything, index.vocabulary)
+    # the texts are gone through once: what is found is counted, and scored in the end
+    seen = written(with_terms(everything, index.vocabulary), "terms")
+    n, df = document_frequencies(seen, len(index.vocabulary))
     index.strong = np.array([t in strong for t in index.vocabulary])
     index.idf = np.maximum(np.log((n + 1) / (df + 0.5)), 0) * np.where(index.strong, 1.0, OTHERS)
     stands = {x: sizes[x] / max(sum(label == x for *_, label in rows), 1) for x in sizes}
@@ -322,29 +330,32 @@ def learn(docs: DataFrame, labels: DataFrame, everything: DataFrame, per_label:
         if np.abs(step).max() < 1e-8:
             break
     index.slope, index.shift = (float(max(theta[0], 0.05)), float(theta[1]))
-    return index
+    return index, seen
 
 
-def score(docs: DataFrame, index: Index, threshold: float = 0.3) -> DataFrame:
+def score(seen: DataFrame, index: Index, threshold: float = 0.3) -> DataFrame:
     """doc_id, score, predicted, evidence (the terms found that go with a label), neighbours (their number), nearest (cosine),
-    voters (doc_ids of the neighbours, nearest first)."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    voters (doc_ids of the neighbours, nearest first) of with_terms."""
+    shared = seen.sparkSession.sparkContext.broadcast(index)
     schema = "doc_id long, score double, predicted int, evidence array<string>, neighbours int, nearest double, voters array<long>"
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        names, find = list(index.vocabulary), Finder(index.vocabulary)
+        names = list(index.vocabulary)
         for batch in batches:
             out = []
-            for text in batch.column(1):
-                ids, counts = find(text.as_py())
-                value, rows, cosines = index.score(ids, counts)
-                out.append((value, int(value >= threshold), [names[t] for t in ids[index.strong[ids]]] if len(ids) else [], len(rows), float(cosines[0]) if len(cosines) else 0.0, index.names[rows].tolist()))
+            ends = batch.column(1).offsets.to_numpy()
+            ids, counts = (batch.column(i).flatten().to_numpy() for i in (1, 2))
+            for a, b in zip((ends[:-1] - ends[0]).tolist(), (ends[1:] - ends[0]).tolist(), strict=True):
+                mine = ids[a:b]
+                value, rows, cosines = index.score(mine, counts[a:b])
+                shown = mine[index.strong[mine]] if b > a else mine
+                out.append((value, int(value >= threshold), [names[t] for t in shown], len(rows), float(cosines[0]) if len(cosines) else 0.0, index.names[rows].tolist()))
             columns = list(zip(*out, strict=True)) or [[]] * 6
             kinds = (pa.float64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.float64(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]], ["doc_id", "score", "predicted", "evidence", "neighbours", "nearest", "voters"])
 
-    return docs.select("doc_id", "text").mapInArrow(task, schema)
+    return seen.select("doc_id", "terms", "counts").mapInArrow(task, schema)
 
 
 def held_out(docs: DataFrame):
@@ -354,6 +365,6 @@ def held_out(docs: DataFrame):
 
 def assess(docs: DataFrame, labels: DataFrame, per_label: int = 1500) -> DataFrame:
     """score's columns and held_out; learned from the labels of the rows that are not held out."""
-    index = learn(docs.filter(~held_out(docs)), labels, docs, per_label)
-    out = score(docs, index)
+    index, seen = learn(docs.filter(~held_out(docs)), labels, docs, per_label)
+    out = score(seen, index)
     return out.withColumn("held_out", held_out(out))
