@@ -35,20 +35,33 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _delete(spark: SparkSession, where: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> int:
     """Delete the tables that this process wrote; for when the results that read them have been used. Their number."""
     n = 0
     while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        n += _delete(spark, _written.pop())
     return n
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `kept` returned, once what was made from them is kept itself."""
+    for df in tables:
+        _written.remove(df._kept_at)
+        _delete(df.sparkSession, df._kept_at)
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read back: short lineage that survives lost executors."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._kept_at = path
+    return out
 
 
 def call_lines(calls: DataFrame) -> DataFrame:

@@ -270,4 +270,6 @@ def test_sampled_fixation_draws_other_leaves(spark):
 def test_tables_are_deleted(spark):
     IO.release(spark)
     df = IO.kept(spark.range(5).toDF("n"), "some")
-    assert df.count() == 5 and IO.release(spark) == 1 and IO.release(spark) == 0
+    other = IO.kept(df.filter("n > 2"), "other")
+    IO.discard(df)
+    assert other.count() == 2 and IO.release(spark) == 1 and IO.release(spark) == 0
