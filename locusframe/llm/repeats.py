@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locusframe.llm import arrays as A
-from locusframe.llm.store import written
+from locusframe.llm.store import discard, written
 
 _U = np.uint64
 
@@ -92,7 +92,10 @@ def repeated_runs(docs: DataFrame, tokens: Tokens) -> DataFrame:
     runs = written(find_runs(docs, tokens), "runs")
     anchors = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.min("span").alias("a"), F.max("span").alias("b")).filter("c > 1").select("anchor", (F.col("a") != F.col("b")).alias("mixed"))
     # written, so that both sides of the join are plain exchanges, of which Spark splits the large partitions of hot anchors
-    return written(runs.join(written(anchors, "anchors"), "anchor"), "repeated-runs")
+    anchors = written(anchors, "anchors")
+    out = written(runs.join(anchors, "anchor"), "repeated-runs")
+    discard(runs, anchors)
+    return out
 
 
 def mixed_spans(docs: DataFrame, runs: DataFrame, task: Callable, schema: str, block: int | None = None) -> DataFrame:
@@ -119,11 +122,11 @@ def spans_of(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.repeat(np.arange(len(column)), sizes), [x.to_numpy(zero_copy_only=False) for x in flat.flatten()]
 
 
-def covered(docs: DataFrame, runs: DataFrame, found: DataFrame, finish: Callable, schema: str, sources: bool = False) -> DataFrame:
+def covered(docs: DataFrame, runs: DataFrame, found: DataFrame, finish: Callable, schema: str, spent: tuple[DataFrame, ...] = (), sources: bool = False) -> DataFrame:
     """finish over every row (doc_id, text, list of (lo, n) of repeated windows); found: anchor, span, list of windows.
 
     sources: the lists also have where else the windows stand (source, a row key, and there, the place in it), and found's
-    windows have ref, the other span under the anchor, and there, the place in that.
+    windows have ref, the other span under the anchor, and there, the place in that. spent: tables that only found reads.
     """
     kind = "array<struct<lo:int,n:int,source:bigint,there:int>>" if sources else "array<struct<lo:int,n:int>>"
     none = F.array().cast(kind)
@@ -137,7 +140,9 @@ def covered(docs: DataFrame, runs: DataFrame, found: DataFrame, finish: Callable
         found = found.groupBy("anchor", "span").agg(F.collect_list(F.struct("x.lo", "x.n", F.col("at.rid").alias("source"), (F.col("at.lo") + F.col("x.there")).alias("there"))).alias("windows"))
     spans = spans.filter("c > 1 or mixed").join(found, ["anchor", "span"], "left")
     spans = spans.select("anchor", "span", *extra, F.when(F.col("c") > 1, F.lit(None)).otherwise(F.coalesce("windows", none)).alias("windows"))
-    rows = runs.join(written(spans, "spans-found"), ["anchor", "span"])
+    spans = written(spans, "spans-found")
+    discard(*spent)
+    rows = runs.join(spans, ["anchor", "span"])
     if sources:
         mine = F.struct("rid", "lo") == F.col("one")
         elsewhere = F.when(mine, F.col("other")).otherwise(F.col("one"))
@@ -151,11 +156,13 @@ def covered(docs: DataFrame, runs: DataFrame, found: DataFrame, finish: Callable
     return keyed(docs).join(hits, "rid", "left").select("doc_id", "text", F.coalesce("windows", none).alias("windows")).mapInArrow(finish, schema)
 
 
-def windows_found(index: DataFrame) -> DataFrame:
-    """anchor, span, windows from an index of windows (anchor, span, j, w): those that stand in two different spans."""
+def windows_found(index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(anchor, span, windows from an index of windows (anchor, span, j, w): those that stand in two different spans; a table
+    that this reads)."""
     shared = index.groupBy("anchor", "w").agg(F.min("span").alias("a"), F.max("span").alias("b")).filter("a != b").select("anchor", "w")
-    hits = index.join(written(shared, "shared"), ["anchor", "w"]).select("anchor", "span", "j").distinct()
-    return hits.groupBy("anchor", "span").agg(F.collect_list(F.struct(F.col("j").alias("lo"), F.lit(1).alias("n"))).alias("windows"))
+    shared = written(shared, "shared")
+    hits = index.join(shared, ["anchor", "w"]).select("anchor", "span", "j").distinct()
+    return hits.groupBy("anchor", "span").agg(F.collect_list(F.struct(F.col("j").alias("lo"), F.lit(1).alias("n"))).alias("windows")), shared
 
 
 def cover_mask(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

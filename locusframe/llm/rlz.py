@@ -87,11 +87,13 @@ def block_factors(window: int):
     return task
 
 
-def factors(index: DataFrame, window: int) -> DataFrame:
-    """anchor, span, windows (lo, n, ref, there): each block's factors against the other blocks under its anchor."""
+def factors(index: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """(anchor, span, windows (lo, n, ref, there): each block's factors against the other blocks under its anchor; a table
+    that this reads)."""
     block = F.struct("span", "j")
     shared = index.groupBy("anchor", "w").agg(F.min(block).alias("a"), F.max(block).alias("b")).filter("a.span <> b.span")
-    hits = index.select("anchor", "span", "j", "w").join(written(shared, "shared"), ["anchor", "w"])
+    shared = written(shared, "shared")
+    hits = index.select("anchor", "span", "j", "w").join(shared, ["anchor", "w"])
     hits = hits.withColumn("r", F.when(F.col("span") == F.col("a.span"), F.col("b")).otherwise(F.col("a")))
     # under one anchor the windows that two blocks share lie side by side, so any of them leads to the factor
     pairs = hits.groupBy("anchor", "span", F.col("r.span").alias("ref")).agg(F.min(F.struct("j", F.col("r.j").alias("there"))).alias("m"))
@@ -99,7 +101,7 @@ def factors(index: DataFrame, window: int) -> DataFrame:
     rows = pairs.select("anchor", "span", F.col("m.j").alias("at"), "ref", F.col("m.there").alias("there")).join(texts, ["anchor", "span"])
     rows = rows.join(texts.select("anchor", F.col("span").alias("ref"), F.col("words").alias("ref_words")), ["anchor", "ref"])
     found = rows.select("anchor", "span", "at", "ref", "there", "words", "ref_words").mapInArrow(block_factors(window), "anchor long, span long, ref long, lo int, n int, there int")
-    return found.groupBy("anchor", "span").agg(F.collect_list(F.struct("lo", "n", "ref", "there")).alias("windows"))
+    return found.groupBy("anchor", "span").agg(F.collect_list(F.struct("lo", "n", "ref", "there")).alias("windows")), shared
 
 
 def joined(lo: np.ndarray, hi: np.ndarray, source: np.ndarray, there: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -162,4 +164,5 @@ def remove_repeats(docs: DataFrame, window: int = 35, anchor: int = 10, digest:
     runs = R.repeated_runs(docs, tokens)
     index = written(R.mixed_spans(docs, runs, block_windows(tokens), INDEX), "block-windows")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" if digest else RESULT
-    return R.covered(docs, runs, factors(index, window), parse(tokens, digest), schema, sources=True)
+    found, shared = factors(index, window)
+    return R.covered(docs, runs, found, parse(tokens, digest), schema, (index, shared), sources=True)

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusframe.sources import kept as written
-from locusframe.sources import release, shared_folder
+from locusframe.sources import discard, release, shared_folder
 
-__all__ = ["documents", "release", "row_key", "shared_folder", "written"]
+__all__ = ["discard", "documents", "release", "row_key", "shared_folder", "written"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -223,4 +223,5 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 400, anchor: int = 160,
     small = blocks.mapInArrow(sort_blocks(window), FOUND).select("anchor", "span", F.transform("lo", lambda x: F.struct(x.alias("lo"), F.lit(1).alias("n"))).alias("windows"))
     index = written(raw.filter("large").select("anchor", "span", "raw").mapInArrow(string_keys(window), "anchor long, span long, j int, w long"), "string-keys")
     schema = f"doc_id long, n_bytes long, n_removed long, n_spans long, {'kept_sha256 string' if digest else 'kept binary'}"
-    return R.covered(docs, runs, small.unionByName(R.windows_found(index)), cut(tokens, digest), schema)
+    large, shared = R.windows_found(index)
+    return R.covered(docs, runs, small.unionByName(large), cut(tokens, digest), schema, (raw, index, shared))
