@@ -73,17 +73,24 @@ class Pieces:
         return out
 
 
+_NONE = (float("-inf"), -1)
+
+
 def _merge_short(word: str, table: dict[str, tuple[float, int]], byte_ids: list[int]) -> list[int]:
-    parts, get = list(word), table.get
-    while len(parts) > 1:
-        best, at = None, -1
-        for i in range(len(parts) - 1):
-            found = get(parts[i] + parts[i + 1])
-            if found is not None and (best is None or found[0] > best):
-                best, at = found[0], i
-        if at < 0:
+    parts, get, none = list(word), table.get, _NONE[0]
+    # the score of each segment with the next one
+    pairs = [get(word[i : i + 2], _NONE)[0] for i in range(len(word) - 1)]
+    while pairs:
+        best = max(pairs)
+        if best == none:
             break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        at = pairs.index(best)
+        parts[at] += parts.pop(at + 1)
+        del pairs[at]
+        if at < len(pairs):
+            pairs[at] = get(parts[at] + parts[at + 1], _NONE)[0]
+        if at:
+            pairs[at - 1] = get(parts[at - 1] + parts[at], _NONE)[0]
     ids: list[int] = []
     for part in parts:
         found = get(part)
