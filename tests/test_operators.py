@@ -228,6 +228,17 @@ def test_kmers_and_motifs(spark):
     assert [r.c for r in spark.createDataFrame([("acgtn",)], "k string").select(K.encoded(F.col("k")).alias("c")).collect()] == ["01234"]
 
 
+def test_kmers_of_long_texts(spark):
+    r = random.Random(9)
+    texts = ["".join(r.choice("abé日\U0001f600\n") for _ in range(n)) for n in (0, 3, 4, 127, 128, 131, 132, 256, 259, 260, 1000)]
+    got = {(x["sample"], x.kmer): x.n for x in K.kmers(spark.createDataFrame(list(enumerate(texts)), "sample long, seq string"), 4, 1).collect()}
+    want = {}
+    for i, t in enumerate(texts):
+        for j in range(len(t) - 3):
+            want[i, t[j : j + 4]] = want.get((i, t[j : j + 4]), 0) + 1
+    assert got == want
+
+
 def test_matrix_and_fasta_files(spark, tmp_path):
     wide = spark.createDataFrame([("c", 5, "A", "T", "N"), ("c", 6, "G", "G", "*")], "contig string, pos long, ref string, s1 string, s2 string")
     IO.write_matrix(wide, f"{tmp_path}/m")
