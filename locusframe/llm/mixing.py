@@ -29,6 +29,7 @@ GOLDEN = 0.6180339887498949
 SLOTS = 1 << 20
 FINEST = 1 << 10
 STRETCH = 1 << 12
+#: At least so many hash buckets a source; more if the session deals its shuffles to more partitions.
 BUCKETS = 1024
 
 
@@ -86,7 +87,8 @@ def laid_out(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """sized with rank, source_size, target, block and lo, the words of its source before this document."""
     of = plan.select(F.col("source").alias("of"), "rank", "source_size", "target", "block")
     rows = sized.join(of, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    rows = rows.withColumn("bucket", F.floor(F.conv(F.substring("key", 1, 4), 16, 10).cast("int") * BUCKETS / 65536))
+    buckets = max(BUCKETS, 4 * int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.withColumn("bucket", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * buckets / float(1 << 32)))
     sums = rows.groupBy("rank", "bucket").agg(F.sum("size").alias("n"))
     sums = sums.select("rank", "bucket", F.coalesce(F.sum("n").over(Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     inner = Window.partitionBy("rank", "bucket").orderBy("key", "doc_id", "h").rowsBetween(Window.unboundedPreceding, -1)
