@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locusframe.llm import language, mixing, pieces, pii, toxicity
+from locusframe.llm import audit, language, mixing, pieces, pii, toxicity, urls
 from locusframe.llm.fingerprint import edits
 from locusframe.llm.quality import assess
 from locusframe.llm.rlz import remove_repeats
@@ -54,6 +54,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(documents(spark, sf_dir))
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(urls.RULES), "host string, path string, verdict string")
+    return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interactions(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -71,7 +80,9 @@ _ALL = (
     op8_simhash_near_dedup,
     op9_suffix_array_dedup,
     op10_quality_rules,
+    op11_url_filters,
+    op13_filter_audit,
     pipeline,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES: dict[str, str] = {"op3_source_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op3_source_mixing": mixing.ORACLE, "op11_url_filters": urls.ORACLE, "op13_filter_audit": audit.ORACLE}
