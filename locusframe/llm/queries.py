@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locusframe.llm import audit, language, mixing, pieces, pii, toxicity, urls
+from locusframe.llm import audit, crosstok, language, mixing, pieces, pii, toxicity, urls
 from locusframe.llm.fingerprint import edits
 from locusframe.llm.quality import assess
 from locusframe.llm.rlz import remove_repeats
@@ -59,6 +59,10 @@ def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstok.align(documents(spark, sf_dir), crosstok.Tokenizers.load())
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.interactions(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -81,6 +85,7 @@ _ALL = (
     op9_suffix_array_dedup,
     op10_quality_rules,
     op11_url_filters,
+    op12_tokenizer_alignment,
     op13_filter_audit,
     pipeline,
 )
