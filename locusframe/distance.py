@@ -5,47 +5,90 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-VALID = ("A", "C", "G", "T")
-
+from locusframe.along import with_keys
+from locusframe.sources import kept
 
-def _all_pairs(samples: DataFrame) -> DataFrame:
-    """a < b: every pair of samples. The result has as many rows; the list goes along as one array."""
-    names = samples.agg(F.array_sort(F.collect_set("sample")).alias("names"))
-    rows = samples.distinct().crossJoin(F.broadcast(names))
-    return rows.select(F.col("sample").alias("a"), F.explode(F.filter("names", lambda x: x > F.col("sample"))).alias("b"))
+VALID = ("A", "C", "G", "T")
 
 
 #: Samples of one block meet in one row or task.
 BLOCK = 64
 
 
-def _block(samples: DataFrame, size: int) -> Column:
-    """A block of about `size` samples for each, by a hash; the driver sees the number of samples alone."""
-    return F.pmod(F.xxhash64("sample"), F.lit(max(1, -(-samples.distinct().count() // size)))).cast("int")
+def _block(blocks: int) -> Column:
+    return F.pmod(F.xxhash64("sample"), F.lit(blocks)).cast("int")
 
 
-def pairwise(genotypes: DataFrame, site: tuple[str, ...] = ("contig", "pos"), every_pair: bool = True, block: int = BLOCK) -> DataFrame:
-    """a, b, d: sites where both samples have a nucleotide and they differ. For many sites.
+def _all_pairs(samples: DataFrame, blocks: int) -> DataFrame:
+    """a, na, b, nb (a < b) of every pair of samples (sample, n). Samples meet under keys of block pairs."""
+    rows = samples.withColumn("block", _block(blocks))
+    left = rows.select("sample", "n", F.col("block").alias("x"), F.explode(F.sequence("block", F.lit(blocks - 1))).alias("y"))
+    right = rows.select(F.col("sample").alias("s2"), F.col("n").alias("n2"), F.explode(F.sequence(F.lit(0), F.col("block"))).alias("x"), F.col("block").alias("y"))
+    both = left.join(right, ["x", "y"]).filter("x < y or sample < s2")
+    first = F.col("sample") < F.col("s2")
+    pick = lambda x, y, name: F.when(first, F.col(x)).otherwise(F.col(y)).alias(name)
+    return both.select(pick("sample", "s2", "a"), pick("n", "n2", "na"), pick("s2", "sample", "b"), pick("n2", "n", "nb"))
 
-    Sites without variation add nothing and go first. A site's samples stand together by block, so that a row has no more than
-    a block's; pairs inside a block meet in its row, those across two blocks where their rows meet by site.
+
+def deltas(genotypes: DataFrame, site: tuple[str, ...], total: int, blocks: int) -> DataFrame:
+    """site, block, direct, act, pas: what samples of a block have at a site besides its majority letter.
+
+    act: (sample, nt) of nucleotides that are not the majority's (of equal ones the first of A, C, G, T). Where few are
+    missing, pas has the samples without a nucleotide; where more are missing than have the majority's, or a sample has no row,
+    the site is `direct` and pas has the samples with the majority's. Sites without variation go.
     """
     nt = F.upper("nt")
-    valid = genotypes.filter(nt.isin(*VALID)).select(*site, "sample", nt.alias("nt"), _block(genotypes.select("sample"), block).alias("block"))
-    cells = valid.groupBy(*site, "block").agg(F.array_sort(F.collect_list(F.struct("sample", "nt"))).alias("c"), F.min("nt").alias("x"), F.max("nt").alias("y"))
-
-    def met(rows: DataFrame, c: str, o: str) -> DataFrame:
-        rows = rows.select(F.explode(c).alias("one"), F.col(o).alias("rest"))
-        others = F.transform(F.filter("rest", lambda x: x["nt"] != F.col("one.nt")), lambda x: x["sample"])
-        return rows.select(F.col("one.sample").alias("p"), F.explode(others).alias("q"))
-
-    inside = met(cells.filter("x <> y").withColumn("o", F.col("c")), "c", "o").filter("p < q")
-    left, right = cells.select(*site, "block", "c", "x", "y"), cells.select(*site, F.col("block").alias("other"), F.col("c").alias("o"), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    across = met(left.join(right, [*site]).filter("block < other and not (x = y and x2 = y2 and x = x2)"), "c", "o")
-    counted = inside.unionByName(across).groupBy(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).agg(F.count(F.lit(1)).alias("d"))
-    if not every_pair:
-        return counted
-    return _all_pairs(genotypes.select("sample")).join(counted, ["a", "b"], "left").select("a", "b", F.coalesce("d", F.lit(0)).cast("long").alias("d"))
+    cells = genotypes.select(*site, "sample", F.coalesce(F.when(nt.isin(*VALID), nt), F.lit("?")).alias("nt"), _block(blocks).alias("block"))
+    counts = [F.count_if(F.col("nt") == x).alias(f"n_{x}") for x in VALID] + [F.count(F.lit(1)).alias("n_all")]
+    rows = cells.groupBy(*site, "block").agg(F.array_sort(F.collect_list(F.struct("sample", "nt"))).alias("c"), *counts)
+    if blocks > 1:
+        names = [f"n_{x}" for x in (*VALID, "all")]
+        rows = with_keys(rows.drop(*names), rows.groupBy(*site).agg(*[F.sum(c).alias(c) for c in names]), site)
+    top = F.greatest(*[f"n_{x}" for x in VALID])
+    valid = sum((F.col(f"n_{x}") for x in VALID[1:]), F.col(f"n_{VALID[0]}"))
+    major = F.coalesce(*[F.when(F.col(f"n_{x}") == top, F.lit(x)) for x in VALID])
+    direct = (F.col("n_all") < total) | (F.col("n_all") - valid > top)
+    rows = rows.filter(valid > top).withColumn("direct", direct).withColumn("major", major).withColumn("rest", F.when(F.col("direct"), F.col("major")).otherwise("?"))
+    act = F.filter("c", lambda x: (x["nt"] != "?") & (x["nt"] != F.col("major")))
+    pas = F.transform(F.filter("c", lambda x: x["nt"] == F.col("rest")), lambda x: x["sample"])
+    return rows.select(*site, "block", "direct", act.alias("act"), pas.alias("pas")).filter("size(act) > 0 or size(pas) > 0")
+
+
+def pairwise(genotypes: DataFrame, site: tuple[str, ...] = ("contig", "pos"), block: int = BLOCK) -> DataFrame:
+    """a, b, d of every pair of samples: sites where both have a nucleotide and they differ. For many sites; a sample has one row
+    a site at most.
+
+    Samples are sets of deviations from each site's majority letter. Were every deviation a difference, d would be the sum of
+    two set sizes; what is too much is taken off by pairs: 2 where both deviate alike, 1 where they deviate otherwise or one
+    deviates and the other is missing. So a site costs the square of its deviations (times those missing), not all its pairs.
+    At direct sites differences are counted as such. A row has one block's samples; equal rows are counted before pairs are made.
+    """
+    names = genotypes.select("sample").distinct()
+    total = names.count()
+    blocks = max(1, -(-total // block))
+    rows = kept(deltas(genotypes, site, total, blocks), "deltas")
+    sizes = rows.filter("not direct").select(F.explode("act").alias("x")).groupBy(F.col("x.sample").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    sized = names.join(sizes, F.col("sample") == F.col("of"), "left").select("sample", F.coalesce("n", F.lit(0)).alias("n"))
+
+    def met(lists: DataFrame) -> DataFrame:
+        # direct, act, xs (act of the same or a later block), pas: counted, then opened
+        lists = lists.filter("size(act) > 0 and (size(xs) > 0 or size(pas) > 0)").groupBy("direct", "act", "xs", "pas", "own").agg(F.count(F.lit(1)).alias("n"))
+        lists = lists.select("direct", "xs", "pas", "own", "n", F.explode("act").alias("one"))
+        direct, one = F.col("direct"), F.col("one")
+        less = lambda x: F.when(direct, F.when(x["nt"] == one["nt"], 0).otherwise(-1)).otherwise(F.when(x["nt"] == one["nt"], 2).otherwise(1))
+        later = F.filter("xs", lambda x: ~F.col("own") | (x["sample"] > one["sample"]))
+        others = F.concat(F.transform(later, lambda x: F.struct(x["sample"].alias("q"), less(x).alias("less"))), F.transform("pas", lambda x: F.struct(x.alias("q"), F.when(direct, -1).otherwise(1).alias("less"))))
+        found = lists.select(one["sample"].alias("p"), "n", F.explode(others).alias("o")).filter("o.less <> 0")
+        return found.select(F.least("p", "o.q").alias("a"), F.greatest("p", "o.q").alias("b"), (F.col("n") * F.col("o.less")).alias("less"))
+
+    less = met(rows.select("direct", "act", F.col("act").alias("xs"), "pas", F.lit(True).alias("own")))
+    if blocks > 1:
+        others = rows.select(*site, F.col("block").alias("other"), F.col("act").alias("xs"), "pas")
+        across = with_keys(rows.select(*site, "block", "direct", "act").filter("size(act) > 0"), others, site, "inner").filter("block <> other")
+        later = F.when(F.col("block") < F.col("other"), F.col("xs")).otherwise(F.filter("xs", lambda x: F.lit(False)))
+        less = less.unionByName(met(across.select("direct", "act", later.alias("xs"), "pas", F.lit(False).alias("own"))))
+    less = less.groupBy("a", "b").agg(F.sum("less").alias("less"))
+    return _all_pairs(sized, blocks).join(less, ["a", "b"], "left").select("a", "b", (F.col("na") + F.col("nb") - F.coalesce("less", F.lit(0))).cast("long").alias("d"))
 
 
 def packed(alignment: DataFrame) -> DataFrame:

@@ -265,6 +265,23 @@ def test_distances_across_sample_blocks(spark):
         assert {(x.a, x.b): x.d for x in D.pairwise(df, block=block).collect()} == want
 
 
+def test_distances_from_deviations_equal_bit_planes(spark):
+    r = random.Random(6)
+    n, width = 300, 64
+    # sites of few carriers, of many, with most samples missing, and with samples that have no row
+    kinds = [r.choice(["few", "few", "few", "many", "missing", "none", "same"]) for _ in range(width)]
+    letter = {"few": lambda: r.choice("AAAAAAAAAAAAAAAAAAAAAAAAAAAAACGN"), "many": lambda: r.choice("ACGTN"), "missing": lambda: r.choice("ACNNNN-"), "none": lambda: r.choice("N"), "same": lambda: r.choice("GGGN")}
+    seqs = {f"s{i:04d}": "".join(letter[k]() for k in kinds) for i in range(n)}
+    aln = spark.createDataFrame(list(seqs.items()), "sample string, seq string")
+    cells = [("c" if p % 5 else None, p, s, x) for s, v in seqs.items() for p, x in enumerate(v) if x != "-"]
+    df = spark.createDataFrame(cells, "contig string, pos long, sample string, nt string")
+    want = D.pairwise_packed(aln).withColumnRenamed("d", "e")
+    for block in (64, 1000):
+        got = D.pairwise(df, block=block)
+        both = got.join(want, ["a", "b"], "full")
+        assert both.count() == n * (n - 1) // 2 and both.filter("d is null or e is null or d <> e").count() == 0
+
+
 def test_sampled_fixation_draws_other_leaves(spark):
     sets = spark.createDataFrame([("x", i) for i in range(4)] + [("y", i) for i in range(4, 9)] + [("r", i) for i in range(12)], "node_id string, leaf_id long")
     groups = {}
