@@ -123,16 +123,18 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3) ->
     plan = mix(docs, weights, most).filter("taken > 0").groupBy("doc_id", "h", "source", "size").agg(F.floor(F.sum("taken") / F.count(F.lit(1))).alias("taken"))
     plan = plan.select(F.struct("doc_id", "h", "source", "size", "taken").alias("mix_plan"))
     m = F.col("mix_plan")
-    rows = docs.join(plan, docs["doc_id"].eqNullSafe(m["doc_id"]) & (F.xxhash64(docs["text"]) == m["h"]) & docs["source"].eqNullSafe(m["source"]))
+    # docs may have columns of any name: a row goes along as one struct
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), F.xxhash64(docs["text"]).alias("mix_h"))
+    d = F.col("doc")
+    rows = rows.join(plan, d["doc_id"].eqNullSafe(m["doc_id"]) & (F.col("mix_h") == m["h"]) & d["source"].eqNullSafe(m["source"]))
     part = (m["taken"] % m["size"]).cast("int")
     copies = F.concat(F.array_repeat(F.lit(0), F.floor(m["taken"] / m["size"]).cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    rows = rows.select(*[docs[c] for c in docs.columns], F.explode(copies).alias("mix_part"))
     p = F.col("mix_part")
-    text = F.when(p > 0, F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), F.lit(1), p), " ")).otherwise(F.col("text"))
-    rows = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    text = F.when(p > 0, F.array_join(F.slice(F.regexp_extract_all(d["text"], F.lit(WORD), 0), F.lit(1), p), " ")).otherwise(d["text"])
+    rows = rows.select("doc", F.explode(copies).alias("mix_part")).select("doc", text.alias("mix_text"))
+    n_chars = F.char_length("mix_text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
+    own = {"text": F.col("mix_text"), "n_chars": n_chars}
+    return rows.select(*[own.get(c, d[c]).alias(c) for c in docs.columns])
 
 
 ORACLE = """

@@ -69,3 +69,14 @@ def test_null_ids_and_repeated_rows(spark):
     data = [(None, "a b c", "x", "r")] * 3 + [(1, "d e", "x", "r")] * 2 + [(2, "f", None, None)]
     got = mix(spark.createDataFrame(data, SCHEMA)).collect()
     assert len(got) == 6 and all(0 <= r.taken <= 3 * r.size for r in got)
+
+
+def test_columns_of_any_name(spark):
+    names = ("mix_plan", "mix_part", "mix_h", "mix_text", "doc", "h", "taken", "size", "rid")
+    data = [(i, f"a b c {i}", "s", 7, *["x"] * len(names)) for i in range(6)] + [(None, "n u l l", None, 1, *[None] * len(names))]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string, n_chars int, " + ", ".join(f"{c} string" for c in names))
+    out = mixed(df)
+    assert out.columns == df.columns and out.schema["n_chars"].dataType == df.schema["n_chars"].dataType
+    rows = out.collect()
+    assert rows and all(r.n_chars == len(r.text) and r.doc in ("x", None) for r in rows)
+    assert mix(df).count() == 7
