@@ -228,15 +228,25 @@ def test_kmers_and_motifs(spark):
     assert [r.c for r in spark.createDataFrame([("acgtn",)], "k string").select(K.encoded(F.col("k")).alias("c")).collect()] == ["01234"]
 
 
-def test_kmers_of_long_texts(spark):
+def test_kmers_of_long_texts(spark, monkeypatch):
     r = random.Random(9)
     texts = ["".join(r.choice("abé日\U0001f600\n") for _ in range(n)) for n in (0, 3, 4, 127, 128, 131, 132, 256, 259, 260, 1000)]
-    got = {(x["sample"], x.kmer): x.n for x in K.kmers(spark.createDataFrame(list(enumerate(texts)), "sample long, seq string"), 4, 1).collect()}
-    want = {}
-    for i, t in enumerate(texts):
-        for j in range(len(t) - 3):
-            want[i, t[j : j + 4]] = want.get((i, t[j : j + 4]), 0) + 1
-    assert got == want
+    # samples of several sequences, a null one, and alphabets too large for 64 bits a k-mer
+    rows = list(enumerate(texts)) + [(3, "abababab"), (None, "abab"), (None, "abab"), (50, "".join(chr(r.randint(32, 0x2FFF)) for _ in range(3000)) * 2), (51, None)]
+
+    def counted(k, least):
+        want = {}
+        for i, t in rows:
+            for j in range(len(t or "") - k + 1):
+                want[i, t[j : j + k]] = want.get((i, t[j : j + k]), 0) + 1
+        return {key: n for key, n in want.items() if n >= least}
+
+    df = spark.createDataFrame(rows, "sample long, seq string")
+    for chunk in (1 << 20, 300):
+        monkeypatch.setattr(K, "CHUNK", chunk)
+        for k, least in ((1, 1), (4, 1), (8, 2), (33, 1)):
+            got = K.kmers(df, k, least).collect()
+            assert {(x["sample"], x.kmer): x.n for x in got} == counted(k, least) and len(got) == len(counted(k, least))
 
 
 def test_matrix_and_fasta_files(spark, tmp_path):
