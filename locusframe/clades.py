@@ -2,45 +2,129 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from locusframe.along import neighbours, with_keys
+from locusframe.quantiles import Quantile, median_deviation, quantiles
 from locusframe.sources import both_ways, kept
 
 
+#: Children of a node that stand in one group; leaves that a row of an interval is opened to at a time.
+GROUP = 4096
+
+
+@dataclass(frozen=True)
+class Clades:
+    """A tree's leaf sets as intervals of leaf numbers.
+
+    intervals: node_id, lo, hi of every inner node: its leaves have the numbers from lo to below hi. leaves: leaf_id, number.
+    total: how many leaves. Numbers follow the tree: at each node its own leaves in order of leaf_id, then its inner nodes in order
+    of node_id.
+    """
+
+    intervals: DataFrame
+    leaves: DataFrame
+    total: int
+    rounds: int
+
+    def below(self) -> DataFrame:
+        """node_id, leaf_id for every inner node and each leaf below it."""
+        return self._opened(self.intervals)
+
+    def outside(self) -> DataFrame:
+        """node_id, leaf_id for every inner node with leaves and each leaf that is not below it."""
+        some = self.intervals.filter("hi > lo")
+        left = some.select("node_id", F.lit(0).cast("long").alias("lo"), F.col("lo").alias("hi"))
+        return self._opened(left.unionByName(some.select("node_id", F.col("hi").alias("lo"), F.lit(self.total).cast("long").alias("hi"))))
+
+    def _opened(self, intervals: DataFrame) -> DataFrame:
+        # first to stretches that are dealt out, then to numbers: the root's interval is no task's whole work
+        parts = intervals.filter("hi > lo").select("node_id", "hi", F.explode(F.sequence(F.col("lo"), F.col("hi") - 1, F.lit(GROUP))).alias("from"))
+        numbers = parts.repartition("node_id", "from").select("node_id", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + GROUP, F.col("hi")) - 1)).alias("number"))
+        return numbers.join(self.leaves, "number").select("node_id", "leaf_id")
+
+
+def ranked_from_end(links: DataFrame, count: int) -> tuple[DataFrame, int]:
+    """(x, s, rounds): for each item of a list (x, next, w) the sum of w from it to the end, by doubling pointers.
+
+    Every round joins the items to the items they point to and writes them; after as many rounds as `count` has binary digits
+    all point to the end. Items that still do not are on a cycle, an error. links was written by `kept`.
+    """
+    cur, rounds = links.withColumnRenamed("w", "s"), 0
+    while cur.filter("next is not null").limit(1).count():
+        if rounds > max(count, 1).bit_length():
+            raise ValueError("the parents of the tree form a cycle")
+        to = cur.select(F.col("x").alias("to"), F.col("next").alias("then"), F.col("s").alias("more"))
+        moved = cur.filter("next is not null").join(to, F.col("next") == F.col("to")).select("x", F.col("then").alias("next"), (F.col("s") + F.col("more")).alias("s"))
+        cur, rounds = kept(moved.unionByName(cur.filter("next is null")), "pointers"), rounds + 1
+    return cur, rounds
+
+
+def clades(tree: DataFrame) -> Clades:
+    """Clades of a tree: node_id, parent_id (null at roots), leaf_id (null inside).
+
+    The inner nodes' Euler tour, down to each and up again, is a list; a way down weighs as many leaves as the node has itself.
+    Ranking the list gives how many leaves lie before each way: the rounds grow with the logarithm of the tree's size, however
+    deep it is. Several roots follow one another. Leaves without a parent belong to no node; a node whose parent is not in
+    the tree is an error, as is a cycle.
+    """
+    # numbers in order of parent and id, across the ordered partitions
+    ordered = tree.select("node_id", "parent_id", "leaf_id").orderBy(F.col("parent_id").asc_nulls_first(), F.col("leaf_id").asc_nulls_last(), "node_id")
+    nodes = kept(ordered.withColumn("id", F.monotonically_increasing_id()), "tree-nodes")
+    inner = kept(nodes.filter("leaf_id is null").select(F.col("node_id").alias("up"), F.col("id").alias("pid")), "inner-nodes")
+    with_parent = nodes.filter("parent_id is not null").join(inner, F.col("parent_id") == F.col("up"), "left").select("node_id", "leaf_id", "id", "pid")
+    roots = nodes.filter("parent_id is null and leaf_id is null").select("node_id", "leaf_id", "id", F.lit(-1).cast("long").alias("pid"))
+    placed = kept(with_parent.unionByName(roots), "placed-nodes")
+    if placed.filter("pid is null").limit(1).count():
+        raise ValueError("a node's parent is not an inner node of the tree")
+    siblings = kept(neighbours(placed.filter("leaf_id is null").select("id", "pid"), "id", ("pid",), GROUP), "siblings")
+    first = siblings.filter("_prev is null").select(F.col("pid").alias("of"), F.col("id").alias("child"))
+    own = placed.filter("leaf_id is not null").groupBy("pid").agg(F.count(F.lit(1)).alias("w")).withColumnRenamed("pid", "leaves_of")
+    rows = siblings.join(first, F.col("id") == F.col("of"), "left").join(own, F.col("id") == F.col("leaves_of"), "left")
+    down, up = F.col("id") * 2, F.col("id") * 2 + 1
+    after_down = F.coalesce(F.col("child") * 2, up)
+    after_up = F.coalesce(F.col("_next") * 2, F.when(F.col("pid") >= 0, F.col("pid") * 2 + 1))
+    ways = F.array(F.struct(down.alias("x"), after_down.alias("next"), F.coalesce("w", F.lit(0)).alias("w")), F.struct(up.alias("x"), after_up.alias("next"), F.lit(0).cast("long").alias("w")))
+    links = kept(rows.select(F.explode(ways).alias("way")).select("way.*"), "pointers")
+    ranked, rounds = ranked_from_end(links, links.count())
+    total = ranked.agg(F.max("s")).first()[0] or 0
+    per = ranked.groupBy(F.floor(F.col("x") / 2).alias("id")).agg(F.max(F.when(F.col("x") % 2 == 0, F.col("s"))).alias("down"), F.max(F.when(F.col("x") % 2 == 1, F.col("s"))).alias("up"))
+    spans = per.select("id", (F.lit(total) - F.col("down")).alias("lo"), (F.lit(total) - F.col("up")).alias("hi"))
+    spans = kept(spans.join(inner, F.col("id") == F.col("pid")).select(F.col("up").alias("node_id"), "pid", "lo", "hi"), "clades")
+    ranks = neighbours(placed.filter("leaf_id is not null").select("leaf_id", "id", "pid"), "id", ("pid",), GROUP)
+    leaves = ranks.join(spans.select("pid", "lo"), "pid").select("leaf_id", (F.col("lo") + F.col("_i")).alias("number"))
+    return Clades(spans.select("node_id", "lo", "hi"), kept(leaves, "leaf-numbers"), total, rounds)
+
+
 def leaf_sets(tree: DataFrame) -> DataFrame:
     """node_id, leaf_id for every inner node and each leaf below it. tree: node_id, parent_id, leaf_id (null inside)."""
-    parents = tree.select(F.col("node_id").alias("n"), F.col("parent_id").alias("up"))
-    at = kept(tree.filter("leaf_id is not null and parent_id is not null").select(F.col("parent_id").alias("node_id"), "leaf_id"), "leaves")
-    out = at
-    # one join a level of the tree
-    while True:
-        at = kept(at.join(parents, F.col("node_id") == F.col("n")).filter("up is not null").select(F.col("up").alias("node_id"), "leaf_id"), "leaves")
-        if at.limit(1).count() == 0:
-            return out
-        out = out.unionByName(at)
+    return clades(tree).below()
 
 
 def label(k: Column) -> Column:
-    """A, B, .., Z, AA, .. for 1, 2, .."""
-    letter = lambda i: F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), (i % 26 + 1).cast("int"), F.lit(1))
-    two, three = F.floor((k - 1) / 26), F.floor((F.floor((k - 1) / 26) - 1) / 26)
-    return F.concat(F.when(k > 702, letter(three - 1)).otherwise(""), F.when(k > 26, letter(two - 1)).otherwise(""), letter(k - 1))
+    """A, B, .., Z, AA, .. for 1, 2, .., as many letters as it takes."""
+    letter = lambda i: F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), (i + 1).cast("int"), F.lit(1))
+    zero = F.struct(k.cast("long").alias("left"), F.lit("").alias("text"))
+
+    def step(acc: Column, _: Column) -> Column:
+        less = acc["left"] - 1
+        return F.when(acc["left"] > 0, F.struct(F.floor(less / 26).alias("left"), F.concat(letter(less % 26), acc["text"]).alias("text"))).otherwise(acc)
+
+    # fourteen letters are more than 2^63
+    return F.aggregate(F.sequence(F.lit(1), F.lit(14)), zero, step, lambda acc: acc["text"])
 
 
 def significant(tree: DataFrame, sets: DataFrame, bootstrap: float = 70.0) -> DataFrame:
-    """node_id, label, leaves (comma-joined in order) of inner nodes with enough support."""
+    """node_id, label, leaves (comma-joined in order) of inner nodes with enough support, labelled in order of node_id."""
     good = tree.filter((F.col("bootstrap") >= bootstrap) & F.col("leaf_id").isNull()).select("node_id")
     named = sets.join(good, "node_id").groupBy("node_id").agg(F.array_sort(F.collect_list("leaf_id")).alias("l"))
-    # as many rows as labelled clades
-    k = F.row_number().over(Window.orderBy("node_id"))
-    return named.select("node_id", label(k).alias("label"), F.array_join(F.transform("l", lambda x: x.cast("string")), ",").alias("leaves"))
-
-
-def rest(sets: DataFrame) -> DataFrame:
-    """node_id, leaf_id for every leaf that is not below the node; as many rows as that."""
-    nodes, leaves = sets.select("node_id").distinct(), sets.select("leaf_id").distinct()
-    return nodes.crossJoin(leaves).join(sets, ["node_id", "leaf_id"], "left_anti")
+    # numbers across ordered partitions, closed up by what the partitions hold
+    rows = kept(named.orderBy("node_id").withColumn("id", F.monotonically_increasing_id()), "labelled-clades")
+    k = neighbours(rows.select("id").withColumn("all", F.lit(0)), "id", ("all",), 1 << 33).select("id", (F.col("_i") + 1).alias("k"))
+    return rows.join(k, "id").select("node_id", label(F.col("k")).alias("label"), F.array_join(F.transform("l", lambda x: x.cast("string")), ",").alias("leaves"))
 
 
 def between(a: DataFrame, b: DataFrame, edges: DataFrame) -> DataFrame:
@@ -51,16 +135,17 @@ def between(a: DataFrame, b: DataFrame, edges: DataFrame) -> DataFrame:
 
 def spread(distances: DataFrame, *by: str) -> DataFrame:
     """median, least, largest, mad (median distance from the median) of d, cut to whole numbers."""
-    mid = kept(distances.groupBy(*by).agg(F.median("d").alias("m"), F.min("d").alias("least"), F.max("d").alias("largest")), "medians")
-    off = distances.join(mid.select(*by, "m"), [*by]).groupBy(*by).agg(F.median(F.abs(F.col("d") - F.col("m"))).alias("mad"))
-    return mid.join(off, [*by]).select(*by, F.col("m").cast("long").alias("median"), F.col("least").cast("long"), F.col("largest").cast("long"), F.col("mad").cast("long").alias("mad"))
+    ends = distances.groupBy(*by).agg(F.min("d").alias("least"), F.max("d").alias("largest"))
+    rows = with_keys(median_deviation(distances, "d", by), ends, by, "inner")
+    return rows.select(*by, *[F.col(c).cast("long").alias(c) for c in ("median", "least", "largest", "mad")])
 
 
-def clade_statistics(sets: DataFrame, edges: DataFrame) -> DataFrame:
+def clade_statistics(of: Clades, edges: DataFrame) -> DataFrame:
     """level, x, y and spread's columns: clade against clade, clade against the rest, leaf against the rest, the whole tree."""
-    a, b = sets.select(F.col("node_id").alias("x"), "leaf_id"), sets.select(F.col("node_id").alias("y"), "leaf_id")
-    pairs = between(a, b, edges).filter("x < y")
-    others = between(a, rest(sets).select(F.col("node_id").alias("y"), "leaf_id"), edges).filter("x = y").withColumn("y", F.lit("rest"))
+    sets = kept(of.below(), "leaf-sets")
+    near = kept(both_ways(edges).join(sets.select(F.col("node_id").alias("x"), F.col("leaf_id").alias("a")), "a").select("x", "b", "d"), "near-ends")
+    pairs = near.join(sets.select(F.col("node_id").alias("y"), F.col("leaf_id").alias("b")), "b").filter("x < y").select("x", "y", "d")
+    others = near.join(of.outside().select(F.col("node_id").alias("x"), F.col("leaf_id").alias("b")), ["x", "b"]).select("x", F.lit("rest").alias("y"), "d")
     leaves = both_ways(edges).select(F.col("a").cast("string").alias("x"), F.lit("rest").alias("y"), "d")
     whole = edges.select(F.lit("tree").alias("x"), F.lit("tree").alias("y"), "d")
     named = lambda df, level: df.select(F.lit(level).alias("level"), "x", "y", "d")
@@ -95,50 +180,74 @@ def fixation(groups: DataFrame, edges: DataFrame, nearness: float = 0.95) -> Dat
 
 def thresholds(fst: DataFrame) -> DataFrame:
     """size, p75, p95, mean, deviation, n of fst for each group size with two values or more."""
-    rows = fst.groupBy("size").agg(
-        F.expr("percentile_disc(0.75) within group (order by fst)").alias("p75"),
-        F.expr("percentile_disc(0.95) within group (order by fst)").alias("p95"),
-        F.avg("fst").alias("mean"),
-        F.stddev_samp("fst").alias("deviation"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    return rows.filter("n >= 2")
+    rows = fst.groupBy("size").agg(F.avg("fst").alias("mean"), F.stddev_samp("fst").alias("deviation"), F.count("fst").alias("n")).filter("n >= 2")
+    at = quantiles(fst, "fst", [Quantile("p75", 0.75), Quantile("p95", 0.95)], ("size",))
+    return with_keys(rows, at, ("size",), "inner").select("size", "p75", "p95", "mean", "deviation", "n")
+
+
+#: Rounds of a permutation; each a hash.
+ROUNDS = 16
+
 
+def permuted(i: Column, size: Column, key: Column) -> Column:
+    """A keyed permutation of the numbers from 0 to below size (2^31 at most), at i.
 
-def _draw(node: Column, leaf: Column, seed: Column) -> Column:
-    """A seeded hash that orders a node's candidates."""
-    return F.md5(F.concat_ws(":", seed.cast("string"), node.cast("string"), leaf.cast("string")).cast("binary"))
+    Swap or not: in each round a number and its mirror (the round's pivot less it, modulo size) change places if a hash of the
+    larger of the two says so, which both find alike. Nothing is sorted, and no number but i is looked at.
+    """
+    hashed = lambda *parts: F.conv(F.substring(F.md5(F.concat_ws(":", key, *[p.cast("string") for p in parts]).cast("binary")), 1, 8), 16, 10).cast("long")
+
+    def step(x: Column, r: Column) -> Column:
+        mirror = F.pmod(hashed(r) % size - x, size)
+        return F.when(hashed(r, F.greatest(x, mirror)) % 2 == 1, mirror).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), i.cast("long"), step)
+
+
+def _drawn(wanted: DataFrame, of: Clades, *by: str) -> DataFrame:
+    """by, leaf_id: for each row (by, lo, hi, k, key) the first k of the permuted leaves outside [lo, hi), all if they are fewer.
+
+    The leaves outside are numbered past the interval, so none drawn is a member and none is drawn twice.
+    """
+    rows = wanted.withColumn("others", F.lit(of.total).cast("long") - F.col("hi") + F.col("lo")).withColumn("k", F.least("k", "others")).filter("k > 0")
+    rows = rows.select(*by, "lo", "hi", "k", "others", "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1, F.lit(GROUP))).alias("from")).repartition(*by, "from")
+    rows = rows.select(*by, "lo", "hi", "others", "key", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + GROUP, F.col("k")) - 1)).alias("i"))
+    at = permuted(F.col("i"), F.col("others"), F.col("key"))
+    rows = rows.select(*by, "lo", "hi", at.alias("at")).select(*by, F.when(F.col("at") < F.col("lo"), F.col("at")).otherwise(F.col("at") + F.col("hi") - F.col("lo")).alias("number"))
+    return rows.join(of.leaves, "number").select(*by, "leaf_id")
 
 
-def comparison_group(sets: DataFrame, node, size: int, seed: int = 1) -> DataFrame:
-    """leaf_id: so many leaves outside the node's, in the order of a seeded hash (without replacement)."""
-    own = sets.filter(F.col("node_id") == node).select("leaf_id")
-    others = sets.select("leaf_id").distinct().join(own, "leaf_id", "left_anti")
-    return others.orderBy(_draw(F.lit(node), F.col("leaf_id"), F.lit(seed)), "leaf_id").limit(size)
+def comparison_group(of: Clades, node, size: int, seed: int = 1) -> DataFrame:
+    """leaf_id: so many leaves outside the node's (all if there are fewer), drawn by a permutation keyed by seed and node."""
+    key = F.concat_ws(":", F.lit(str(seed)), F.col("node_id").cast("string"))
+    wanted = of.intervals.filter(F.col("node_id") == node).select("node_id", "lo", "hi", F.lit(size).cast("long").alias("k"), key.alias("key"))
+    return _drawn(wanted, of, "node_id").select("leaf_id")
 
 
-def comparison_groups(sets: DataFrame, reps: int) -> DataFrame:
+def comparison_groups(of: Clades, reps: int) -> DataFrame:
     """node_id, rep (from 1), leaf_id: for each node, `reps` groups of as many leaves outside it as it has (or all there are)."""
-    sizes = sets.groupBy("node_id").agg(F.count(F.lit(1)).alias("size"))
-    rows = rest(sets).withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(reps))))
-    rows = rows.withColumn("k", F.row_number().over(Window.partitionBy("node_id", "rep").orderBy(_draw(F.col("node_id"), F.col("leaf_id"), F.col("rep")), "leaf_id")))
-    return rows.join(sizes, "node_id").filter("k <= size").select("node_id", "rep", "leaf_id")
+    rows = of.intervals.select("node_id", "lo", "hi", (F.col("hi") - F.col("lo")).alias("k"), F.explode(F.sequence(F.lit(1), F.lit(reps))).alias("rep"))
+    key = F.concat_ws(":", F.col("rep").cast("string"), F.col("node_id").cast("string"))
+    return _drawn(rows.withColumn("key", key), of, "node_id", "rep")
 
 
-def sampled_fixation(sets: DataFrame, edges: DataFrame, reps: int = 10) -> DataFrame:
+def sampled_fixation(of: Clades, edges: DataFrame, reps: int = 10) -> DataFrame:
     """node_id, average, deviation (of a sample), n: the fixation index of each node against random groups of its size.
 
-    fst = (between - within) / between, within being the mean of both groups' own averages (0 for a single leaf).
+    fst = (between - within) / between, within being the mean of both groups' own averages (0 for a single leaf). Members of two
+    groups meet by (group, leaf), so an edge's far end is looked for in its near end's groups alone.
     """
-    drawn = kept(comparison_groups(sets, reps).withColumn("g", F.struct("node_id", "rep")), "comparison-groups")
+    drawn = kept(comparison_groups(of, reps), "comparison-groups")
+    sets = kept(of.below(), "leaf-sets")
     both = kept(both_ways(edges), "both-ways")
-    own = both.join(sets.select("node_id", F.col("leaf_id").alias("a")), "a").join(sets.select(F.col("node_id").alias("n2"), F.col("leaf_id").alias("b")), "b").filter("node_id = n2")
-    own = own.groupBy("node_id").agg(F.avg("d").alias("w1"))
-    inner = both.join(drawn.select("g", F.col("leaf_id").alias("a")), "a").join(drawn.select(F.col("g").alias("g2"), F.col("leaf_id").alias("b")), "b").filter("g = g2")
-    inner = inner.groupBy("g").agg(F.avg("d").alias("w2"))
-    cross = both.join(sets.select("node_id", F.col("leaf_id").alias("a")), "a").join(drawn.select(F.col("node_id").alias("n2"), "rep", F.col("leaf_id").alias("b")), "b").filter("node_id = n2")
-    cross = cross.groupBy("node_id", "rep").agg(F.avg("d").alias("between")).withColumn("g", F.struct("node_id", "rep"))
-    rows = cross.join(own, "node_id", "left").join(inner, "g", "left")
+    from_set = both.join(sets.withColumnRenamed("leaf_id", "a"), "a").select("node_id", "b", "d")
+    own = from_set.join(sets.withColumnRenamed("leaf_id", "b"), ["node_id", "b"]).groupBy("node_id").agg(F.avg("d").alias("w1"))
+    to = drawn.withColumnRenamed("leaf_id", "b")
+    inner = both.join(drawn.withColumnRenamed("leaf_id", "a"), "a").join(to, ["node_id", "rep", "b"]).groupBy("node_id", "rep").agg(F.avg("d").alias("w2"))
+    inner = inner.withColumnsRenamed({"node_id": "n2", "rep": "r2"})
+    cross = from_set.join(to, ["node_id", "b"]).groupBy("node_id", "rep").agg(F.avg("d").alias("between"))
+    cross = cross.join(inner, (F.col("node_id") == F.col("n2")) & (F.col("rep") == F.col("r2")), "left").drop("n2", "r2")
+    rows = cross.join(own, "node_id", "left")
     within = (F.coalesce("w1", F.lit(0.0)) + F.coalesce("w2", F.lit(0.0))) / 2
     rows = rows.select("node_id", F.when(F.col("between") == 0, F.lit(0.0)).otherwise((F.col("between") - within) / F.col("between")).alias("fst"))
     return rows.groupBy("node_id").agg(F.avg("fst").alias("average"), F.stddev_samp("fst").alias("deviation"), F.count(F.lit(1)).alias("n"))

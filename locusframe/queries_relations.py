@@ -217,7 +217,7 @@ def j08(spark, d):
 
 @query("u04_leaf_rest", f"WITH {TREE} SELECT n.node_id, t.leaf_id FROM (SELECT DISTINCT node_id FROM leafset) n, tree t WHERE t.leaf_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM leafset l WHERE l.node_id = n.node_id AND l.leaf_id = t.leaf_id)")
 def u04(spark, d):
-    return T.rest(T.leaf_sets(tree(spark, d)))
+    return T.clades(tree(spark, d)).outside()
 
 
 STATS = f"""{CLADE}, rst AS (SELECT n.node_id, t.leaf_id FROM (SELECT DISTINCT node_id FROM leafset) n, tree t WHERE t.leaf_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM leafset l WHERE l.node_id = n.node_id AND l.leaf_id = t.leaf_id)),
@@ -230,13 +230,13 @@ SELECT level, x, y, CAST(floor(any_value(m)) AS BIGINT) AS median, any_value(lea
 
 @query("a13_clade_statistics", STATS)
 def a13(spark, d):
-    return T.clade_statistics(T.leaf_sets(tree(spark, d)), IO.kept(leaf_edges(spark, d), "edges"))
+    return T.clade_statistics(T.clades(tree(spark, d)), IO.kept(leaf_edges(spark, d), "edges"))
 
 
 @query("k06_clade_sink", STATS)
 def k06(spark, d):
     path = IO.scratch(spark, "clades")
-    T.clade_statistics(T.leaf_sets(tree(spark, d)), IO.kept(leaf_edges(spark, d), "edges")).write.partitionBy("level").parquet(path)
+    T.clade_statistics(T.clades(tree(spark, d)), IO.kept(leaf_edges(spark, d), "edges")).write.partitionBy("level").parquet(path)
     return spark.read.parquet(path).withColumn("level", F.col("level").cast("string"))
 
 
@@ -275,13 +275,25 @@ def a17(spark, d):
     return T.thresholds(fst(spark, d)).select("size", *rounded, "n")
 
 
-DRAW = f"WITH {TREE}, rst AS (SELECT n.node_id, n.size, t.leaf_id FROM (SELECT node_id, count(*) AS size FROM leafset GROUP BY node_id) n, tree t WHERE t.leaf_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM leafset l WHERE l.node_id = n.node_id AND l.leaf_id = t.leaf_id))"
+# leaf numbers in the tree's order, each node's interval of them, and the keyed permutation, a CTE a round
+NUMBERS = f"""{TREE}, num AS MATERIALIZED (SELECT t.leaf_id, row_number() OVER (ORDER BY p.parent_id, p.node_id, t.leaf_id) - 1 AS number, count(*) OVER () AS total FROM tree t JOIN tree p ON t.parent_id = p.node_id WHERE t.leaf_id IS NOT NULL),
+span AS MATERIALIZED (SELECT node_id, min(number) AS lo, max(number) + 1 AS hi, any_value(total) - count(*) AS others FROM leafset JOIN num USING (leaf_id) GROUP BY node_id)"""
+
+
+def _permuted(columns: str) -> str:
+    """CTEs that take p0 (columns, key, others, x) to drawn (columns, leaf_id)."""
+    h = lambda part: f"CAST('0x' || substr(md5(key || ':' || {part}), 1, 8) AS BIGINT)"
+    steps = []
+    for r in range(1, T.ROUNDS + 1):
+        steps.append(f"m{r} AS (SELECT *, ({h(f"'{r}'")} % others - x + others) % others AS mirror FROM p{r - 1})")
+        steps.append(f"p{r} AS MATERIALIZED (SELECT * EXCLUDE (x, mirror), CASE WHEN {h(f"'{r}:' || greatest(x, mirror)")} % 2 = 1 THEN mirror ELSE x END AS x FROM m{r})")
+    return ", ".join(steps) + f", drawn AS MATERIALIZED (SELECT {columns}, num.leaf_id FROM p{T.ROUNDS} JOIN num ON num.number = CASE WHEN x < lo THEN x ELSE x + hi - lo END)"
 
 
 @query(
     "a15b_sampled_fixation",
-    f"""{ADIST}, w AS MATERIALIZED (SELECT a, b, d FROM e UNION ALL SELECT b, a, d FROM e), {DRAW[5:]},
-drawn AS MATERIALIZED (SELECT node_id, rep, leaf_id FROM (SELECT *, row_number() OVER (PARTITION BY node_id, rep ORDER BY md5(rep || ':' || node_id || ':' || leaf_id), leaf_id) AS k FROM rst, range(1, 11) r(rep)) WHERE k <= size),
+    f"""{ADIST}, w AS MATERIALIZED (SELECT a, b, d FROM e UNION ALL SELECT b, a, d FROM e), {NUMBERS},
+p0 AS (SELECT node_id, rep, rep || ':' || node_id AS key, lo, hi, others, unnest(range(least(hi - lo, others))) AS x FROM span, range(1, 11) r(rep)), {_permuted("node_id, rep")},
 own AS (SELECT x.node_id, avg(d) AS w1 FROM w JOIN leafset x ON x.leaf_id = w.a JOIN leafset y ON y.leaf_id = w.b AND y.node_id = x.node_id GROUP BY x.node_id),
 inr AS (SELECT x.node_id, x.rep, avg(d) AS w2 FROM w JOIN drawn x ON x.leaf_id = w.a JOIN drawn y ON y.leaf_id = w.b AND y.node_id = x.node_id AND y.rep = x.rep GROUP BY ALL),
 crs AS (SELECT x.node_id, y.rep, avg(d) AS bt FROM w JOIN leafset x ON x.leaf_id = w.a JOIN drawn y ON y.leaf_id = w.b AND y.node_id = x.node_id GROUP BY ALL),
@@ -289,13 +301,13 @@ f AS (SELECT crs.node_id, CASE WHEN bt = 0 THEN 0 ELSE (bt - (coalesce(w1, 0) +
 SELECT node_id, round(avg(fst), 9) AS average, round(stddev_samp(fst), 9) AS deviation, count(*) AS n FROM f GROUP BY node_id""",
 )
 def a15b(spark, d):
-    out = T.sampled_fixation(IO.kept(T.leaf_sets(tree(spark, d)), "leaf-sets"), IO.kept(alignment_edges(spark, d), "edges"))
+    out = T.sampled_fixation(T.clades(tree(spark, d)), IO.kept(alignment_edges(spark, d), "edges"))
     return out.select("node_id", F.round("average", 9).alias("average"), F.round("deviation", 9).alias("deviation"), "n")
 
 
-@query("x02_comparison_group", f"{DRAW} SELECT leaf_id FROM rst WHERE node_id = 'l3' ORDER BY md5('1:l3:' || leaf_id), leaf_id LIMIT 5")
+@query("x02_comparison_group", f"WITH {NUMBERS}, p0 AS (SELECT '1:l3' AS key, lo, hi, others, unnest(range(least(5, others))) AS x FROM span WHERE node_id = 'l3'), {_permuted('1')} SELECT leaf_id FROM drawn")
 def x02(spark, d):
-    return T.comparison_group(T.leaf_sets(tree(spark, d)), "l3", 5)
+    return T.comparison_group(T.clades(tree(spark, d)), "l3", 5)
 
 
 KMER = f"{SEQ}, km AS (SELECT sample, substr(seq, CAST(i AS INTEGER), 8) AS kmer, count(*) AS n FROM (SELECT sample, seq, unnest(range(1, length(seq) - 6)) AS i FROM sq WHERE length(seq) >= 8) GROUP BY ALL HAVING count(*) >= 2)"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusframe.along import WIDTH, binned, neighbours, with_keys
+from locusframe.quantiles import Quantile, quantiles
 
 EXTRA = ("_prev", "_next", "_i", "_total")
 
@@ -108,7 +109,7 @@ def binned_gaps(sites: DataFrame, size: int = 100) -> DataFrame:
 
 def percentile_cutoff(sites: DataFrame, at: float = 0.05) -> DataFrame:
     """cutoff: the nearest-rank percentile of the gaps."""
-    return gaps(sites).filter("gap is not null").agg(F.expr(f"cast(percentile_disc({at}) within group (order by gap) as bigint)").alias("cutoff"))
+    return quantiles(gaps(sites), "gap", [Quantile("cutoff", at)]).select(F.col("cutoff").cast("long"))
 
 
 def bimodal_cutoff(sites: DataFrame, size: int = 100) -> DataFrame:

@@ -1,7 +1,10 @@
 """The operators' particular rules, on literal rows."""
 
+import math
 import random
+import statistics
 
+import pytest
 from pyspark.sql import functions as F
 
 from locusframe import calls as C
@@ -15,6 +18,7 @@ from locusframe import sketch as K
 from locusframe import sources as IO
 from locusframe import spacing as W
 from locusframe.along import neighbours
+from locusframe.quantiles import Quantile, median, quantiles
 
 
 def sites(spark, *pos, contig="c"):
@@ -179,9 +183,14 @@ def test_clades(spark):
     for r in sets.collect():
         got.setdefault(r.node_id, set()).add(r.leaf_id)
     assert got == {"r": {"1", "2", "3", "4"}, "x": {"1", "2", "3"}, "y": {"1", "2"}}
-    assert {(r.node_id, r.leaf_id) for r in T.rest(sets).collect()} == {("x", "4"), ("y", "3"), ("y", "4")}
-    labels = spark.createDataFrame([(k,) for k in (1, 26, 27, 52, 53, 702, 703)], "k int").select(T.label(F.col("k")).alias("l")).collect()
-    assert [r.l for r in labels] == ["A", "Z", "AA", "AZ", "BA", "ZZ", "AAA"]
+    assert {(r.node_id, r.leaf_id) for r in T.clades(tree).outside().collect()} == {("x", "4"), ("y", "3"), ("y", "4")}
+
+    def letters(k):
+        return letters((k - 1) // 26) + chr(65 + (k - 1) % 26) if k else ""
+
+    ks = [1, 26, 27, 52, 53, 702, 703, 18_278, 18_279, 20_000, 475_254, 475_255, 10**12]
+    labels = spark.createDataFrame([(k,) for k in ks], "k long").select("k", T.label(F.col("k")).alias("l")).collect()
+    assert [r.l for r in labels] == [letters(r.k) for r in labels] and letters(703) == "AAA" and letters(18_279) == "AAAA"
     d = spark.createDataFrame([("g", v) for v in (1, 2, 9)], "g string, d long")
     assert tuple(T.spread(d, "g").first()) == ("g", 2, 1, 9, 1)
 
@@ -292,19 +301,99 @@ def test_distances_from_deviations_equal_bit_planes(spark):
         assert both.count() == n * (n - 1) // 2 and both.filter("d is null or e is null or d <> e").count() == 0
 
 
-def test_sampled_fixation_draws_other_leaves(spark):
-    sets = spark.createDataFrame([("x", i) for i in range(4)] + [("y", i) for i in range(4, 9)] + [("r", i) for i in range(12)], "node_id string, leaf_id long")
+def tree_of(spark, rows):
+    return spark.createDataFrame(rows, "node_id string, parent_id string, leaf_id long")
+
+
+def test_leaf_intervals_of_random_trees(spark, monkeypatch):
+    r = random.Random(12)
+    monkeypatch.setattr(T, "GROUP", 3)
+    for _ in range(3):
+        rows, parent = [("n0", None, None), ("n1", None, None)], {}
+        for i in range(2, 60):
+            parent[f"n{i}"] = f"n{r.randint(0, i - 1) if r.random() < 0.7 else i - 1}"
+            rows.append((f"n{i}", parent[f"n{i}"], None))
+        leaves = [(f"v{i}", f"n{r.choice([0, 1, 7, r.randint(0, 59)])}", i) for i in range(90)]
+        want = set()
+        for _, up, leaf in leaves:
+            while up:
+                want.add((up, leaf))
+                up = parent.get(up)
+        mixed = rows + leaves
+        r.shuffle(mixed)
+        of = T.clades(tree_of(spark, mixed).repartition(5))
+        below = [tuple(x) for x in of.below().collect()]
+        assert set(below) == want and len(below) == len(want) and of.total == 90
+        nodes = {n for n, _ in want}
+        assert {tuple(x) for x in of.outside().collect()} == {(n, i) for n in nodes for i in range(90)} - want
+        assert sorted(x.number for x in of.leaves.collect()) == list(range(90))
+
+
+def test_a_caterpillar_takes_few_rounds(spark):
+    n = 10_000
+    rows = [("n0", None, None)] + [(f"n{i}", f"n{i - 1}", None) for i in range(1, n)] + [(f"v{i}", f"n{i}", i) for i in range(n)]
+    of = T.clades(tree_of(spark, rows))
+    assert of.rounds < 20 and of.total == n
+    got = of.intervals.select((F.col("lo") == F.substring("node_id", 2, 9).cast("long")).alias("from"), (F.col("hi") == n).alias("to")).distinct().collect()
+    assert [tuple(x) for x in got] == [(True, True)] and of.leaves.filter("leaf_id <> number").count() == 0
+
+
+def test_trees_that_are_none(spark):
+    for rows in ([("a", "b", None), ("b", "a", None), ("v", "a", 1)], [("a", None, None), ("v", "gone", 1)]):
+        with pytest.raises(ValueError):
+            T.clades(tree_of(spark, rows))
+    empty = T.clades(tree_of(spark, []))
+    assert empty.below().count() == 0 and empty.outside().count() == 0 and empty.total == 0
+    bare = T.clades(tree_of(spark, [("a", None, None), ("b", "a", None), ("v", None, 3)]))
+    assert sorted((x.node_id, x.lo, x.hi) for x in bare.intervals.collect()) == [("a", 0, 0), ("b", 0, 0)] and bare.total == 0
+
+
+def test_draws_are_permutations_of_other_leaves(spark):
+    for size in (1, 2, 3, 10, 97, 1000):
+        got = spark.range(size).select(*[T.permuted(F.col("id"), F.lit(size).cast("long"), F.lit(k)).alias(k) for k in "xy"]).collect()
+        assert sorted(r.x for r in got) == sorted(r.y for r in got) == list(range(size))
+        assert size < 97 or [r.x for r in got] != [r.y for r in got] and sum(r.x == i for i, r in enumerate(got)) < 12
+    rows = [("r", None, None), ("x", "r", None), ("y", "r", None)] + [(f"v{i}", "x" if i < 4 else "y" if i < 9 else "r", i) for i in range(12)]
+    of = T.clades(tree_of(spark, rows))
     groups = {}
-    for x in T.comparison_groups(sets, 3).collect():
-        groups.setdefault((x.node_id, x.rep), set()).add(x.leaf_id)
-    assert set(groups) == {(n, k) for n in "xy" for k in (1, 2, 3)} and all(len(g) == (4 if n == "x" else 5) for (n, _), g in groups.items())
-    assert all(not g & set(range(4) if n == "x" else range(4, 9)) for (n, _), g in groups.items()) and len({frozenset(g) for g in groups.values()}) > 2
+    for x in T.comparison_groups(of, 40).collect():
+        groups.setdefault((x.node_id, x.rep), []).append(x.leaf_id)
+    assert set(groups) == {(n, k) for n in "xy" for k in range(1, 41)} and all(len(set(g)) == len(g) == (4 if n == "x" else 5) for (n, _), g in groups.items())
+    assert all(not set(g) & set(range(4) if n == "x" else range(4, 9)) for (n, _), g in groups.items()) and len({frozenset(g) for g in groups.values()}) > 20
+    # every other leaf is drawn about as often
+    drawn = [i for (n, _), g in groups.items() if n == "x" for i in g]
+    assert all(8 <= drawn.count(i) <= 34 for i in range(4, 12))
+    assert T.comparison_group(of, "y", 100).count() == 7 and T.comparison_group(of, "r", 3).count() == 0
+    assert "Cartesian" not in (plan := T.comparison_groups(of, 2)._jdf.queryExecution().toString()) and "NestedLoop" not in plan
     near = lambda i: 0 if i < 4 else 1 if i < 9 else 2
     edges = spark.createDataFrame([(i, j, 1 if near(i) == near(j) else 10) for i in range(12) for j in range(i + 1, 12)], "a long, b long, d long")
-    got = {x.node_id: x for x in T.sampled_fixation(sets, edges, 3).collect()}
+    got = {x.node_id: x for x in T.sampled_fixation(of, edges, 3).collect()}
     assert set(got) == {"x", "y"} and got["x"].n == 3 and 0 < got["x"].average < 1
 
 
+def test_quantiles_are_exact(spark):
+    r = random.Random(3)
+    groups = {"a": [r.randint(-50, 10**12) for _ in range(400)], "b": [5] * 30, "c": [1, 2], None: [7, None, 9], "d": [r.choice([3, 4, 10**15]) for _ in range(101)], "e": [None]}
+    rows = [(g, v, None if v is None else (r.choice([1e-200, 0.1, 1e300]) * v)) for g, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(rows, "g string, v long, x double")
+    wanted = [Quantile("p5", 0.05), Quantile("p75", 0.75), Quantile("all", 1.0), Quantile("none", 0.0), median()]
+    for column in (1, 2):
+        name = "_vx"[column]
+        got = {x.g: x for x in quantiles(df, name, wanted, ("g",), bins=(40, 1024)[column - 1]).collect()}
+        by = {}
+        for row in rows:
+            if row[column] is not None:
+                by.setdefault(row[0], []).append(row[column])
+        assert set(got) == set(by)
+        for g, vs in by.items():
+            vs.sort()
+            disc = lambda p, vs=vs: vs[max(1, math.ceil(len(vs) * p)) - 1]
+            assert [got[g].p5, got[g].p75, got[g]["all"], got[g]["none"]] == [disc(0.05), disc(0.75), vs[-1], vs[0]]
+            assert math.isclose(got[g].median, statistics.median(vs), rel_tol=1e-12)
+    assert [tuple(x) for x in quantiles(df.filter("g = 'e'"), "v", wanted[:2]).collect()] == [(None, None)]
+    assert [tuple(x) for x in quantiles(df.filter("g = 'c'"), "v", wanted[:2]).collect()] == [(1, 2)]
+
+
 def test_tables_are_deleted(spark):
     IO.release(spark)
     df = IO.kept(spark.range(5).toDF("n"), "some")
