@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from locusframe.clades import clades
 from locusframe.sources import kept
 
 
@@ -35,21 +36,91 @@ def clusters(edges: DataFrame, most: int, least_size: int = 2) -> DataFrame:
     return found.join(sizes, "cluster").select("node", "cluster", "size")
 
 
+def spanning_forest(edges: DataFrame) -> DataFrame:
+    """a, b, d (a < b): the minimum spanning forest of edges (a, b, d), of equal distances the smaller (a, b).
+
+    Each round every component takes its shortest edge outwards, and what that joins becomes one component, so rounds grow with
+    the logarithm of the number of nodes. Shortest edges are aggregated before the shuffle; parallel edges go.
+    """
+    plain = edges.filter("a <> b and d is not null").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("d").alias("d"))
+    cur, found = kept(plain.select("a", "b", "d", F.col("a").alias("u"), F.col("b").alias("v")), "open-edges"), None
+    while found is None or cur.limit(1).count():
+        end = lambda x, y: cur.select(F.col(x).alias("u"), F.struct("d", "a", "b", F.col(y).alias("to")).alias("e"))
+        best = kept(end("u", "v").unionByName(end("v", "u")).groupBy("u").agg(F.min("e").alias("e")), "shortest")
+        chosen = best.select("e.a", "e.b", "e.d").distinct()
+        found = chosen if found is None else found.unionByName(chosen)
+        # the edges are in a strict order, so the only cycles are two that choose each other; the smaller is their root
+        other = best.select(F.col("u").alias("o"), F.col("e.to").alias("back"))
+        up = kept(best.join(other, F.col("e.to") == F.col("o")).select("u", F.when((F.col("back") == F.col("u")) & (F.col("u") < F.col("o")), F.col("u")).otherwise(F.col("o")).alias("p")), "hooks")
+        while True:
+            onto = up.select(F.col("u").alias("o"), F.col("p").alias("q"))
+            further = kept(up.join(onto, F.col("p") == F.col("o")).select("u", F.col("q").alias("p"), (F.col("p") != F.col("q")).alias("moved")), "hooks")
+            up = further.select("u", "p")
+            if further.filter("moved").limit(1).count() == 0:
+                break
+        left, right = up.withColumnsRenamed({"u": "x", "p": "ru"}), up.withColumnsRenamed({"u": "y", "p": "rv"})
+        rest = cur.join(left, F.col("u") == F.col("x")).join(right, F.col("v") == F.col("y")).filter("ru <> rv")
+        rest = rest.groupBy(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).agg(F.min(F.struct("d", "a", "b")).alias("e"))
+        cur = kept(rest.select("e.a", "e.b", "e.d", "u", "v"), "open-edges")
+    return kept(found.distinct(), "forest")
+
+
+def dendrogram(forest: DataFrame, levels: int) -> DataFrame:
+    """node, level, into: single linkage of a forest's edges (a, b, level from 0 to below levels), to be cut anywhere.
+
+    A cluster is known by its smallest node; at `level` node's cluster joins that of `into`, which has a smaller one. The
+    clusters at level t are what the rows with level <= t connect. Levels are halved: the lower half is solved on the nodes,
+    the upper half on the clusters of the lower, both at once, so it takes log(levels) rounds of components.
+    """
+    width = 1 << max(levels - 1, 0).bit_length()
+    cur = forest.select(F.lit(0).alias("lo"), F.col("a").alias("u"), F.col("b").alias("v"), "level")
+    named = lambda df: df.select(F.struct("lo", F.col("u").alias("x")).alias("a"), F.struct("lo", F.col("v").alias("x")).alias("b"))
+    while width > 1:
+        width //= 2
+        high = F.col("level") >= F.col("lo") + width
+        label = kept(components(named(cur.filter(~high))).select("node.lo", "node.x", F.col("cluster.x").alias("to")), "halves")
+        upper = cur.filter(high)
+        for end in ("u", "v"):
+            of = label.withColumnsRenamed({"lo": "l", "x": "y"})
+            upper = upper.join(of, (F.col("lo") == F.col("l")) & (F.col(end) == F.col("y")), "left").withColumn(end, F.coalesce("to", end)).drop("l", "y", "to")
+        cur = kept(cur.filter(~high).unionByName(upper.withColumn("lo", F.col("lo") + width)), "levels")
+    last = components(named(cur))
+    return kept(last.filter("node <> cluster").select(F.col("node.x").alias("node"), F.col("node.lo").alias("level"), F.col("cluster.x").alias("into")), "dendrogram")
+
+
 def limited_clusters(edges: DataFrame, most: int, largest: int, step: int = 100, floor: int = 5) -> DataFrame:
     """node, cluster, size, at: where a cluster has more than `largest` nodes, its distance limit goes down by `step` (to
-    `floor` at least) until its parts are small enough."""
-    done, at = None, most
-    rest = edges
-    while True:
-        found = kept(clusters(rest, at).withColumn("at", F.lit(at)), "clusters")
-        last = at <= floor
-        good = found if last else found.filter(F.col("size") <= largest)
-        done = good if done is None else done.unionByName(good)
-        big = found.filter(F.col("size") > largest).select("node", "cluster")
-        if last or big.limit(1).count() == 0:
-            return done
-        rest = rest.join(big.select(F.col("node").alias("a"), F.col("cluster").alias("ca")), "a").join(big.select(F.col("node").alias("b"), F.col("cluster").alias("cb")), "b").filter("ca = cb").select("a", "b", "d")
-        rest, at = kept(rest, "rest"), max(floor, at - step)
+    `floor` at least) until its parts are small enough; parts at the floor stay as they are. Single nodes are no cluster.
+
+    One spanning forest and one dendrogram serve all limits. A merge holds if the cluster that it makes is small enough or
+    it is one at the floor; its size is the sum of what has joined up to its level, by the sizes of the dendrogram's subtrees.
+    """
+    limits = [most]
+    while limits[-1] > floor:
+        limits.append(max(floor, limits[-1] - step))
+    n = len(limits)
+    down = F.when(F.col("d") <= limits[-1], n - 1).otherwise(F.floor((F.lit(most) - F.col("d")) / step))
+    forest = spanning_forest(edges.filter(F.col("d") <= most)).withColumn("level", (n - 1 - down).cast("int"))
+    joins = dendrogram(forest, n)
+    nodes = joins.select("node", F.col("into").alias("up")).unionByName(joins.select(F.col("into").alias("node"), F.lit(None).cast(joins.schema["into"].dataType).alias("up")))
+    nodes = nodes.groupBy("node").agg(F.max("up").alias("up"))
+    # the dendrogram as a tree with one leaf a node; a subtree's leaves are an interval
+    tree = nodes.select(F.col("node").alias("node_id"), F.col("up").alias("parent_id"), F.lit(None).cast("boolean").alias("leaf_id"))
+    tree = tree.unionByName(nodes.select("node", F.col("node"), F.lit(True)).toDF("node_id", "parent_id", "leaf_id"))
+    whole = clades(tree).intervals.select(F.col("node_id").alias("of"), (F.col("hi") - F.col("lo")).alias("whole"))
+    made = joins.join(whole, F.col("node") == F.col("of")).groupBy("into", "level").agg(F.sum("whole").alias("more"))
+    # as many rows a cluster as levels at most
+    made = made.withColumn("size", 1 + F.sum("more").over(Window.partitionBy("into").orderBy("level"))).select(F.col("into").alias("i"), F.col("level").alias("l"), "size")
+    judged = joins.join(made, (F.col("into") == F.col("i")) & (F.col("level") == F.col("l"))).select("node", "into", "level", ((F.col("size") <= largest) | (F.col("level") == 0)).alias("holds"))
+    judged = kept(judged, "merges")
+    found = components(judged.filter("holds").select(F.col("node").alias("a"), F.col("into").alias("b")))
+    found = kept(found, "components")
+    sizes = found.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    # the first merge with the cluster that does not hold ends it
+    ends = judged.filter("not holds").select(F.explode(F.array("node", "into")).alias("r"), "level").groupBy("r").agg(F.min("level").alias("ended"))
+    ends = sizes.join(ends, F.col("cluster") == F.col("r"), "left")
+    at = F.element_at(F.array(*[F.lit(x) for x in reversed(limits)]), F.coalesce("ended", F.lit(n)).cast("int"))
+    return found.join(ends.select("cluster", "size", at.alias("at")), "cluster").select("node", "cluster", "size", "at")
 
 
 def cluster_statistics(members: DataFrame, edges: DataFrame, most: int) -> DataFrame:

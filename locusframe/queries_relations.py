@@ -395,6 +395,17 @@ def x01(spark, d):
     return K.downsample(rows, 300_000, (F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 104729) % 1000003)
 
 
+@query(
+    "x01b_distinct_reads",
+    """WITH r AS (SELECT doc_id, coalesce(source, '') AS sample, text, length(text) AS read_len, row_number() OVER (PARTITION BY coalesce(source, ''), text ORDER BY doc_id) AS k FROM documents),
+c AS (SELECT *, sum(read_len) OVER (PARTITION BY sample ORDER BY doc_id RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS t FROM r WHERE k = 1) SELECT doc_id, sample, CAST(read_len AS BIGINT) AS read_len FROM c WHERE t <= 60000""",
+)
+def x01b(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("sample"), F.col("text").alias("seq"))
+    rows = K.without_duplicates(rows, F.col("doc_id")).select("doc_id", "sample", F.char_length("seq").cast("long").alias("read_len"))
+    return K.downsample(rows, 60_000, F.col("doc_id"))
+
+
 @query(
     "flagship_cohort_distances",
     f"""{GENO}, ok AS (SELECT contig, pos FROM geno GROUP BY ALL HAVING count(*) FILTER (nt = 'N') < count(*) AND count(DISTINCT CASE WHEN nt = 'N' THEN ref ELSE nt END) > 1),

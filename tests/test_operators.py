@@ -3,6 +3,7 @@
 import math
 import random
 import statistics
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -175,6 +176,55 @@ def test_graph(spark):
     assert G.index_case(ranks).first().node == "hub" and abs(ranks.agg(F.sum("rank")).first()[0] - 1) < 1e-9
 
 
+def components_of(edges):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    return {x: find(x) for x in list(root)}
+
+
+def test_one_dendrogram_for_all_limits(spark):
+    r = random.Random(21)
+    pairs = {tuple(sorted(r.sample(range(70), 2))): r.choice([3, 10, 14, 20, 21, 33, 40, 47, 60]) for _ in range(110)}
+    rows = [(a, b, d) if r.random() < 0.5 else (b, a, d) for (a, b), d in pairs.items()] + [(1, 1, 3), (500, 501, 60), (600, 601, 61)]
+    edges = spark.createDataFrame(rows, "a long, b long, d long")
+    forest = G.spanning_forest(edges)
+    kruskal, joined = [], {}
+    for d, a, b in sorted((d, *sorted((a, b))) for a, b, d in rows if a != b):
+        before = components_of(kruskal)
+        if before.get(a, a) != before.get(b, b):
+            kruskal.append((a, b))
+            joined[a, b] = d
+    assert {(x.a, x.b): x.d for x in forest.collect()} == joined
+    levels = sorted({d for *_, d in rows})
+    joins = G.dendrogram(forest.withColumn("level", sum((F.when(F.col("d") > x, 1).otherwise(0) for x in levels), F.lit(0))), len(levels)).collect()
+    for i, t in enumerate(levels):
+        want = components_of([(a, b) for a, b, d in rows if d <= t and a != b])
+        got = components_of([(x.node, x.into) for x in joins if x.level <= i])
+        assert got == want
+    # the limits one after the other
+    most, largest, step, floor = 47, 9, 12, 5
+    want, rest, at = {}, [x for x in rows if x[2] <= most and x[0] != x[1]], most
+    while True:
+        found = components_of([(a, b) for a, b, d in rest if d <= at])
+        size = Counter(found.values())
+        last = at <= floor
+        want.update({x: (c, size[c], at) for x, c in found.items() if last or size[c] <= largest})
+        if last:
+            break
+        rest = [(a, b, d) for a, b, d in rest if found.get(a, -1) == found.get(b, -2) and size[found[a]] > largest]
+        at = max(floor, at - step)
+    assert {x.node: (x.cluster, x.size, x.at) for x in G.limited_clusters(edges, most, largest, step, floor).collect()} == want
+    assert G.limited_clusters(edges.filter("d > 100"), most, largest).count() == 0
+
+
 def test_clades(spark):
     rows = [("r", None, None), ("x", "r", None), ("y", "x", None), ("l1", "y", "1"), ("l2", "y", "2"), ("l3", "x", "3"), ("l4", "r", "4")]
     tree = spark.createDataFrame([(n, p, 90.0, 1.0, leaf) for n, p, leaf in rows], "node_id string, parent_id string, bootstrap double, branch_length double, leaf_id string")
@@ -237,6 +287,14 @@ def test_kmers_and_motifs(spark):
     assert [r.c for r in spark.createDataFrame([("acgtn",)], "k string").select(K.encoded(F.col("k")).alias("c")).collect()] == ["01234"]
 
 
+def test_distinct_reads(spark):
+    rows = [("x", 3, "AC", "p"), ("x", 1, "AC", "q"), ("x", 2, None, "r"), ("x", 4, "", "r"), ("y", 9, "AC", None), ("y", 9, "AC", "a"), (None, 5, "AC", "n"), (None, 6, "AC", "n")]
+    reads = spark.createDataFrame(rows, "sample string, id long, seq string, least string")
+    got = K.without_duplicates(reads, F.col("id"))
+    assert got.columns == reads.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[1], rows[2], rows[4], rows[6]], key=str)
+
+
 def test_kmers_of_long_texts(spark, monkeypatch):
     r = random.Random(9)
     texts = ["".join(r.choice("abé日\U0001f600\n") for _ in range(n)) for n in (0, 3, 4, 127, 128, 131, 132, 256, 259, 260, 1000)]
