@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusframe.along import WIDTH, binned, neighbours, with_keys
+from locusframe.sources import kept
 
 #: Up to so many coalesced intervals are broadcast; more are joined by bins.
 BROADCAST_ROWS = 10_000
@@ -40,15 +41,42 @@ def complement(intervals: DataFrame, extents: DataFrame, last_base: bool = True)
     return head.unionByName(rest).filter("lo <= hi")
 
 
+#: Widths of bins grow by this factor from one level to the next, LEVELS of them.
+FACTOR, LEVELS = 64, 9
+
+
+def nested(merged: DataFrame, bin_size: int) -> DataFrame:
+    """merged (disjoint intervals with lo, hi) with level and bin: one row or two for each, however long.
+
+    An interval goes to the first level whose bins are no narrower than it. Being disjoint, those of a bin are few: no more than
+    FACTOR + 2, as they are wider than the bins of the level below.
+    """
+    size = F.col("hi") - F.col("lo") + 1
+    level = F.coalesce(*[F.when(size <= bin_size * FACTOR**k, F.lit(k)) for k in range(LEVELS - 1)], F.lit(LEVELS - 1))
+    width = F.element_at(F.array(*[F.lit(min(bin_size * FACTOR**k, 1 << 62)).cast("long") for k in range(LEVELS)]), level + 1)
+    rows = merged.withColumn("level", level).withColumn("width", width)
+    return rows.withColumn("bin", F.explode(F.sequence(F.floor(F.col("lo") / F.col("width")), F.floor(F.col("hi") / F.col("width"))))).drop("width")
+
+
 def _matched(points: DataFrame, intervals: DataFrame, how: str, bin_size: int, few: bool | None) -> DataFrame:
+    """points joined to the merged intervals that hold them. Many intervals meet the points by nested bins: on one level by
+    one key a point; on several, different positions have a key a level and then meet the points again."""
     merged = union(intervals).select(F.col("contig").alias("i_contig"), "lo", "hi")
     if few is None:
         few = merged.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    inside = F.col("pos").between(F.col("lo"), F.col("hi"))
+    within = F.col("pos").between(F.col("lo"), F.col("hi"))
     if few:
-        return points.join(F.broadcast(merged), (F.col("contig") == F.col("i_contig")) & inside, how)
-    binned = merged.withColumn("bin", F.explode(F.sequence(F.floor(F.col("lo") / bin_size), F.floor(F.col("hi") / bin_size))))
-    return points.join(binned, (F.col("contig") == F.col("i_contig")) & (F.floor(F.col("pos") / bin_size) == F.col("bin")) & inside, how)
+        return points.join(F.broadcast(merged), (F.col("contig") == F.col("i_contig")) & within, how)
+    rows = kept(nested(merged, bin_size).withColumnsRenamed({"level": "i_level", "bin": "i_bin"}), "nested-intervals")
+    levels = sorted(r.i_level for r in rows.select("i_level").distinct().collect())
+    place = lambda k: F.floor(F.col("pos") / min(bin_size * FACTOR**k, 1 << 62))
+    if len(levels) < 2:
+        out = points.join(rows, (F.col("contig") == F.col("i_contig")) & (place(levels[0] if levels else 0) == F.col("i_bin")) & within, how)
+        return out.drop("i_level", "i_bin")
+    keyed = points.select("contig", "pos").distinct().withColumn("k", F.explode(F.array(*[F.struct(F.lit(k).alias("level"), place(k).alias("bin")) for k in levels])))
+    held = keyed.join(rows, (F.col("contig") == F.col("i_contig")) & (F.col("k.level") == F.col("i_level")) & (F.col("k.bin") == F.col("i_bin")) & within)
+    held = held.select("i_contig", F.col("pos").alias("i_pos"), "lo", "hi")
+    return points.join(held, (F.col("contig") == F.col("i_contig")) & (F.col("pos") == F.col("i_pos")), how).drop("i_pos")
 
 
 def outside(points: DataFrame, intervals: DataFrame, bin_size: int = 10_000, few: bool | None = None) -> DataFrame:
@@ -63,7 +91,7 @@ def inside(points: DataFrame, intervals: DataFrame, bin_size: int = 10_000, few:
 
 def flagged(points: DataFrame, intervals: DataFrame, bin_size: int = 10_000, few: bool | None = None) -> DataFrame:
     """points with `masked`: whether an interval holds them. Merged intervals hold a point once, so no row doubles."""
-    return _matched(points, intervals, "left", bin_size, few).withColumn("masked", F.col("lo").isNotNull()).drop("i_contig", "lo", "hi", *([] if "bin" in points.columns else ["bin"]))
+    return _matched(points, intervals, "left", bin_size, few).withColumn("masked", F.col("lo").isNotNull()).drop("i_contig", "lo", "hi")
 
 
 def soft_merge(intervals: DataFrame, flank: int = 3000) -> DataFrame:

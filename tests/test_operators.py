@@ -123,6 +123,27 @@ def test_intervals(spark):
         assert sorted((r.pos, r.masked) for r in I.flagged(points, df, bin_size=3, few=few).collect()) == [(1, True), (5, True), (9, True), (10, False), (11, True), (13, False)]
 
 
+def test_intervals_of_all_widths(spark):
+    r = random.Random(14)
+    spans, at = [], 0
+    for _ in range(60):
+        at += r.randint(2, 50)
+        spans.append(("c", at, at + r.choice([0, 3, 40, 700, 10_000, 10**6])))
+        at = spans[-1][2]
+    spans += [("big", -5, 10**9 - 6), ("huge", 0, 10**15), ("one", 7, 7)]
+    df = spark.createDataFrame(spans, "contig string, lo long, hi long")
+    rows = I.nested(I.union(df), 10_000)
+    assert {x.contig: x.n for x in rows.groupBy("contig").agg(F.count(F.lit(1)).alias("n")).collect()}["big"] <= 2 and rows.count() <= 2 * len(spans)
+    points = [("c", p, 0) for p in range(0, at, 997)] + [("c", p + k, 1) for _, lo, hi in spans[:60] for p in (lo, hi) for k in (-1, 0, 1)] + [("c", spans[0][1], 1)] * 3
+    points += [(c, p, 2) for c in ("big", "huge", "one", "none", None) for p in (-6, -5, 0, 7, 10**9 - 6, 10**9, 10**15 + 1)]
+    want = sorted(((c, p, v, any(c == i and lo <= p <= hi for i, lo, hi in spans)) for c, p, v in points), key=str)
+    table = spark.createDataFrame(points, "contig string, pos long, bin int")
+    for size in (4, 10_000):
+        assert sorted(map(tuple, I.flagged(table, df, bin_size=size, few=False).collect()), key=str) == want
+    assert I.inside(table, df, few=False).count() == sum(x[3] for x in want) and I.outside(table, df, few=False).count() == sum(not x[3] for x in want)
+    assert I.outside(table, df.filter("lo < 0 and lo > 0"), few=False).count() == len(points)
+
+
 def genotypes(spark, **samples):
     n = len(next(iter(samples.values())))
     return spark.createDataFrame([("c", p + 1, "A", s, v[p]) for s, v in samples.items() for p in range(n)], "contig string, pos long, ref string, sample string, nt string")
