@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from locusframe.along import WIDTH, binned, neighbours, with_keys
 from locusframe.quantiles import Quantile, quantiles
+from locusframe.sources import kept as stored
 
 EXTRA = ("_prev", "_next", "_i", "_total")
 
@@ -50,17 +51,27 @@ def _following(ps: np.ndarray, distance: int) -> np.ndarray:
     return np.searchsorted(ps, ps + distance)
 
 
+#: Bins whose tables meet in one group.
+FAN = 256
+
+
 def thin(sites: DataFrame, distance: int, by: tuple[str, ...] = ("contig",), width: int | None = None) -> DataFrame:
     """Greedy thinning: a site stays if it is at least `distance` after the last one that stayed.
 
     In bins of `width` positions (a million, 1,000 times the distance at least). The first site of a bin that stays is one of
-    those in its first `distance` positions or the next; for each of them a bin tells which site stays last. Going through
-    these tables, about `distance` entries a bin, settles where each bin begins; then each bin is thinned by itself.
+    those in its first `distance` positions or the next; for each of them a bin tells which site stays last. Such tables, about
+    `distance` entries each, are composed: FAN neighbouring bins make the table of a larger bin, and so on up to one a contig;
+    down again, every bin gets the last site that stays before it from the larger one that it is in. So no group is larger
+    than FAN tables, however long the contig. Then each bin is thinned by itself.
     """
     distance = max(int(distance), 1)
     width = width or max(1 << 20, 1000 * distance)
+    fan = FAN
     keys = (*by, "_bin")
     rows = binned(sites.select(*by, "pos").filter("pos is not null").distinct(), "pos", width).withColumn("pos", F.col("pos").cast("long"))
+    # bins from 0, so that larger bins end in one
+    least = rows.agg(F.min("_bin")).first()[0] or 0
+    rows = rows.withColumn("_bin", F.col("_bin") - least)
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*by).schema.fields)
 
     def named(key: tuple, n: int) -> dict[str, pd.Series]:
@@ -73,31 +84,62 @@ def thin(sites: DataFrame, distance: int, by: tuple[str, ...] = ("contig",), wid
         for i in range(len(ps) - 1, -1, -1):
             if follows[i] < len(ps):
                 last[i] = last[follows[i]]
-        n = int(np.searchsorted(ps, key[-1] * width + distance)) + 1
-        return pd.DataFrame({**named(key, 1), "_bin": [key[-1]], "entry": [ps[:n]], "last": [ps[last[:n]]]})
+        start = int(key[-1] + least) * width
+        n = int(np.searchsorted(ps, start + distance)) + 1
+        return pd.DataFrame({**named(key, 1), "_bin": [key[-1]], "entry": [ps[:n]], "last": [ps[last[:n]]], "start": [start]})
 
-    def begin(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+    def after(held: float, entry: np.ndarray, last: np.ndarray) -> float:
+        # without an entry far enough, no site of the bin is
+        at = 0 if np.isnan(held) else int(np.searchsorted(entry, held + distance))
+        return float(last[at]) if at < len(entry) else held
+
+    def composed(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("_bin")
+        entries, lasts = list(part["entry"]), list(part["last"])
+        # entries that any site before the larger bin can lead to: those of its first positions, and the next
+        entry, owner = np.concatenate(entries), np.repeat(np.arange(len(entries)), [len(e) for e in entries])
+        entry, first = np.unique(entry, return_index=True)
+        owner = owner[first]
+        start = int(part["start"].iloc[0])
+        n = min(len(entry), int(np.searchsorted(entry, start + distance)) + 1)
+        out = []
+        for e, i in zip(entry[:n], owner[:n], strict=True):
+            held = float(lasts[i][np.searchsorted(entries[i], e)])
+            for j in range(i + 1, len(entries)):
+                held = after(held, entries[j], lasts[j])
+            out.append(int(held))
+        return pd.DataFrame({**named(key, 1), "_bin": [key[-1]], "entry": [entry[:n]], "last": [np.array(out, np.int64)], "start": [start]})
+
+    def begun(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        # what is held before the larger bin, then before each of its bins
         part = part.sort_values("_bin")
-        first, held = [], None
+        held, out = float(part["held"].iloc[0]), []
         for entry, last in zip(part["entry"], part["last"], strict=True):
-            # without an entry far enough, no site of the bin is
-            at = 0 if held is None else int(np.searchsorted(entry, held + distance))
-            first.append(int(entry[at]) if at < len(entry) else held + distance)
-            held = int(last[at]) if at < len(last) else held
-        return pd.DataFrame({**named(key, len(first)), "_bin": part["_bin"].to_numpy(), "first": first})
+            out.append(held)
+            held = after(held, entry, last)
+        return pd.DataFrame({**named(key, len(out)), "_bin": part["_bin"].to_numpy(), "held": np.array(out, np.float64)})
 
     def kept(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         ps = np.sort(part["pos"].to_numpy())
         follows, out = _following(ps, distance), []
-        i = int(np.searchsorted(ps, part["first"].iloc[0]))
+        held = float(part["held"].iloc[0])
+        i = 0 if np.isnan(held) else int(np.searchsorted(ps, held + distance))
         while i < len(ps):
             out.append(ps[i])
             i = follows[i]
         return pd.DataFrame({**named(key, len(out)), "pos": np.array(out, np.int64)})
 
-    tables = rows.groupBy(*keys).applyInPandas(table, f"{own}, _bin long, entry array<long>, last array<long>")
-    firsts = tables.groupBy(*by).applyInPandas(begin, f"{own}, _bin long, first long")
-    chosen = with_keys(rows, firsts, keys).groupBy(*keys).applyInPandas(kept, f"{own}, pos long")
+    table_type, up = f"{own}, _bin long, entry array<long>, last array<long>, start long", F.floor(F.col("_bin") / fan)
+    tables = [stored(rows.groupBy(*keys).applyInPandas(table, table_type), "thinning")]
+    while (ends := tables[-1].agg(F.min("_bin"), F.max("_bin")).first())[0] is not None and ends[0] < ends[1]:
+        larger = tables[-1].withColumn("_up", up)
+        tables.append(stored(larger.groupBy(*by, "_up").applyInPandas(composed, table_type), "thinning"))
+    nothing = F.lit(float("nan"))
+    held = tables[-1].select(*by, "_bin", nothing.alias("held"))
+    for level in reversed(tables[:-1]):
+        inside = with_keys(level.withColumn("_up", up), held.withColumnRenamed("_bin", "_up"), (*by, "_up"))
+        held = stored(inside.groupBy(*by, "_up").applyInPandas(begun, f"{own}, _bin long, held double"), "thinning")
+    chosen = with_keys(rows, held, keys).groupBy(*keys).applyInPandas(kept, f"{own}, pos long")
     return with_keys(sites, chosen.withColumn("_kept", F.lit(True)), (*by, "pos"), "left").filter("_kept").drop("_kept")
 
 

@@ -70,18 +70,22 @@ def test_gap_filters_differ_in_the_first_site_and_ties(spark):
     assert kept(W.least_gap(df, 10, first=False)) == [20, 35]
 
 
-def test_thinning_is_greedy(spark):
+def test_thinning_is_greedy(spark, monkeypatch):
     r = random.Random(1)
-    for _ in range(5):
-        pos = sorted(r.sample(range(1, 2000), 150))
+    for fan in (256, 3):
+        monkeypatch.setattr(W, "FAN", fan)
+        pos = sorted({*r.sample(range(-300, 2000), 150), *r.sample(range(9000, 9100), 20), 20_000})
         want, last = [], None
         for p in pos:
             if last is None or p - last >= 17:
                 want.append(p)
                 last = p
-        assert kept(W.thin(sites(spark, *pos), 17)) == want
-        for width in (17, 40, 100, 700):
-            assert kept(W.thin(sites(spark, *pos), 17, width=width)) == want
+        df = sites(spark, *pos).unionByName(sites(spark, 5, 6, 40, contig=None))
+        for width in (None, 17, 40, 700):
+            got = W.thin(df, 17, width=width).collect()
+            assert sorted(x.pos for x in got if x.contig == "c") == want, (fan, width)
+            assert sorted(x.pos for x in got if x.contig is None) == [5, 40]
+    assert W.thin(sites(spark, 1).filter("pos > 1"), 17).count() == 0
 
 
 def test_neighbours_across_bins(spark):
