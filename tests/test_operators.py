@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import statistics
 from collections import Counter
 
@@ -312,6 +313,26 @@ def test_kmers_and_motifs(spark):
     assert [r.c for r in spark.createDataFrame([("acgtn",)], "k string").select(K.encoded(F.col("k")).alias("c")).collect()] == ["01234"]
 
 
+def test_one_scan_finds_what_each_motif_finds(spark):
+    r = random.Random(17)
+    patterns = ["an+d", "[0-9]{2,}", "the[a-z]", "(io|oi)n", "(aa|a)b?", "^the", "n$", "(?=ab)a", "(?i)AND", ".*x", "a*", "[^a]b", "(?<=t)he", "(an+d)(.)", "(?:ab|abab)+c?", "a{2,3}", "é.", "b(?!a)", "x|yz|"]
+    patterns += ["".join(r.choice("abdehnt") for _ in range(r.randint(2, 5))) for _ in range(200)]
+    texts = ["".join(r.choice(["a", "b", "n", "d", "the", "io", "n", "12", "é", "\n", "x", "AND", "yz"]) for _ in range(r.randint(0, 200))) for _ in range(60)]
+    scanner = K.Scanner(patterns)
+    assert len(scanner.alone) < 8
+    for t in texts:
+        got = {}
+        for i, m in scanner.matches(t):
+            got.setdefault(i, []).append(m.span())
+        want = {i: [m.span() for m in re.finditer(p, t) if m.end() > m.start()] for i, p in enumerate(patterns)}
+        assert got == {i: spans for i, spans in want.items() if spans}
+    motifs = spark.createDataFrame([(f"m{i}", p) for i, p in enumerate(patterns)], "name string, pattern string")
+    rows = spark.createDataFrame([*enumerate(texts), (None, "and"), (7, None)], "sample long, seq string")
+    counted = sorted((str(x["sample"]), x.name, x.n) for x in K.motif_counts(rows, motifs).collect())
+    want = [(str(s), f"m{i}", n) for s, t in [*enumerate(texts), (None, "and")] for i, p in enumerate(patterns) if (n := sum(m.end() > m.start() for m in re.finditer(p, t)))]
+    assert counted == sorted(want)
+
+
 def test_distinct_reads(spark):
     rows = [("x", 3, "AC", "p"), ("x", 1, "AC", "q"), ("x", 2, None, "r"), ("x", 4, "", "r"), ("y", 9, "AC", None), ("y", 9, "AC", "a"), (None, 5, "AC", "n"), (None, 6, "AC", "n")]
     reads = spark.createDataFrame(rows, "sample string, id long, seq string, least string")
