@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -153,19 +154,37 @@ def repeated_edges(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
+#: A node with more arcs than this, and than a 1,024th of all, has them dealt out over parts.
+HUB = 100_000
+
+
+def _sent(arcs: DataFrame, ranks: DataFrame, hubs: DataFrame) -> DataFrame:
+    """to, in: what each node gets. ranks (node, rank) go to where the arcs of a node, or of a part of a hub, are."""
+    dealt = ranks.join(F.broadcast(hubs), F.col("node") == F.col("hub"), "left").select("node", "rank", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("of"))
+    return arcs.join(dealt, (F.col("a") == F.col("node")) & (F.col("part") == F.col("of"))).groupBy(F.col("b").alias("to")).agg(F.sum(F.col("p") * F.col("rank")).alias("in"))
+
+
 def pagerank(weighted: DataFrame, damping: float = 0.85, rounds: int = 20, every: int = 5) -> DataFrame:
-    """node, rank of the undirected graph (a, b, w): so many rounds of power iteration; ranks add up to 1."""
+    """node, rank of the undirected graph (a, b, w): so many rounds of power iteration; ranks add up to 1.
+
+    Arcs are dealt out by the node that they leave once, and stay where they are: a round moves ranks and partial sums. Every
+    node has an arc to it, so what is sent names them all. Lost parts of the arcs are made again from the written table.
+    """
     arcs = weighted.unionByName(weighted.select(F.col("b").alias("a"), F.col("a").alias("b"), "w"))
-    total = arcs.groupBy("a").agg(F.sum("w").alias("t"))
-    arcs = kept(arcs.join(total, "a").select("a", "b", (F.col("w") / F.col("t")).alias("p")), "arcs")
-    nodes = kept(arcs.select(F.col("a").alias("node")).distinct(), "nodes")
-    n = nodes.count()
-    ranks = nodes.withColumn("rank", F.lit(1.0 / max(n, 1)))
+    per = kept(arcs.groupBy("a").agg(F.sum("w").alias("t"), F.count(F.lit(1)).alias("arcs")).withColumnRenamed("a", "of"), "arc-weights")
+    count, n = per.agg(F.coalesce(F.sum("arcs"), F.lit(0)), F.count(F.lit(1))).first()
+    parts = F.ceil(F.col("arcs") / max(HUB, count / 1024)).cast("int")
+    # 1,024 rows at most
+    hubs = kept(per.filter(parts > 1).select(F.col("of").alias("hub"), parts.alias("parts")), "hubs")
+    part = F.pmod(F.xxhash64("b"), parts).cast("int")
+    arcs = kept(arcs.join(per, F.col("a") == F.col("of")).select("a", "b", (F.col("w") / F.col("t")).alias("p"), part.alias("part")), "arcs")
+    ranks = per.select(F.col("of").alias("node"), F.lit(1.0 / max(n, 1)).alias("rank"))
+    held = arcs.repartition(int(arcs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "part").persist(StorageLevel.MEMORY_AND_DISK)
     for k in range(1, rounds + 1):
-        sent = arcs.join(ranks, F.col("a") == F.col("node")).groupBy(F.col("b").alias("to")).agg(F.sum(F.col("p") * F.col("rank")).alias("in"))
-        ranks = nodes.join(sent, F.col("node") == F.col("to")).select("node", (F.lit((1 - damping) / max(n, 1)) + damping * F.col("in")).alias("rank"))
-        if k % every == 0:
+        ranks = _sent(held, ranks, hubs).select(F.col("to").alias("node"), (F.lit((1 - damping) / max(n, 1)) + damping * F.col("in")).alias("rank"))
+        if k % every == 0 or k == rounds:
             ranks = kept(ranks, "ranks")
+    held.unpersist()
     return ranks
 
 

@@ -251,6 +251,38 @@ def test_one_dendrogram_for_all_limits(spark):
     assert G.limited_clusters(edges.filter("d > 100"), most, largest).count() == 0
 
 
+def test_ranks_with_hubs_and_arcs_that_stay(spark, monkeypatch):
+    r = random.Random(8)
+    pairs = {tuple(sorted(r.sample(range(40), 2))) for _ in range(60)} | {(0, i) for i in range(1, 40)}
+    rows = [(a, b, r.random() + 0.1) for a, b in pairs]
+    out, rank = {}, dict.fromkeys(range(40), 1 / 40)
+    for a, b, w in rows:
+        out.setdefault(a, []).append((b, w))
+        out.setdefault(b, []).append((a, w))
+    for _ in range(4):
+        new = dict.fromkeys(range(40), 0.15 / 40)
+        for a, arcs in out.items():
+            for b, w in arcs:
+                new[b] += 0.85 * rank[a] * w / sum(x for _, x in arcs)
+        rank = new
+    weighted = spark.createDataFrame(rows, "a long, b long, w double")
+    for hub in (100_000, 7):
+        monkeypatch.setattr(G, "HUB", hub)
+        got = {x.node: x.rank for x in G.pagerank(weighted, rounds=4, every=3).collect()}
+        assert set(got) == set(rank) and all(math.isclose(got[x], rank[x], rel_tol=1e-9) for x in rank)
+    assert G.pagerank(weighted.filter("a < 0")).count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        arcs = spark.range(50).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"), F.rand(1).alias("p"), F.pmod(F.col("id"), F.lit(2)).cast("int").alias("part")).repartition(4, "a", "part").persist()
+        arcs.count()
+        sent = G._sent(arcs, spark.range(50).select(F.col("id").alias("node"), F.lit(1.0).alias("rank")), spark.createDataFrame([], "hub long, parts int"))
+        plan = sent._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and all("REPARTITION_BY_NUM" in line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(a#", line))
+        arcs.unpersist()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_clades(spark):
     rows = [("r", None, None), ("x", "r", None), ("y", "x", None), ("l1", "y", "1"), ("l2", "y", "2"), ("l3", "x", "3"), ("l4", "r", "4")]
     tree = spark.createDataFrame([(n, p, 90.0, 1.0, leaf) for n, p, leaf in rows], "node_id string, parent_id string, bootstrap double, branch_length double, leaf_id string")
