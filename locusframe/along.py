@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from locusframe.sources import kept
+
 #: Positions in a bin.
 WIDTH = 1 << 16
 
@@ -51,3 +53,14 @@ def neighbours(sites: DataFrame, at: str = "pos", by: tuple[str, ...] = ("contig
     rows = with_keys(rows, carried(binned(sites, at, width), at, by), keys)
     rows = rows.withColumn("_prev", F.coalesce("_lag", "_before")).withColumn("_next", F.coalesce("_lead", "_after")).withColumn("_i", F.col("_rank") + F.col("_k"))
     return rows.drop("_bin", "_lag", "_lead", "_k", "_before", "_after", "_rank")
+
+
+def ranked(rows: DataFrame, *order) -> DataFrame:
+    """rows with _i: their rank from 0 in the given order. Sorted partitions are numbered in themselves; how many rows come
+    before each is a table with one row a partition."""
+    ordered = kept(rows.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_id", 33)
+    sizes = ordered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    begun = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_begun"))
+    return ordered.join(F.broadcast(begun), part == F.col("_part")).withColumn("_i", F.col("_begun") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_begun", "_id")

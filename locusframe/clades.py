@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locusframe.along import neighbours, with_keys
+from locusframe.along import neighbours, ranked, with_keys
 from locusframe.quantiles import Quantile, median_deviation, quantiles
 from locusframe.sources import both_ways, kept
 
@@ -121,10 +121,8 @@ def significant(tree: DataFrame, sets: DataFrame, bootstrap: float = 70.0) -> Da
     """node_id, label, leaves (comma-joined in order) of inner nodes with enough support, labelled in order of node_id."""
     good = tree.filter((F.col("bootstrap") >= bootstrap) & F.col("leaf_id").isNull()).select("node_id")
     named = sets.join(good, "node_id").groupBy("node_id").agg(F.array_sort(F.collect_list("leaf_id")).alias("l"))
-    # numbers across ordered partitions, closed up by what the partitions hold
-    rows = kept(named.orderBy("node_id").withColumn("id", F.monotonically_increasing_id()), "labelled-clades")
-    k = neighbours(rows.select("id").withColumn("all", F.lit(0)), "id", ("all",), 1 << 33).select("id", (F.col("_i") + 1).alias("k"))
-    return rows.join(k, "id").select("node_id", label(F.col("k")).alias("label"), F.array_join(F.transform("l", lambda x: x.cast("string")), ",").alias("leaves"))
+    rows = ranked(named, "node_id")
+    return rows.select("node_id", label(F.col("_i") + 1).alias("label"), F.array_join(F.transform("l", lambda x: x.cast("string")), ",").alias("leaves"))
 
 
 def between(a: DataFrame, b: DataFrame, edges: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from locusframe import bindings as B
 from locusframe import calls as C
 from locusframe import sites as S
 from locusframe import sources as IO
+from locusframe import stripes as P
 from locusframe.registry import query, table
 
 CALLS, GENO, ALN, IVL = (f"WITH {x}" for x in (B.CALLS, B.GENO, B.ALN, B.IVL))
@@ -319,6 +320,32 @@ def o02(spark, d):
     return B.calls(spark, d).select("contig", "pos", "sample").orderBy("contig", "pos", "sample")
 
 
+STRIPED = f"{GENO}, nb AS (SELECT contig, pos, row_number() OVER (ORDER BY contig, pos) - 1 AS i FROM site)"
+
+
+@query("k02b_striped_alignment_sink", f"{STRIPED} SELECT sample, i // 100 * 100 AS \"offset\", string_agg(nt, '' ORDER BY i) AS seq FROM geno JOIN nb USING (contig, pos) GROUP BY ALL")
+def k02b(spark, d):
+    path = IO.scratch(spark, "stripes")
+    P.write_stripes(P.stripes(B.genotypes(spark, d), 100), path)
+    return P.read_stripes(spark, path)
+
+
+@query(
+    "k03b_striped_transposed_sink",
+    f"""{STRIPED} SELECT sample, i // 50 * 50 AS "offset", string_agg(nt, chr(9) ORDER BY i) AS seq FROM geno JOIN nb USING (contig, pos) GROUP BY ALL
+UNION ALL SELECT '.', i // 50 * 50, string_agg(contig || ':' || pos, chr(9) ORDER BY i) FROM nb GROUP BY ALL""",
+)
+def k03b(spark, d):
+    path = IO.scratch(spark, "transposed-stripes")
+    P.write_stripes(P.transposed_stripes(B.genotypes(spark, d), 50), path)
+    return P.read_stripes(spark, path)
+
+
+@query("r04b_striped_transpose", f"{STRIPED} SELECT sample, i AS number, nt FROM geno JOIN nb USING (contig, pos)")
+def r04b(spark, d):
+    return P.opened(P.stripes(IO.matrix_to_long(IO.wide(B.genotypes(spark, d), B.SAMPLES)), 64))
+
+
 @query("o03_sorted_positions", f"WITH {B.OBS} SELECT DISTINCT contig, pos FROM obs ORDER BY ALL")
 def o03(spark, d):
     return B.observations(spark, d).select("contig", "pos").distinct().orderBy("contig", "pos")

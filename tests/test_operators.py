@@ -19,6 +19,7 @@ from locusframe import sites as S
 from locusframe import sketch as K
 from locusframe import sources as IO
 from locusframe import spacing as W
+from locusframe import stripes as P
 from locusframe.along import neighbours
 from locusframe.quantiles import Quantile, median, quantiles
 
@@ -154,6 +155,22 @@ def genotypes(spark, **samples):
     return spark.createDataFrame([("c", p + 1, "A", s, v[p]) for s, v in samples.items() for p in range(n)], "contig string, pos long, ref string, sample string, nt string")
 
 
+def test_stripes_hold_no_more_than_their_width(spark, tmp_path):
+    r = random.Random(5)
+    seqs = {f"s {i}": "".join(r.choice("ACGTN") for _ in range(103)) for i in range(4)}
+    df = genotypes(spark, **seqs).repartition(7)
+    pieces = P.stripes(df, 10)
+    assert {x.n for x in pieces.select(F.char_length("seq").alias("n")).collect()} == {10, 3}
+    P.write_stripes(pieces, f"{tmp_path}/s")
+    back = P.read_stripes(spark, f"{tmp_path}/s")
+    assert {s: "".join(x.seq for x in sorted(back.filter(F.col("sample") == s).collect(), key=lambda x: x.offset)) for s in seqs} == seqs
+    assert {(x["sample"], x.number): x.nt for x in P.opened(back).collect()} == {(s, i): c for s, v in seqs.items() for i, c in enumerate(v)}
+    lines = P.transposed_stripes(df, 50).filter("sample = '.'").orderBy("offset").collect()
+    assert "\t".join(x.seq for x in lines).split("\t") == [f"c:{i + 1}" for i in range(103)] and [x.offset for x in lines] == [0, 50, 100]
+    # the sites of a long genome are never in one row
+    assert P.stripes(spark.createDataFrame([], df.schema)).count() == 0
+
+
 def test_three_filters_treat_n_differently(spark):
     df = genotypes(spark, a="AANAT-", b="ANNTTA")
     pos = lambda x: sorted({r.pos for r in x.collect()})
