@@ -364,3 +364,15 @@ def r05(spark, d):
     rows = B.alignment(spark, d)
     first = rows.filter("sample % 3 <> 0").select(F.lit(0).alias("block"), "sample", F.substring("seq", 1, 32).alias("seq"))
     return concatenated(first.unionByName(rows.select(F.lit(1).alias("block"), "sample", F.substring("seq", 33, 32).alias("seq"))), linker="NN")
+
+
+@query(
+    "r05b_striped_concat",
+    f"""{ALN}, j AS (SELECT sample, CASE WHEN sample % 3 = 0 THEN repeat('-', 32) ELSE substr(seq, 1, 32) END || 'NN' || substr(seq, 33, 32) AS seq FROM aln)
+SELECT sample, CAST(i AS BIGINT) AS number, seq[CAST(i + 1 AS INTEGER)] AS nt FROM (SELECT sample, seq, unnest(range(66)) AS i FROM j)""",
+)
+def r05b(spark, d):
+    rows = B.alignment(spark, d)
+    first = rows.filter("sample % 3 <> 0").select(F.lit(0).alias("block"), "sample", F.substring("seq", 1, 32).alias("seq"))
+    blocks = first.unionByName(rows.select(F.lit(1).alias("block"), "sample", F.substring("seq", 33, 32).alias("seq")))
+    return P.opened(P.concatenated(P.cut(blocks, 10), "NN", 7))

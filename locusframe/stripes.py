@@ -7,10 +7,11 @@ site (see calls.cohort), else its pieces are short.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from locusframe.along import ranked, with_keys
+from locusframe.sources import kept
 
 #: Sites of a piece.
 WIDTH = 1 << 16
@@ -46,6 +47,39 @@ def opened(pieces: DataFrame, letters: Column | None = None) -> DataFrame:
     return rows.select("sample", (F.col("offset") + F.col("at")).alias("number"), "nt")
 
 
+def cut(alignment: DataFrame, width: int = WIDTH) -> DataFrame:
+    """alignment (sample, seq and others) in pieces: offset and seq of at most `width` letters."""
+    rest = [c for c in alignment.columns if c != "seq"]
+    parts = F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{width}}}"), F.lit(0))
+    return alignment.filter("seq <> ''").select(*rest, F.posexplode(parts).alias("at", "seq")).select(*rest, (F.col("at") * width).cast("long").alias("offset"), "seq")
+
+
+def concatenated(pieces: DataFrame, linker: str = "", width: int = WIDTH) -> DataFrame:
+    """sample, offset, seq: the blocks (block, sample, offset, seq) of each sample in order, gaps for those it is not in.
+
+    Where a block begins is carried in a table with one row a block; pieces move by that and are not joined to longer ones.
+    """
+    lengths = pieces.groupBy("block").agg(F.max(F.col("offset") + F.char_length("seq")).alias("n"))
+    # over one row a block
+    order = Window.orderBy("block")
+    before = F.coalesce(F.sum(F.col("n") + len(linker)).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    layout = kept(lengths.select("block", "n", before.alias("start"), (F.row_number().over(order) - 1).alias("number")), "layout")
+    blocks = layout.count()
+    moved = pieces.join(layout, "block").select("sample", (F.col("offset") + F.col("start")).alias("offset"), "seq")
+    if blocks == 0:
+        return moved
+    held = pieces.join(layout, "block").select("sample", "number").distinct()
+    every = pieces.select("sample").distinct().select("sample", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("number"))
+    missing = every.join(held, ["sample", "number"], "left_anti").join(layout, "number")
+    missing = missing.select("sample", "start", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(width).cast("long"))).alias("at"))
+    gaps = missing.select("sample", (F.col("start") + F.col("at")).alias("offset"), F.repeat(F.lit("-"), F.least(F.lit(width), F.col("n") - F.col("at")).cast("int")).alias("seq"))
+    out = moved.unionByName(gaps)
+    if linker:
+        links = every.filter(F.col("number") < blocks - 1).join(layout, "number")
+        out = out.unionByName(links.select("sample", (F.col("start") + F.col("n")).alias("offset"), F.lit(linker).alias("seq")))
+    return out
+
+
 def write_stripes(pieces: DataFrame, path: str) -> None:
     """Text files, in order of sample and offset: `>sample offset`, then the piece."""
     ordered = pieces.orderBy("sample", "offset")

@@ -167,7 +167,16 @@ def test_stripes_hold_no_more_than_their_width(spark, tmp_path):
     assert {(x["sample"], x.number): x.nt for x in P.opened(back).collect()} == {(s, i): c for s, v in seqs.items() for i, c in enumerate(v)}
     lines = P.transposed_stripes(df, 50).filter("sample = '.'").orderBy("offset").collect()
     assert "\t".join(x.seq for x in lines).split("\t") == [f"c:{i + 1}" for i in range(103)] and [x.offset for x in lines] == [0, 50, 100]
-    # the sites of a long genome are never in one row
+    blocks = {(0, "a"): "ACGTA", (0, "b"): "CCCCC", (1, "b"): "T", (2, "a"): "GGGGGGGGGGGG"}
+    pieces = P.cut(spark.createDataFrame([(k, s, v) for (k, s), v in blocks.items()], "block int, sample string, seq string"), 4)
+    for linker in ("", "NN"):
+        out = P.concatenated(pieces, linker, 5).orderBy("sample", "offset").collect()
+        assert max(len(x.seq) for x in out) <= 5
+        for s in "ab":
+            mine = [x for x in out if x["sample"] == s]
+            assert "".join(x.seq for x in mine) == linker.join(blocks.get((k, s), "-" * n) for k, n in enumerate((5, 1, 12)))
+            assert [x.offset for x in mine] == [sum(len(y.seq) for y in mine[:i]) for i in range(len(mine))]
+    assert P.concatenated(pieces.filter("block > 7"), "NN").count() == 0
     assert P.stripes(spark.createDataFrame([], df.schema)).count() == 0
 
 
