@@ -3,10 +3,11 @@
 Base: emails, IP addresses, card and phone numbers by pattern and checksum. Each value found is a protected entity. The
 method adds the terms that would reveal one. Over the documents of the corpus, n(t) hold a term t, and n(e, t) hold it beside
 an entity e: in one line (of a line over CONTEXT characters, in one stretch that ends before white space). Seeing t tells
-PMI(e, t) of the -log2 p(e) bits that naming e would, and leaves -log2 p(e | t). With p(e | t) taken as
-(n(e, t) + 1/2) / (n(t) + 1), a term that leaves at most `leftover` bits of some entity is revealing: one that only documents
-with e hold is, even if one document; one that others hold too must be rare in them. Revealing terms are generalised wherever
-they stand, in the entity's line or not, in its document or not. What a base pattern matches is no term.
+PMI(e, t) of the -log2 p(e) bits that naming e would, and leaves -log2 p(e | t). p(e | t) is taken from below, as the Wilson
+bound of n(e, t) of n(t) at SURE standard deviations, so that what is left grows as evidence shrinks: with the defaults a
+term has to stand beside e in three documents, and in hardly any without. A term that leaves at most `leftover` bits of some
+entity, and tells a bit of it at least (an entity of a third of all documents is no secret), is revealing. Revealing terms are
+generalised wherever they stand, in the entity's line or not, in its document or not. What a base pattern matches is no term.
 
 The terms' counts over the corpus are a plain grouped count. Where revealing terms stand is found by joining words to them:
 all words of the texts that hold entities; of the other texts, only to those terms that occur without any entity.
@@ -125,24 +126,38 @@ def _contexts(text: Column) -> Column:
     return F.explode(F.regexp_extract_all(text, F.lit(_STRETCH), F.lit(0)))
 
 
+#: Standard deviations between a share that was counted and the one that is relied on.
+SURE = 1.0
+
+
+def at_least(part: Column, of: Column, sure: float = SURE) -> Column:
+    """The lower Wilson bound of a share."""
+    p, n, z = part / of, of.cast("double"), sure * sure
+    return (p + z / (2 * n) - sure * F.sqrt(p * (1 - p) / n + z / (4 * n * n))) / (1 + z / n)
+
+
 def revealing_terms(docs: DataFrame, holding: DataFrame, leftover: float = 0.5) -> DataFrame:
-    """term, bits (left of the entity that it tells most of), stray (documents without any entity hold it too).
+    """term, n_et, bits (left of the entity that it tells most of), stray (documents without any entity hold it too).
 
     docs: every text; holding: row, text of those with entities.
     """
     beside = holding.select("row", _contexts(F.col("text")).alias("context"))
     beside = beside.select("row", "context", F.array_distinct(F.transform(base_spans(F.col("context")), lambda s: F.concat_ws(":", s["kind"].cast("string"), s["value"]))).alias("entities")).filter(F.size("entities") > 0)
-    pairs = beside.select("row", _terms(F.col("context")).alias("terms"), F.explode("entities").alias("entity")).select("row", "entity", F.explode("terms").alias("term")).distinct()
-    best = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).groupBy("term").agg(F.max("n_et").alias("n_et"))
+    lines = written(beside.select("row", _terms(F.col("context")).alias("terms"), "entities"), "entity-lines")
+    # documents that hold each entity: one document makes no evidence, and of a frequent entity nothing is told
+    held = lines.select("row", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    told = held.filter((F.col("n_e") > 1) & (F.col("n_e") <= docs.count() * 2 ** -(leftover + 1))).select("entity")
+    pairs = lines.select("row", "terms", F.explode("entities").alias("entity")).join(told, "entity").select("row", "entity", F.explode("terms").alias("term")).distinct()
+    best = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).filter("n_et > 1").groupBy("term").agg(F.max("n_et").alias("n_et"))
     here = holding.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_here"))
 
     def left(n_t: str) -> Column:
-        return F.log2((F.col(n_t) + 1) / (F.col("n_et") + 0.5))
+        return -F.log2(at_least(F.col("n_et"), F.col(n_t)))
 
     # the documents with entities bound a term's count from below, which settles most terms
     hopeful = written(best.join(here, "term").filter(left("n_here") <= leftover), "hopeful-terms")
-    counts = docs.select(F.explode(_terms(F.coalesce("text", F.lit("")))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    return hopeful.join(counts, "term").filter(left("n_t") <= leftover).select("term", left("n_t").alias("bits"), (F.col("n_t") > F.col("n_here")).alias("stray"))
+    counts = docs.select(F.explode(_terms(F.coalesce("text", F.lit("")))).alias("term")).join(hopeful.select("term"), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    return hopeful.join(counts, "term").filter(left("n_t") <= leftover).select("term", "n_et", left("n_t").alias("bits"), (F.col("n_t") > F.col("n_here")).alias("stray"))
 
 
 def term_spans(docs: DataFrame, leftover: float = 0.5) -> DataFrame:

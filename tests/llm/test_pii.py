@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 import time
 from collections import Counter
@@ -63,7 +64,12 @@ def revealing(texts, leftover=0.5):
         n_t.update(terms(text or ""))
         lines = (text or "").split("\n")
         n_et.update({(x.split(":")[0] + c[int(x.split(":")[1]) : int(x.split(":")[2])], t) for c in lines for x in base(c) for t in terms(c)})
-    told = {t for (_, t), n in n_et.items() if math.log2((n_t[t] + 1) / (n + 0.5)) <= leftover}
+    n_e = Counter(e for text in texts for e in {x.split(":")[0] + c[int(x.split(":")[1]) : int(x.split(":")[2])] for c in (text or "").split("\n") for x in base(c)})
+
+    def least(k, n):
+        return (k / n + 1 / (2 * n) - math.sqrt(k / n * (1 - k / n) / n + 1 / (4 * n * n))) / (1 + 1 / n)
+
+    told = {t for (e, t), n in n_et.items() if n > 1 and n_e[e] <= len(texts) * 2 ** -(leftover + 1) and -math.log2(least(n, n_t[t])) <= leftover}
     spans = []
     for t in texts:
         inside = [tuple(map(int, x.split(":")[1:])) for x in base(t)]
@@ -77,7 +83,8 @@ def test_revealing_terms_match_counting(spark):
     once = [f"Agnetha{i} and the number{i} call +1 (555) 123-45{i:02d}\nnothing\nthe weather of Agnetha{i}" for i in range(20)]
     texts = filler + told + once + ["Zebulon passed by once", "Agnetha3 elsewhere", None, "", "x@y.zz Agnetha7q x@y.zz"] + [told[0]] * 5
     terms, spans = revealing(texts)
-    assert "zebulon" in terms and "agnetha4" in terms and "weather" not in terms and "item0" in terms and len(terms) > 20
+    # once beside an entity is no evidence, five copies of a row are; what stands everywhere tells nothing
+    assert "zebulon" in terms and "item0" in terms and not {"agnetha4", "item1", "weather"} & terms
     got = {x.doc_id: x for x in report(spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], SCHEMA)).collect()}
     for i, want in enumerate(spans):
         assert [x for x in got[i].spans.split(",") if x.startswith("term")] == want, texts[i]
@@ -87,9 +94,9 @@ def test_revealing_terms_match_counting(spark):
 
 def test_rewritten_text(spark):
     told = [f"ask Zebulon about item{i} the mail is zeb@example.com" for i in range(5)]
-    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(["the mail is about the weather", *told, *told])], SCHEMA)
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(["the mail is about the weather", *told, *told, *[f"mail about other{i}" for i in range(30)]])], SCHEMA)
     out = {r.doc_id: r.text for r in sanitise(df).collect()}
-    assert out[0] == "the mail is about the weather" and out[1] == "ask [TERM] about [TERM] the mail is [EMAIL]" or "[TERM]" in out[1]
+    assert out[0] == "the mail is about the weather" and out[1].startswith("ask [TERM] about item") | out[1].startswith("ask [TERM] about [TERM]") and out[1].endswith("[EMAIL]")
     assert df.columns == sanitise(df).columns
 
 
@@ -111,3 +118,26 @@ def test_sanitise_overlaps_nulls_and_empty(spark):
     out = {r.doc_id: r.text for r in sanitise(df).collect()}
     assert out[1] is None and out[2] == "é [PHONE] end"
     assert report(df.limit(0)).count() == 0 and sanitise(df.limit(0)).count() == 0
+
+
+def test_planted_names_among_rare_words(spark):
+    """Names that stand beside one address in 3 to 8 documents are found; words of one document, and of many, are not."""
+    r = random.Random(11)
+    words = [f"word{i}" for i in range(400)]
+    texts, names = [f"{' '.join(r.choices(words, k=30))} rare{i}" for i in range(600)], []
+    for k in range(40):
+        name, n = "planted" + "".join(r.choices("abcdefgh", k=6)), r.randint(3, 8)
+        names.append(name)
+        texts += [f"{' '.join(r.choices(words, k=8))} {name} rarer{k}x{j} p{k}@mail.com\n{' '.join(r.choices(words, k=10))}" for j in range(n)]
+        texts += [f"{name} {' '.join(r.choices(words, k=12))}"] * (n > 6)
+    told, spans = revealing(texts)
+    assert set(names) == told & set(names) and len(told - set(names)) <= 2
+    got = {x.doc_id: x.spans for x in report(spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], SCHEMA)).collect()}
+    assert all([x for x in got[i].split(",") if x.startswith("term")] == want for i, want in enumerate(spans))
+
+
+def test_null_ids_and_repeated_rows(spark):
+    rows = [(None, "call a@b.co", "x", 1)] * 3 + [(None, None, None, None), (4, "", "x", 1)]
+    got = report(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(x.n_email for x in got) == [0, 0, 1, 1, 1] and sum(x.doc_id is None for x in got) == 4
+    assert sanitise(spark.createDataFrame(rows, SCHEMA)).count() == 5
