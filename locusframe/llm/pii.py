@@ -5,7 +5,7 @@ method adds the terms that would reveal one. Over the documents of the corpus, n
 an entity e: in one line (of a line over CONTEXT characters, in one stretch that ends before white space). Seeing t tells
 PMI(e, t) of the -log2 p(e) bits that naming e would, and leaves -log2 p(e | t). p(e | t) is taken from below, as the Wilson
 bound of n(e, t) of n(t) at SURE standard deviations, so that what is left grows as evidence shrinks: with the defaults a
-term has to stand beside e in three documents, and in hardly any without. A term that leaves at most `leftover` bits of some
+term has to stand beside e in two documents at least, and in hardly any without. A term that leaves at most `leftover` bits of some
 entity, and tells a bit of it at least (an entity of a third of all documents is no secret), is revealing. Revealing terms are
 generalised wherever they stand, in the entity's line or not, in its document or not. What a base pattern matches is no term.
 
@@ -127,7 +127,7 @@ def _contexts(text: Column) -> Column:
 
 
 #: Standard deviations between a share that was counted and the one that is relied on.
-SURE = 1.0
+SURE = 0.9
 
 
 def at_least(part: Column, of: Column, sure: float = SURE) -> Column:

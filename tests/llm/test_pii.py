@@ -5,7 +5,7 @@ import re
 import time
 from collections import Counter
 
-from locusframe.llm.pii import report, sanitise
+from locusframe.llm.pii import SURE, report, sanitise
 
 KINDS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -67,7 +67,8 @@ def revealing(texts, leftover=0.5):
     n_e = Counter(e for text in texts for e in {x.split(":")[0] + c[int(x.split(":")[1]) : int(x.split(":")[2])] for c in (text or "").split("\n") for x in base(c)})
 
     def least(k, n):
-        return (k / n + 1 / (2 * n) - math.sqrt(k / n * (1 - k / n) / n + 1 / (4 * n * n))) / (1 + 1 / n)
+        z = SURE * SURE
+        return (k / n + z / (2 * n) - SURE * math.sqrt(k / n * (1 - k / n) / n + z / (4 * n * n))) / (1 + z / n)
 
     told = {t for (e, t), n in n_et.items() if n > 1 and n_e[e] <= len(texts) * 2 ** -(leftover + 1) and -math.log2(least(n, n_t[t])) <= leftover}
     spans = []
@@ -121,12 +122,12 @@ def test_sanitise_overlaps_nulls_and_empty(spark):
 
 
 def test_planted_names_among_rare_words(spark):
-    """Names that stand beside one address in 3 to 8 documents are found; words of one document, and of many, are not."""
+    """Names that stand beside one address in 2 to 8 documents are found; words of one document, and of many, are not."""
     r = random.Random(11)
     words = [f"word{i}" for i in range(400)]
     texts, names = [f"{' '.join(r.choices(words, k=30))} rare{i}" for i in range(600)], []
     for k in range(40):
-        name, n = "planted" + "".join(r.choices("abcdefgh", k=6)), r.randint(3, 8)
+        name, n = "planted" + "".join(r.choices("abcdefgh", k=6)), r.randint(2, 8)
         names.append(name)
         texts += [f"{' '.join(r.choices(words, k=8))} {name} rarer{k}x{j} p{k}@mail.com\n{' '.join(r.choices(words, k=10))}" for j in range(n)]
         texts += [f"{name} {' '.join(r.choices(words, k=12))}"] * (n > 6)
