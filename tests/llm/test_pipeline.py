@@ -27,7 +27,7 @@ def rewritten(text, terms):
 def documents():
     r = random.Random(11)
     vocabulary = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(3, 8))) for _ in range(4000)]
-    rows = [(i, " ".join(r.choice(vocabulary) for _ in range(r.randint(40, 120))) + (f" mail p{i}@q.org." if i % 9 == 0 else ""), "en", f"s{i % 4}") for i in range(120)]
+    rows = [(i, " ".join(r.choice(vocabulary) for _ in range(r.randint(40, 120))) + (f" ask zebulon{'xyz'[i // 9 % 3]} by mail p{i // 9 % 3}@q.org." if i % 9 == 0 else ""), "en", f"s{i % 4}") for i in range(120)]
     rows += [(200 + i, rows[5][1] + (" x" if i % 2 else ""), "en", "s0") for i in range(6)]
     rows += [(300, "the same line here\n" * 30, "en", "s1"), (301, None, None, None), (302, "", "en", "s1")]
     return [(d, t, lang, s, len(t or "")) for d, t, lang, s in rows]
