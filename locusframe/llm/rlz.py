@@ -1,6 +1,6 @@
 """Substring dedup by relative Lempel-Ziv parsing (operator 6).
 
-Every document is factored greedily against an index of reference blocks. A block is the span of a run of word windows
+Documents are factored against an index of reference blocks (the digest form covers the same words without joining factors). A block is the span of a run of word windows
 (see repeats); its first occurrence in order of (row key, place) is the reference. A run that recurs as a whole copies its
 block. Where runs under one anchor differ, as at the ends of a copied passage, the index of the blocks' windows names for each
 window the first block that has it too, and the factor is extended from there in both directions, word by word on the words

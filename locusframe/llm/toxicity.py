@@ -1,4 +1,7 @@
-"""Toxicity by nearest labelled examples (operator 2): exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by nearest labelled examples (operator 2): a weighted TF-IDF cosine over a block-max inverted index.
+
+The search is exact for that cosine, which is not the plain one: words that go with no label weigh less, and a query's length
+counts the words of the index alone.
 
 The examples are a bounded sample: about `per_label` labelled rows of either label, chosen by a hash; each label's rows stand
 for all its labelled rows. The vocabulary is every lower-case word of the examples, and of the words' prefixes of PREFIXES
