@@ -5,10 +5,12 @@ Texts link if their fingerprints differ in at most `radius` bits; a class is wha
 
 Search: the 64 bits are cut into radius + 4 blocks. Two fingerprints within the radius agree on all but `radius` blocks, so
 each choice of blocks to ignore gives a table in which they share a key. Only different fingerprints enter the tables, so
-copies cost one row, and a key's bucket holds at most 2^(ignored bits) of them. Within a bucket, candidates stand in blocks
-of 64 with their bits stored vertically; a query updates 64 distances at a time with carry-save counters, and a block is
-left as soon as all its candidates exceed the radius. Links become a star within each task, and the classes come from
-repeated min-label joins over those stars.
+copies cost one row. A bucket of more than `most` fingerprints is replaced by those of finer tables: the bits that its table
+ignores are cut into radius + 4 blocks again, so no link is lost, and a finer bucket holds no more than 2^(bits of `radius`
+such blocks) fingerprints, 256 for a radius of 2. Within a bucket, candidates stand in blocks of 64 with their bits stored
+vertically; a query updates 64 distances at a time with carry-save counters, and a block is left as soon as all its
+candidates exceed the radius. Links become a star within each task, and the classes come from repeated min-label joins over
+those stars.
 
 Defined results: null and empty texts have fingerprint 0, linked like any other; the class of a null doc_id's text is the
 smallest non-null doc_id of the class, or null; repeated rows are in one class.
@@ -77,11 +79,13 @@ def with_fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return docs.select(F.xxhash64("doc_id", "text").alias("rid"), "doc_id", "text").mapInArrow(task, "rid long, doc_id long, fp long")
 
 
-def tables(radius: int) -> list[int]:
-    """The masks of the bits that make the keys."""
-    edges = np.linspace(0, 64, radius + 5).round().astype(int)
-    blocks = [((1 << int(b)) - 1) ^ ((1 << int(a)) - 1) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    return [sum(set(blocks) - set(skip)) for skip in combinations(blocks, radius)]
+def tables(radius: int, within: int = (1 << 64) - 1) -> list[int]:
+    """The masks of the bits that make the keys: all but `radius` of radius + 4 blocks of the bits in `within`."""
+    bits = [1 << i for i in range(64) if within >> i & 1]
+    edges = np.linspace(0, len(bits), radius + 5).round().astype(int)
+    blocks = [sum(bits[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    whole = (1 << 64) - 1
+    return [whole ^ sum(skip) for skip in combinations(blocks, radius)]
 
 
 def bit_sliced_links(fp: np.ndarray, group: np.ndarray, radius: int, most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
@@ -148,12 +152,26 @@ def stars(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
-def links(distinct: DataFrame, radius: int) -> DataFrame:
-    """a < b: links between different fingerprints (column fp), thinned to a star for each connected part of a task."""
+def _long(mask: int):
+    return F.lit(mask - (1 << 64) if mask >> 63 else mask)
+
+
+def buckets(distinct: DataFrame, radius: int, most: int) -> DataFrame:
+    """t, key, fp: the fingerprints (column fp) under every key that several share, at most `most` of them or few of a finer table."""
     masks = tables(radius)
-    keys = distinct.select("fp", F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("key")) for t, m in enumerate(masks)])).alias("k")).select("k.t", "k.key", "fp")
-    shared = keys.groupBy("t", "key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("t", "key")
-    rows = keys.join(shared, ["t", "key"]).repartition("t", "key").sortWithinPartitions("t", "key", "fp")
+    finer = [tables(radius, within=(1 << 64) - 1 - mask) for mask in masks]
+    keys = distinct.select("fp", F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(_long(m)).alias("key")) for t, m in enumerate(masks)])).alias("k")).select("k.t", "k.key", "fp")
+    shared = keys.groupBy("t", "key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    own = F.array(*[F.array(_long(m)) for m in masks])
+    split = F.array(*[F.array(*[_long(m) for m in line]) for line in finer])
+    used = F.when(F.col("c") > most, split[F.col("t")]).otherwise(own[F.col("t")])
+    # keys of a table and of its finer ones never meet: their buckets differ in the table's own bits
+    return keys.join(shared, ["t", "key"]).select("t", "fp", F.posexplode(used).alias("part", "mask")).select((F.col("t") * len(finer[0]) + F.col("part")).alias("t"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
+
+
+def links(distinct: DataFrame, radius: int, most: int = 4096) -> DataFrame:
+    """a < b: links between different fingerprints (column fp), thinned to a star for each connected part of a task."""
+    rows = buckets(distinct, radius, most).repartition("t", "key").sortWithinPartitions("t", "key", "fp")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []

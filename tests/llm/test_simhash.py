@@ -2,9 +2,10 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
-from locusframe.llm.simhash import bit_sliced_links, classes, components, keep_one, links
+from locusframe.llm.simhash import bit_sliced_links, buckets, classes, components, keep_one, links, stars, tables
 from test_repeats import SCHEMA, corpus
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -65,6 +66,41 @@ def test_links_join_what_brute_force_joins(spark):
     assert {v: label.get(v, v) for v in signed} == roots
 
 
+@pytest.mark.parametrize("radius", [0, 1, 2, 3])
+def test_tables_share_a_key_within_the_radius(radius):
+    r = random.Random(radius)
+    for within in ((1 << 64) - 1, ((1 << 21) - 1) << 40):
+        masks = tables(radius, within)
+        for _ in range(300):
+            flip = sum(1 << b for b in r.sample([i for i in range(64) if within >> i & 1], radius))
+            assert any(flip & m == 0 for m in masks)
+
+
+@pytest.mark.parametrize("size", [20_000, 100_000])
+def test_one_bucket_of_many_fingerprints(spark, size):
+    # all differ only in the bits that one table ignores; which of them link is found by flipping bits
+    ignored = [b for b in range(64) if not tables(2)[0] >> b & 1]
+    r = np.random.default_rng(size)
+    low = np.sort(r.choice(1 << len(ignored), size, replace=False))
+    fp = np.zeros(size, np.uint64)
+    for i, b in enumerate(ignored):
+        fp |= ((low >> i & 1).astype(np.uint64)) << np.uint64(b)
+    left, right = [], []
+    for flip in [1 << i for i in range(len(ignored))] + [1 << i | 1 << j for i in range(len(ignored)) for j in range(i)]:
+        at = np.minimum(np.searchsorted(low, low ^ flip), size - 1)
+        hit = np.flatnonzero(low[at] == low ^ flip)
+        left.append(hit)
+        right.append(at[hit])
+    want = stars(size, np.concatenate(left), np.concatenate(right))
+    signed = fp.view(np.int64).tolist()
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    assert buckets(df, 2, 4096).groupBy("t", "key").count().agg({"count": "max"}).first()[0] <= 4096
+    edges = links(df, 2).toPandas()
+    place = {x: i for i, x in enumerate(signed)}
+    a, b = edges.a.map(place).to_numpy(), edges.b.map(place).to_numpy()
+    assert np.array_equal(stars(size, a, b), want)
+
+
 def test_bit_sliced_links():
     r = random.Random(1)
     fp = np.array([r.getrandbits(6) for _ in range(300)], np.uint64)
