@@ -3,9 +3,11 @@
 ASCII letters and capitals of the Latin-1 block are lower-cased, bytes from 128 up stay as they are and all other bytes become
 spaces; a text's subwords are the byte n-grams of that, each hashed to one of `buckets` embeddings. A text is the mean of its
 subwords' embeddings, and a linear softmax on the mean gives the languages. Training is stochastic gradient descent on a
-bounded sample: about `per_language` labelled texts, chosen by a hash, of each of the `languages` most frequent ones (ties in
-order). As mean and softmax are linear before the exponential, scoring adds up one row of (embeddings x weights) for each
-subword, whole texts at a time.
+bounded sample of labelled texts of every language, chosen by a hash: about `per_language` of each, fewer if the languages
+together would have more than `examples`, and at least one. Tasks count their subwords, so the driver gets no text; of a
+language's texts those are taken, in the hash's order, that begin within its share of `entries` different subwords (a text has
+`buckets` of them at most). As mean and softmax are linear before the exponential, scoring adds up, for each subword, one row
+of (embeddings x weights) or, with more languages than an embedding has numbers, one embedding; whole texts at a time.
 
 A part of the sample is set aside to fit the temperature that calibrates the probabilities, and the score below which a
 prediction is rejected: the smallest that leaves `precision` of the accepted ones right.
@@ -21,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusframe.llm import arrays as A
@@ -34,7 +36,8 @@ _U = np.uint64
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
-    table: np.ndarray  # languages x buckets: embedding times weights
+    table: np.ndarray  # numbers x buckets: embedding times weights, or the embedding
+    weight: np.ndarray  # numbers x languages: one, or the weights
     bias: np.ndarray
     temperature: float
     reject_below: float
@@ -83,11 +86,11 @@ def subwords(data: np.ndarray, offsets: np.ndarray, buckets: int) -> tuple[np.nd
     return (np.concatenate(found), np.concatenate(rows)) if found else (none, none)
 
 
-def logits(table: np.ndarray, bias: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    bucket, row = subwords(data, offsets, table.shape[1])
+def logits(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    bucket, row = subwords(data, offsets, model.table.shape[1])
     n = len(offsets) - 1
     total = np.maximum(np.bincount(row, minlength=n), 1)
-    return np.stack([np.bincount(row, line[bucket], minlength=n) / total for line in table], 1) + bias
+    return np.stack([np.bincount(row, line[bucket], minlength=n) / total for line in model.table], 1) @ model.weight + model.bias
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -95,18 +98,22 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(1, keepdims=True)
 
 
-def train(texts: list[str], labels: list[str], buckets: int = 1 << 15, width: int = 16, epochs: int = 8, rate: float = 0.5, precision: float = 0.95, seed: int = 7) -> Model | None:
+def counted(texts: list[str], buckets: int = 1 << 15) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(different buckets, their counts) of each text's subwords."""
+    out = []
+    for text in texts:
+        data = np.frombuffer(text.encode(), np.uint8)
+        out.append(np.unique(subwords(data, np.array([0, len(data)]), buckets)[0], return_counts=True))
+    return out
+
+
+def train(counts: list[tuple[np.ndarray, np.ndarray]], labels: list[str], buckets: int = 1 << 15, width: int = 16, epochs: int = 8, rate: float = 0.5, precision: float = 0.95, seed: int = 7) -> Model | None:
     languages = sorted(set(labels), key=lambda x: x.encode())
     if not languages:
         return None
     rng = np.random.default_rng(seed)
     y = np.searchsorted(np.array([x.encode() for x in languages], object), [x.encode() for x in labels])
-    docs = []
-    for text in texts:
-        data = np.frombuffer(text.encode(), np.uint8)
-        bucket, _ = subwords(data, np.array([0, len(data)]), buckets)
-        used, count = np.unique(bucket, return_counts=True)
-        docs.append((used, count / max(len(bucket), 1)))
+    docs = [(used, count / max(count.sum(), 1)) for used, count in counts]
     order = rng.permutation(len(docs))
     aside, learn = order[: len(order) // 5], order[len(order) // 5 :]
     if len(learn) == 0:
@@ -129,31 +136,51 @@ def train(texts: list[str], labels: list[str], buckets: int = 1 << 15, width: in
             bias -= step * 0.1 * p
             # a row's step is scaled by the number of rows, as each has but a small share of the mean
             embed[used] -= step * np.minimum(share * len(used), 10)[:, None] * back
-    table = (embed @ weight).T.astype(np.float64)
+    few = len(languages) <= width
+    table, weight = (np.ascontiguousarray((embed @ weight).T), np.eye(len(languages))) if few else (np.ascontiguousarray(embed.T), weight)
     held = aside if len(aside) else learn
-    z = np.array([share @ table.T[used] for used, share in (docs[i] for i in held)]).reshape(len(held), -1) + bias
+    z = np.array([share @ table.T[used] for used, share in (docs[i] for i in held)]).reshape(len(held), -1) @ weight + bias
     best = min((2.0**e for e in np.arange(-5, 5.01, 0.25)), key=lambda t: -np.log(np.maximum(softmax(z / t)[np.arange(len(held)), y[held]], 1e-12)).mean())
     p = softmax(z / best)
     top, right = p.max(1), p.argmax(1) == y[held]
     order = np.argsort(-top, kind="stable")
     good = np.flatnonzero(np.cumsum(right[order]) >= precision * np.arange(1, len(order) + 1))
-    return Model(languages, table, bias, best, float(top[order[good[-1]]]) if len(good) else 1.0)
+    return Model(languages, table, weight, bias, best, float(top[order[good[-1]]]) if len(good) else 1.0)
 
 
-def sample(docs: DataFrame, per_language: int, languages: int) -> DataFrame:
-    """text, lang, point: about per_language rows of each language, chosen by a hash of the text and its id."""
-    rows = docs.filter("text is not null and lang is not null")
-    most = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
-    shares = docs.sparkSession.createDataFrame([(r.lang, min(1.0, per_language / r.n)) for r in most], "of string, share double")
-    # a hash in [0, 1); no text moves before it is chosen, as the shares are `languages` rows at most
-    point = F.pmod(F.xxhash64(F.lit("sample"), rows["doc_id"], rows["text"]), F.lit(1 << 30)) / float(1 << 30)
-    return rows.select("text", "lang", point.alias("point")).join(F.broadcast(shares), F.col("lang") == F.col("of")).filter("point < share").select("text", "lang", "point")
+def sample(docs: DataFrame, per_language: int, examples: int) -> tuple[DataFrame, int]:
+    """(text, lang, point: rows chosen by a hash of the text and its id, at least one of each language; how many languages)."""
+    # a hash in [0, 1); no text moves before it is chosen
+    point = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    rows = docs.filter("text is not null and lang is not null").select("text", "lang", point.alias("point"))
+    known = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("point").alias("least")).collect()
+    each = min(per_language, examples / max(len(known), 1))
+    shares = docs.sparkSession.createDataFrame([(r.lang, max(each / r.n, r.least)) for r in known], "of string, share double")
+    shares = F.broadcast(shares) if len(known) <= 10_000 else shares
+    chosen = rows.join(shares, F.col("lang") == F.col("of")).filter("point <= share")
+    # repeated rows share a point: one text of them
+    return chosen.groupBy("lang", "point").agg(F.min("text").alias("text")).select("text", "lang", "point"), len(known)
 
 
-def learn(docs: DataFrame, per_language: int = 400, languages: int = 512, **options) -> Model | None:
+def learn(docs: DataFrame, per_language: int = 400, examples: int = 20_000, entries: int = 1 << 23, buckets: int = 1 << 15, **options) -> Model | None:
     """A model from the labelled rows of docs (columns doc_id, text, lang)."""
-    rows = sorted((r.point, r.lang, r.text) for r in sample(docs, per_language, languages).collect())
-    return train([r[2] for r in rows], [r[1] for r in rows], **options)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                used, count = counted([batch.column(0)[i].as_py()], buckets)[0]
+                columns = [batch.column(1).slice(i, 1), batch.column(2).slice(i, 1), pa.array([used.astype(np.int32)]), pa.array([count.astype(np.int64)])]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "point", "used", "count"])
+
+    chosen, languages = sample(docs, per_language, examples)
+    if not languages:
+        return None
+    order = Window.partitionBy("lang").orderBy("point", F.xxhash64("used", "count"))
+    before = F.sum(F.size("used")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.size("used")
+    rows = chosen.mapInArrow(task, "lang string, point double, used array<int>, count array<long>").withColumn("before", before)
+    rows = rows.filter(F.col("before") < entries // languages).toArrow().sort_by([("point", "ascending"), ("lang", "ascending"), ("before", "ascending")])
+    flat = [[np.asarray(x.values) for x in rows.column(name)] for name in ("used", "count")]
+    return train(list(zip(*flat, strict=True)), rows.column("lang").to_pylist(), buckets, **options)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -168,7 +195,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             for at, end, data, offsets in A.chunks(batch.column(1)):
                 best, score = np.full(end - at, len(names) - 1), np.zeros(end - at)
                 if model:
-                    p = softmax(logits(model.table, model.bias, data, offsets) / model.temperature)
+                    p = softmax(logits(model, data, offsets) / model.temperature)
                     known = lettered[at:end]
                     best[known], score[known] = p.argmax(1)[known], p.max(1)[known]
                 accepted = (best < len(names) - 1) & (score >= (model.reject_below if model else 1))

@@ -49,10 +49,43 @@ def test_language_without_labels_and_empty(spark):
 def test_language_rejects_below_its_threshold():
     r = random.Random(1)
     texts = [words(r, "abc", 20) for _ in range(60)] + [words(r, "xyz", 20) for _ in range(60)]
-    model = language.train(texts, ["a"] * 60 + ["x"] * 60)
+    model = language.train(language.counted(texts), ["a"] * 60 + ["x"] * 60)
     assert model.languages == ["a", "x"] and 0 < model.reject_below <= 1 and model.temperature > 0
 
 
+def test_language_learns_each_of_600(spark):
+    # a language is a pair of letters; three rows of each, of the first a third of all
+    r = random.Random(8)
+    names = [f"l{i:03}" for i in range(600)]
+    pairs = r.sample([a + b for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz" if a != b], 600)
+    rows = [(i * 600 + j, words(r, pairs[j], 25), name, "s") for i in range(3) for j, name in enumerate(names)]
+    rows += [(5000 + i, words(r, pairs[0], 25), names[0], "s") for i in range(900)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    chosen, known = language.sample(df, 400, 1000)
+    counts = Counter(x.lang for x in chosen.select("lang").collect())
+    assert known == len(counts) == 600 and sum(counts.values()) < 1500
+    # a row repeated counts once
+    assert language.sample(spark.createDataFrame([rows[0]] * 500, SCHEMA), 400, 1000)[0].count() == 1
+    model = language.learn(df, examples=1000, epochs=2)
+    assert model.languages == names and model.table.shape[0] == 16
+    # a language's share of entries is less than a text has: one text of each is left, no language is lost
+    assert language.learn(df, examples=1000, entries=600, epochs=1).languages == names
+    got = language.predict(df, model).collect()
+    assert len(got) == len(rows) and {x.lang_pred for x in got} <= set(names)
+
+
+def test_language_table_or_embedding_give_the_same(spark):
+    r = random.Random(2)
+    sets = ["abc", "xyz", "klm", "rst"]
+    texts = [words(r, sets[i % 4], 20) for i in range(80)]
+    counts, labels = language.counted(texts), [str(i % 4) for i in range(80)]
+    one, other = (language.train(counts, labels, width=w) for w in (4, 3))
+    assert one.table.shape[0] == 4 and other.table.shape[0] == 3
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for model in (one, other):
+        assert [x.lang_pred for x in language.predict(df, model).orderBy("doc_id").collect()] == labels
+
+
 def index(dense, seed=3, n=300):
     r = random.Random(seed)
     out = toxicity.Index({f"t{i}": i for i in range(40)}, np.array([r.uniform(0.5, 4) for _ in range(40)]), k=10)
