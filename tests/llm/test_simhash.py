@@ -52,17 +52,18 @@ def test_classes_match_brute_force(spark):
     assert sorted(x.doc_id for x in kept if x.doc_id is not None) == sorted(least.values())
 
 
-def test_links_join_what_brute_force_joins(spark):
+@pytest.mark.parametrize("radius, most", [(2, 4096), (2, 2), (4, 30)])
+def test_links_join_what_brute_force_joins(spark, radius, most):
     r = random.Random(9)
     base = [r.getrandbits(64) for _ in range(20)]
     prints = set(base)
     for b in base:
         for _ in range(20):
-            prints.add(b ^ sum(1 << x for x in r.sample(range(64), r.randint(1, 4))))
+            prints.add(b ^ sum(1 << x for x in r.sample(range(64), r.randint(1, radius + 2))))
     signed = [x - (1 << 64) if x >> 63 else x for x in prints]
-    edges = links(spark.createDataFrame([(x,) for x in signed], "fp long"), 2)
+    edges = links(spark.createDataFrame([(x,) for x in signed], "fp long"), radius, most)
     label = {x.v: x.label for x in components(edges).collect()}
-    roots = brute_components(signed, lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= 2)
+    roots = brute_components(signed, lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= radius)
     assert {v: label.get(v, v) for v in signed} == roots
 
 
