@@ -6,6 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from locusframe import pairs
 from locusframe.clades import clades
 from locusframe.sources import kept
 
@@ -133,11 +134,26 @@ def cluster_statistics(members: DataFrame, edges: DataFrame, most: int) -> DataF
     b = members.select(F.col("node").alias("b"), F.col("cluster").alias("c2"))
     inside = edges.join(a, "a").join(b, "b").filter("cluster = c2")
     m = inside.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("s"), F.sum(F.col("d") * F.col("d")).alias("q"), F.min("d").alias("lo"), F.max("d").alias("hi"))
+    return _statistics(members, m, most)
+
+
+def cluster_statistics_packed(members: DataFrame, alignment: DataFrame, most: int) -> DataFrame:
+    """cluster_statistics of the clusters' sequences, from counts of their distances: no row a pair."""
+    own = alignment.join(members.select(F.col("node").alias("sample"), "cluster"), "sample")
+    counted = pairs.within_groups(own, "cluster")
+    d = F.col("d")
+    m = counted.groupBy(F.col("x").alias("cluster")).agg(F.sum("n").alias("n"), F.sum(d * F.col("n")).alias("s"), F.sum(d * d * F.col("n")).alias("q"), F.min("d").alias("lo"), F.max("d").alias("hi"))
+    return _statistics(members, m, most)
+
+
+def _statistics(members: DataFrame, m: DataFrame, most: int) -> DataFrame:
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
     rows = sizes.join(m, "cluster", "left").na.fill(0, ["n", "s", "q"]).withColumn("pairs", F.floor(F.col("size") * (F.col("size") - 1) / 2).cast("long"))
     rows = rows.withColumn("none", F.col("pairs") - F.col("n")).withColumn("s", F.col("s") + F.col("none") * most).withColumn("q", F.col("q") + F.col("none") * most * most)
     mean = F.col("s") / F.col("pairs").cast("double")
-    variance = (F.col("q") * F.col("pairs") - F.col("s") * F.col("s")) / F.nullif(F.col("pairs") * (F.col("pairs") - 1), F.lit(0)).cast("double")
+    # products of two sums outgrow a long in a cluster of some ten thousand nodes
+    n, s, q = (F.col(c).cast("decimal(19,0)") for c in ("pairs", "s", "q"))
+    variance = (q * n - s * s).cast("double") / F.nullif((n * (n - 1)).cast("double"), F.lit(0.0))
     some = F.col("none") > 0
     return rows.select("cluster", "size", mean.cast("long").alias("mean"), F.sqrt(variance).cast("long").alias("spread"), F.when(some, F.least("lo", F.lit(most))).otherwise(F.col("lo")).cast("long").alias("least"), F.when(some, F.greatest("hi", F.lit(most))).otherwise(F.col("hi")).cast("long").alias("largest"))
 
