@@ -1,17 +1,21 @@
-"""Near copies by the Jaccard similarity of five-word shingles (the pipeline's second stage).
+"""Near copies (the pipeline's second stage): SimHash and min-hash candidates, checked by Jaccard similarity.
 
-A text's set: the 64-bit hashes of its five-word shingles (lower case in ASCII, words joined by one space; a shorter text is
-one shingle). Two texts link if their sets have a similarity of at least 4/5, compared in whole numbers; a class is what links
+A text's set: the 64-bit hashes of its five-word shingles (lower case in ASCII, words joined by one space; a shorter text is one
+shingle). Two texts link if their sets have a similarity of at least 4/5, compared in whole numbers; a class is what links
 join. Equal hashes count as equal shingles.
 
-Search: equal sets are one row. BANDS keys of ROWS min-hashes each bring sets together; two sets of similarity 4/5 share no key
-with a chance of (1 - 0.8^4)^26, about one in a million. Every candidate is then checked on the whole sets, joined by id:
+Search: equal sets are one row. Candidates come from two sides, and every one is checked on the whole sets:
 
-1. in each bucket every set is paired with the bucket's head, another one in each bucket, so that most of a large class of
-   near copies is joined by at most BANDS checks a set;
-2. in buckets that still hold several classes, all pairs across them, under salted keys.
+1. SimHash: the classes of operator 8 (fingerprints that differ in 2 bits at most), each set with its class's smallest;
+2. min-hashes, for near copies whose fingerprints lie further apart: BANDS keys of ROWS min-hashes each bring sets together; two
+   sets of similarity 4/5 share no key with a chance of (1 - 0.8^4)^26, about one in a million. In each bucket every set is
+   paired with the bucket's head, another one in each bucket, so that most of a large class of near copies is joined by at most
+   BANDS checks a set;
+3. in buckets that still hold several classes, all pairs across them, in the first bucket that a pair shares. A bucket is cut into
+   blocks of about SIDE sets and every two blocks are a row: pairs are made in numpy inside a task, only their links leave it,
+   fewer than sets.
 
-In both, only pairs whose min-hashes agree at AGREE or more of 104 places are checked (83 are expected at 4/5, five standard
+In 2 and 3, only pairs whose min-hashes agree at AGREE or more of 104 places are checked (83 are expected at 4/5, five standard
 deviations more than AGREE).
 
 Defined results: null and empty texts are one class; the row that stays is that of the smallest doc_id, null last (of several
@@ -28,13 +32,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusframe.llm import arrays as A
+from locusframe.llm import simhash as S
 from locusframe.llm.simhash import _LOWER, components
 from locusframe.llm.store import written
 
 SHINGLE = 5
 BANDS, ROWS = 26, 4
 AGREE = 62
-SALTS = 8
+SIDE = 256
 #: Eight bytes of min-hashes make a long.
 PACKED = BANDS * ROWS // 8
 _U = np.uint64
@@ -74,7 +79,8 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def with_sketches(docs: DataFrame) -> DataFrame:
-    """rid (a hash of doc_id and text), doc_id, s (a hash of the set), n (its size), keys (one a band), mins (a byte each)."""
+    """rid (a hash of doc_id and text), doc_id, s (a hash of the set), n (its size), fp (the SimHash fingerprint), keys (one a
+    band), mins (a byte each)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,13 +97,14 @@ def with_sketches(docs: DataFrame) -> DataFrame:
                 made = [
                     pa.array((sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64)),
                     pa.array(np.diff(bounds).astype(np.int64)),
+                    pa.array(S.fingerprints(data, offsets).view(np.int64)),
                     _lists(keys.view(np.int64).ravel(), ends * BANDS),
                     _lists(np.ascontiguousarray((mins >> _U(40)).astype(np.uint8)).view(np.int64).ravel(), ends * PACKED),
                 ]
-                yield pa.RecordBatch.from_arrays([*own, *made], ["rid", "doc_id", "s", "n", "keys", "mins"])
+                yield pa.RecordBatch.from_arrays([*own, *made], ["rid", "doc_id", "s", "n", "fp", "keys", "mins"])
 
     rows = docs.select(F.xxhash64("doc_id", "text").alias("rid"), "doc_id", "text")
-    return rows.mapInArrow(task, "rid long, doc_id long, s long, n long, keys array<long>, mins array<long>")
+    return rows.mapInArrow(task, "rid long, doc_id long, s long, n long, fp long, keys array<long>, mins array<long>")
 
 
 def with_sets(docs: DataFrame) -> DataFrame:
@@ -127,14 +134,98 @@ def agreeing(a: Column, b: Column) -> Column:
     return out
 
 
-def checked(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b, of distinct sets) whose whole sets have a similarity of at least 4/5."""
-    pairs = written(pairs, "candidates")
-    used = pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct()
+def sets_of(docs: DataFrame, sets: DataFrame, used: DataFrame) -> DataFrame:
+    """s, hashes: the whole sets of those used (s)."""
     wanted = sets.select("s", F.col("least.rid").alias("of")).join(used, "s", "left_semi")
     rows = docs.select(F.xxhash64("doc_id", "text").alias("rid"), "text")
     texts = rows.join(wanted.select(F.col("of").alias("rid")), "rid", "left_semi").dropDuplicates(["rid"])
-    held = written(with_sets(texts).join(wanted, F.col("rid") == F.col("of")).select("s", "hashes"), "sets")
+    return with_sets(texts).join(wanted, F.col("rid") == F.col("of")).select("s", "hashes")
+
+
+def fingerprint_links(prints: DataFrame) -> DataFrame:
+    """a < b: sets whose texts operator 8 joins, each with the smallest of its class."""
+    held = prints.select("fp", "s").distinct()
+    label = components(S.links(held.select("fp").distinct(), radius=2))
+    named = written(held.join(label, F.col("fp") == F.col("v"), "left").select("s", F.coalesce("label", "fp").alias("c")).distinct(), "fingerprint-classes")
+    least = named.groupBy("c").agg(F.min("s").alias("a"), F.count(F.lit(1)).alias("of")).filter("of > 1")
+    return named.join(least, "c").filter("s <> a").select("a", F.col("s").alias("b"))
+
+
+class Block:
+    """The sets of a block: s, label, n, min-hashes (a byte each), keys, and the hashes of all, cut at bounds."""
+
+    def __init__(self, rows: pa.Array):
+        column = lambda name: rows.field(name).to_numpy(zero_copy_only=False)
+        self.s, self.label, self.n = column("s"), column("label"), column("n")
+        self.mins = rows.field("mins").flatten().to_numpy().view(np.uint8).reshape(len(rows), -1)
+        self.keys = rows.field("keys").flatten().to_numpy().reshape(len(rows), -1)
+        hashes = rows.field("hashes")
+        self.bounds = np.concatenate([[0], np.cumsum(hashes.value_lengths().to_numpy())])
+        self.hashes = hashes.flatten().to_numpy().view(_U)
+
+    def at(self, i: int) -> np.ndarray:
+        return self.hashes[self.bounds[i] : self.bounds[i + 1]]
+
+
+def similar_pairs(t: int, left: Block, right: Block, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs across classes whose first common key is in band t and whose whole sets have a similarity of at least 4/5."""
+    use = left.label[:, None] != right.label
+    use &= 5 * np.minimum(left.n[:, None], right.n) >= 4 * np.maximum(left.n[:, None], right.n)
+    if same:
+        use &= np.arange(len(left.s))[:, None] < np.arange(len(right.s))
+    for band in range(t):
+        use &= left.keys[:, band, None] != right.keys[:, band]
+    ones, others = [], []
+    for i in np.flatnonzero(use.any(axis=1)).tolist():
+        j = np.flatnonzero(use[i])
+        j = j[(left.mins[i] == right.mins[j]).sum(axis=1) >= AGREE]
+        if not len(j):
+            continue
+        mine = left.at(i)
+        theirs = A.gather(right.hashes, right.bounds[j], right.bounds[j + 1])
+        hit = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
+        common = np.add.reduceat(hit, np.concatenate([[0], np.cumsum(right.n[j])[:-1]]), dtype=np.int64)
+        j = j[5 * common >= 4 * (left.n[i] + right.n[j] - common)]
+        ones.append(np.full(len(j), i))
+        others.append(j)
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(ones), np.concatenate(others)) if ones else (none, none)
+
+
+def across(docs: DataFrame, sets: DataFrame, open_rows: DataFrame) -> DataFrame:
+    """a, b: links between the classes of each bucket (rows t, key, s, n, label), thinned to stars."""
+    sizes = open_rows.groupBy("t", "key").agg(F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("blocks"), F.count(F.lit(1)).alias("c"))
+    sizes = written(sizes, "open-sizes")
+    held = written(sets_of(docs, sets, open_rows.select("s").distinct()).join(sets.select("s", "mins", "keys"), "s"), "open-sets")
+    rows = open_rows.join(sizes, ["t", "key"]).join(held, "s")
+    block = F.pmod(F.xxhash64("s"), F.col("blocks")).cast("int")
+    lists = rows.groupBy("t", "key", "blocks", block.alias("x")).agg(F.collect_list(F.struct("s", "label", "n", "mins", "keys", "hashes")).alias("l"))
+    lists = written(lists, "open-blocks")
+    left = lists.select("t", "key", "x", "l", F.explode(F.sequence("x", F.col("blocks") - 1)).alias("y"))
+    both = left.join(lists.select("t", "key", F.col("x").alias("y"), F.col("l").alias("r")), ["t", "key", "y"]).select("t", "x", "y", "l", "r", "key")
+    dealt = sizes.agg(F.coalesce(F.sum(F.col("blocks") * F.col("c")), F.lit(0))).first()[0]
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), dealt // 4096)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            t, x, y = (batch.column(c).to_pylist() for c in range(3))
+            for row in range(batch.num_rows):
+                one, other = (Block(batch.column(c)[row].values) for c in (3, 4))
+                i, j = similar_pairs(t[row], one, other, x[row] == y[row])
+                if not len(i):
+                    continue
+                used, at = np.unique(np.concatenate([one.s[i], other.s[j]]), return_inverse=True)
+                label = S.stars(len(used), at[: len(i)], at[len(i) :])
+                new = label != np.arange(len(used))
+                yield pa.RecordBatch.from_arrays([pa.array(used[label[new]]), pa.array(used[new])], ["a", "b"])
+
+    return both.repartition(parts, "t", "key", "x", "y").mapInArrow(task, "a long, b long")
+
+
+def checked(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b, of distinct sets) whose whole sets have a similarity of at least 4/5."""
+    pairs = written(pairs, "candidates")
+    held = written(sets_of(docs, sets, pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct()), "sets")
     both = pairs.join(held.select(F.col("s").alias("a"), F.col("hashes").alias("x")), "a").join(held.select(F.col("s").alias("b"), F.col("hashes").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y")).cast("long")
     return written(both.filter(similar(common, F.size("x").cast("long"), F.size("y").cast("long"))).select("a", "b"), "similar")
@@ -155,17 +246,15 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = met.select(F.least("s", "head.s").alias("a"), F.greatest("s", "head.s").alias("b")).distinct()
     for side in ("a", "b"):
         met = met.join(sets.select(F.col("s").alias(side), F.col("mins").alias(f"mins_{side}")), side)
-    edges = checked(docs, sets, met.filter(agree >= AGREE).select("a", "b"))
+    met = met.filter(agree >= AGREE).select("a", "b").unionByName(fingerprint_links(prints)).distinct()
+    edges = checked(docs, sets, met)
     label = written(components(edges), "labels")
 
     open_rows = buckets.join(label.withColumnRenamed("v", "s"), "s", "left").select("t", "key", "s", "n", F.coalesce("label", "s").alias("label"))
     open_rows = written(open_rows, "open")
     several = open_rows.groupBy("t", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("t", "key")
-    open_rows = written(open_rows.join(several, ["t", "key"], "left_semi").join(sets.select("s", "mins"), "s"), "several")
-    left = open_rows.select("t", "key", F.pmod(F.xxhash64("s"), F.lit(SALTS)).cast("int").alias("salt"), *[F.col(c).alias(f"{c}_a") for c in ("s", "n", "label", "mins")])
-    right = open_rows.select("t", "key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), *[F.col(c).alias(f"{c}_b") for c in ("s", "n", "label", "mins")])
-    pairs = left.join(right, ["t", "key", "salt"]).filter("s_a < s_b and label_a <> label_b").filter(fits(F.col("n_a"), F.col("n_b")))
-    more = checked(docs, sets, pairs.filter(agree >= AGREE).select(F.col("s_a").alias("a"), F.col("s_b").alias("b")).distinct())
+    open_rows = written(open_rows.join(several, ["t", "key"], "left_semi"), "several")
+    more = written(across(docs, sets, open_rows), "across")
     if more.isEmpty():
         return sets, label
     return sets, written(components(edges.unionByName(more)), "labels")

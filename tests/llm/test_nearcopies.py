@@ -39,3 +39,42 @@ def test_stage_joins_what_brute_force_joins(spark):
     kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, SCHEMA), "")
     assert sorted(x.doc_id for x in kept.collect()) == sorted(set(roots.values()))
     assert len(set(roots.values())) < len(texts) / 2
+
+
+def test_simhash_candidates_are_searched_and_checked(spark, monkeypatch):
+    from locusframe.llm import nearcopies
+
+    # without the min-hash side, what operator 8 joins is still found, and checked
+    monkeypatch.setattr(nearcopies, "AGREE", 105)
+    r = random.Random(1)
+    base = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(900)]
+    rows = [(0, " ".join(base)), (1, " ".join([*base, "x"])), (2, " ".join(base[:-1])), (3, " ".join(base[::-1]))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    assert sorted(x.doc_id for x in nearcopies.keep_one(docs).collect()) == [0, 3]
+
+
+def test_open_buckets_in_blocks(spark, monkeypatch):
+    from locusframe.llm import nearcopies
+
+    # copies of one text that is not there, most pairs of them just below 0.8: buckets stay open and are cut into blocks
+    monkeypatch.setattr(nearcopies, "SIDE", 16)
+    r = random.Random(7)
+    base = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(150)]
+    texts = []
+    for _ in range(120):
+        copy = list(base)
+        for _ in range(r.randint(1, 4)):
+            copy[r.randrange(len(copy))] = "".join(r.choice("abcdefgh") for _ in range(6))
+        texts.append(" ".join(copy))
+    sets = [shingles(t) for t in texts]
+    roots = brute_components(list(range(len(sets))), lambda a, b: linked(sets[a], sets[b]))
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    assert sorted(x.doc_id for x in nearcopies.keep_one(docs).collect()) == sorted(set(roots.values()))
+    # no pair is a row: the step's only join is that of blocks
+    sketches = nearcopies.with_sketches(docs)
+    rows = sketches.selectExpr("s", "n", "posexplode(keys) as (t, key)", "s as label")
+    own = sketches.selectExpr("s", "n", "keys", "mins", "struct(false as none, doc_id, rid) as least")
+    got = nearcopies.across(docs, own, rows.select("t", "key", "s", "n", "label")).collect()
+    near = {frozenset((a, b)) for a in range(120) for b in range(a) if linked(sets[a], sets[b])}
+    names = {x.s: x.doc_id for x in sketches.select("s", "doc_id").collect()}
+    assert brute_components(list(range(120)), lambda a, b: frozenset((a, b)) in near) == brute_components(list(range(120)), lambda a, b: frozenset((a, b)) in {frozenset((names[x.a], names[x.b])) for x in got})
