@@ -13,18 +13,21 @@ Search: equal sets are one row. Candidates come from two sides, and every one is
    BANDS checks a set;
 3. in buckets that still hold several classes, all pairs across them, in the first bucket that a pair shares. A bucket is cut into
    blocks of about SIDE sets and every two blocks are a row: pairs are made in numpy inside a task, only their links leave it,
-   fewer than sets.
+   fewer than sets. A first pass of blocks, without whole sets, finds which sets have a pair to check; only those get them.
 
 In 2 and 3, only pairs whose min-hashes agree at AGREE or more of 104 places are checked (83 are expected at 4/5, five standard
 deviations more than AGREE).
 
+Texts are moved only if a bounded table of bits (MARKS words) does not rule them out: those whose sets are compared, and at the
+end those of repeated rows and rows that may go.
+
 Defined results: null and empty texts are one class; the row that stays is that of the smallest doc_id, null last (of several
 texts with it, the smallest hash); repeated rows are one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +45,8 @@ AGREE = 62
 SIDE = 256
 #: Eight bytes of min-hashes make a long.
 PACKED = BANDS * ROWS // 8
+#: Words of 64 bits that mark row keys; the table goes to all tasks, however many rows there are.
+MARKS = 1 << 17
 _U = np.uint64
 _KEYS = A.mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=_U)).reshape(2, -1)
 
@@ -107,16 +112,23 @@ def with_sketches(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(task, "rid long, doc_id long, s long, n long, fp long, keys array<long>, mins array<long>")
 
 
-def with_sets(docs: DataFrame) -> DataFrame:
-    """rid, hashes: the set of each text."""
+def with_sets(texts: DataFrame) -> DataFrame:
+    """s, hashes: the set of each text (s, text)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, end, data, offsets in A.chunks(batch.column(1)):
                 h, bounds = shingle_sets(data, offsets)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, end - at), _lists(h.view(np.int64), bounds)], ["rid", "hashes"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, end - at), _lists(h.view(np.int64), bounds)], ["s", "hashes"])
+
+    return texts.select("s", "text").mapInArrow(task, "s long, hashes array<long>")
+
 
-    return docs.mapInArrow(task, "rid long, hashes array<long>")
+def marked(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """rows and `hit`: false only for rows whose rid (a hash) is not among those of keys, so that these need not be moved."""
+    word, bit = F.pmod("rid", F.lit(MARKS)).alias("word"), "cast(shiftrightunsigned(rid, 40) & 63 as int)"
+    table = keys.groupBy(word).agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("bits"))
+    return rows.withColumn("word", word).join(F.broadcast(table), "word", "left").withColumn("hit", F.expr(f"coalesce(shiftrightunsigned(bits, {bit}) & 1L, 0L) = 1L")).drop("word", "bits")
 
 
 def similar(common: Column, n: Column, m: Column) -> Column:
@@ -136,10 +148,9 @@ def agreeing(a: Column, b: Column) -> Column:
 
 def sets_of(docs: DataFrame, sets: DataFrame, used: DataFrame) -> DataFrame:
     """s, hashes: the whole sets of those used (s)."""
-    wanted = sets.select("s", F.col("least.rid").alias("of")).join(used, "s", "left_semi")
-    rows = docs.select(F.xxhash64("doc_id", "text").alias("rid"), "text")
-    texts = rows.join(wanted.select(F.col("of").alias("rid")), "rid", "left_semi").dropDuplicates(["rid"])
-    return with_sets(texts).join(wanted, F.col("rid") == F.col("of")).select("s", "hashes")
+    wanted = written(sets.select("s", F.col("least.rid").alias("rid")).join(used, "s", "left_semi"), "wanted")
+    rows = marked(docs.select(F.xxhash64("doc_id", "text").alias("rid"), "text"), wanted).filter("hit")
+    return with_sets(rows.select("rid", "text").join(wanted, "rid").dropDuplicates(["rid"]))
 
 
 def fingerprint_links(prints: DataFrame) -> DataFrame:
@@ -152,35 +163,41 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
 
 
 class Block:
-    """The sets of a block: s, label, n, min-hashes (a byte each), keys, and the hashes of all, cut at bounds."""
+    """The sets of a block: s, label, n, min-hashes (a byte each), keys, and, if given, the hashes of all, cut at bounds."""
 
     def __init__(self, rows: pa.Array):
         column = lambda name: rows.field(name).to_numpy(zero_copy_only=False)
         self.s, self.label, self.n = column("s"), column("label"), column("n")
         self.mins = rows.field("mins").flatten().to_numpy().view(np.uint8).reshape(len(rows), -1)
         self.keys = rows.field("keys").flatten().to_numpy().reshape(len(rows), -1)
-        hashes = rows.field("hashes")
-        self.bounds = np.concatenate([[0], np.cumsum(hashes.value_lengths().to_numpy())])
-        self.hashes = hashes.flatten().to_numpy().view(_U)
+        if rows.type.get_field_index("hashes") >= 0:
+            hashes = rows.field("hashes")
+            self.bounds = np.concatenate([[0], np.cumsum(hashes.value_lengths().to_numpy())])
+            self.hashes = hashes.flatten().to_numpy().view(_U)
 
     def at(self, i: int) -> np.ndarray:
         return self.hashes[self.bounds[i] : self.bounds[i + 1]]
 
 
-def similar_pairs(t: int, left: Block, right: Block, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs across classes whose first common key is in band t and whose whole sets have a similarity of at least 4/5."""
+def likely_pairs(t: int, left: Block, right: Block, same: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, places j): pairs across classes whose first common key is in band t and whose sizes and min-hashes agree enough."""
     use = left.label[:, None] != right.label
     use &= 5 * np.minimum(left.n[:, None], right.n) >= 4 * np.maximum(left.n[:, None], right.n)
     if same:
         use &= np.arange(len(left.s))[:, None] < np.arange(len(right.s))
     for band in range(t):
         use &= left.keys[:, band, None] != right.keys[:, band]
-    ones, others = [], []
     for i in np.flatnonzero(use.any(axis=1)).tolist():
         j = np.flatnonzero(use[i])
         j = j[(left.mins[i] == right.mins[j]).sum(axis=1) >= AGREE]
-        if not len(j):
-            continue
+        if len(j):
+            yield i, j
+
+
+def similar_pairs(t: int, left: Block, right: Block, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Likely pairs whose whole sets have a similarity of at least 4/5."""
+    ones, others = [], []
+    for i, j in likely_pairs(t, left, right, same):
         mine = left.at(i)
         theirs = A.gather(right.hashes, right.bounds[j], right.bounds[j + 1])
         hit = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
@@ -192,34 +209,51 @@ def similar_pairs(t: int, left: Block, right: Block, same: bool) -> tuple[np.nda
     return (np.concatenate(ones), np.concatenate(others)) if ones else (none, none)
 
 
-def across(docs: DataFrame, sets: DataFrame, open_rows: DataFrame) -> DataFrame:
-    """a, b: links between the classes of each bucket (rows t, key, s, n, label), thinned to stars."""
-    sizes = open_rows.groupBy("t", "key").agg(F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("blocks"), F.count(F.lit(1)).alias("c"))
-    sizes = written(sizes, "open-sizes")
-    held = written(sets_of(docs, sets, open_rows.select("s").distinct()).join(sets.select("s", "mins", "keys"), "s"), "open-sets")
-    rows = open_rows.join(sizes, ["t", "key"]).join(held, "s")
+def in_blocks(rows: DataFrame, columns: list[str], name: str, task: Callable, schema: str) -> DataFrame:
+    """task(t, key, block, another, whether they are one) of every two blocks of each bucket (rows t, key, s and the columns)."""
+    sizes = rows.groupBy("t", "key").agg(F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("blocks"), F.count(F.lit(1)).alias("c"))
+    sizes = written(sizes, f"{name}-sizes")
     block = F.pmod(F.xxhash64("s"), F.col("blocks")).cast("int")
-    lists = rows.groupBy("t", "key", "blocks", block.alias("x")).agg(F.collect_list(F.struct("s", "label", "n", "mins", "keys", "hashes")).alias("l"))
-    lists = written(lists, "open-blocks")
+    lists = rows.join(sizes, ["t", "key"]).groupBy("t", "key", "blocks", block.alias("x")).agg(F.collect_list(F.struct(*columns)).alias("l"))
+    lists = written(lists, f"{name}-blocks")
     left = lists.select("t", "key", "x", "l", F.explode(F.sequence("x", F.col("blocks") - 1)).alias("y"))
     both = left.join(lists.select("t", "key", F.col("x").alias("y"), F.col("l").alias("r")), ["t", "key", "y"]).select("t", "x", "y", "l", "r", "key")
     dealt = sizes.agg(F.coalesce(F.sum(F.col("blocks") * F.col("c")), F.lit(0))).first()[0]
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), dealt // 4096)
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), dealt // 4096)
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            t, x, y = (batch.column(c).to_pylist() for c in range(3))
+            t, x, y, key = (batch.column(c).to_pylist() for c in (0, 1, 2, 5))
             for row in range(batch.num_rows):
                 one, other = (Block(batch.column(c)[row].values) for c in (3, 4))
-                i, j = similar_pairs(t[row], one, other, x[row] == y[row])
-                if not len(i):
-                    continue
-                used, at = np.unique(np.concatenate([one.s[i], other.s[j]]), return_inverse=True)
-                label = S.stars(len(used), at[: len(i)], at[len(i) :])
-                new = label != np.arange(len(used))
-                yield pa.RecordBatch.from_arrays([pa.array(used[label[new]]), pa.array(used[new])], ["a", "b"])
+                yield from task(t[row], key[row], one, other, x[row] == y[row])
+
+    return both.repartition(parts, "t", "key", "x", "y").mapInArrow(run, schema)
+
+
+def across(docs: DataFrame, sets: DataFrame, open_rows: DataFrame) -> DataFrame:
+    """a, b: links between the classes of each bucket (rows t, key, s, n, label), thinned to stars."""
+    columns = ["s", "label", "n", "mins", "keys"]
+
+    def likely(t: int, key: int, one: Block, other: Block, same: bool) -> Iterator[pa.RecordBatch]:
+        pairs = list(likely_pairs(t, one, other, same))
+        if pairs:
+            s = np.unique(np.concatenate([one.s[[i for i, _ in pairs]], *[other.s[j] for _, j in pairs]]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), t, np.int32)), pa.array(np.full(len(s), key)), pa.array(s)], ["t", "key", "s"])
+
+    def links(t: int, key: int, one: Block, other: Block, same: bool) -> Iterator[pa.RecordBatch]:
+        i, j = similar_pairs(t, one, other, same)
+        if len(i):
+            used, at = np.unique(np.concatenate([one.s[i], other.s[j]]), return_inverse=True)
+            label = S.stars(len(used), at[: len(i)], at[len(i) :])
+            new = label != np.arange(len(used))
+            yield pa.RecordBatch.from_arrays([pa.array(used[label[new]]), pa.array(used[new])], ["a", "b"])
 
-    return both.repartition(parts, "t", "key", "x", "y").mapInArrow(task, "a long, b long")
+    rows = open_rows.join(sets.select("s", "mins", "keys"), "s")
+    near = written(in_blocks(rows, columns, "open", likely, "t int, key long, s long").distinct(), "likely")
+    held = written(sets_of(docs, sets, near.select("s").distinct()), "likely-sets")
+    rows = rows.join(near, ["t", "key", "s"], "left_semi").join(held, "s")
+    return in_blocks(rows, [*columns, "hashes"], "likely", links, "a long, b long")
 
 
 def checked(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -231,8 +265,8 @@ def checked(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return written(both.filter(similar(common, F.size("x").cast("long"), F.size("y").cast("long"))).select("a", "b"), "similar")
 
 
-def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(one row a set with its first row, the class of each set that is not its class's smallest)."""
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(one row a row of docs, one a set with its first row, the class of each set that is not its class's smallest)."""
     prints = written(with_sketches(docs), "sketches")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
     sets = written(prints.groupBy("s").agg(F.min(first).alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("mins").alias("mins")), "sets")
@@ -256,14 +290,18 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     open_rows = written(open_rows.join(several, ["t", "key"], "left_semi"), "several")
     more = written(across(docs, sets, open_rows), "across")
     if more.isEmpty():
-        return sets, label
-    return sets, written(components(edges.unionByName(more)), "labels")
+        return prints, sets, label
+    return prints, sets, written(components(edges.unionByName(more)), "labels")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of docs for each class of near copies."""
-    sets, label = _classes(docs)
+    prints, sets, label = _classes(docs)
     named = sets.select("s", "least").join(label, sets["s"] == label["v"], "left").select("least", F.coalesce("label", "s").alias("label"))
-    kept = named.groupBy("label").agg(F.min("least").alias("kept")).select(F.col("kept.rid").alias("kept_rid"))
-    rows = docs.join(kept, F.xxhash64(docs["doc_id"], docs["text"]) == kept["kept_rid"], "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    kept = written(named.groupBy("label").agg(F.min("least").alias("kept")).select(F.col("kept.rid").alias("kept_rid")), "kept")
+    # single rows that stay are not moved; the others meet the keys of what stays
+    times = prints.groupBy("rid").agg(F.count(F.lit(1)).alias("c"))
+    odd = written(times.join(kept, F.col("rid") == F.col("kept_rid"), "left").filter("c > 1 or kept_rid is null").select("rid"), "odd-rows")
+    rows = marked(docs.select(F.xxhash64("doc_id", "text").alias("rid"), F.struct(*docs.columns).alias("row")), odd)
+    some = rows.filter("hit").join(kept, F.col("rid") == F.col("kept_rid"), "left_semi").select("rid", F.col("row.doc_id").alias("doc"), F.col("row.text").alias("text"), "row")
+    return rows.filter("not hit").select("row.*").unionByName(some.dropDuplicates(["rid", "doc", "text"]).select("row.*"))

@@ -78,3 +78,43 @@ def test_open_buckets_in_blocks(spark, monkeypatch):
     near = {frozenset((a, b)) for a in range(120) for b in range(a) if linked(sets[a], sets[b])}
     names = {x.s: x.doc_id for x in sketches.select("s", "doc_id").collect()}
     assert brute_components(list(range(120)), lambda a, b: frozenset((a, b)) in near) == brute_components(list(range(120)), lambda a, b: frozenset((a, b)) in {frozenset((names[x.a], names[x.b])) for x in got})
+
+
+def test_only_texts_of_likely_pairs_are_moved(spark, monkeypatch):
+    from locusframe.llm import nearcopies
+
+    r = random.Random(3)
+    texts = [" ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(80)) for _ in range(60)]
+    texts += [f"{texts[0]} one", f"{texts[0]} two"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA).repartition(1)
+    sketches = nearcopies.with_sketches(docs)
+    own = sketches.selectExpr("s", "n", "keys", "mins", "struct(false as none, doc_id, rid) as least")
+    # all stand in one bucket by the first band's key, as sets that share a band by chance do
+    rows = sketches.selectExpr("0 as t", "7L as key", "s", "n", "s as label")
+    moved, with_sets = [], nearcopies.with_sets
+    monkeypatch.setattr(nearcopies, "with_sets", lambda texts: moved.append(texts.count()) or with_sets(texts))
+    names = {x.s: x.doc_id for x in sketches.select("s", "doc_id").collect()}
+    got = nearcopies.across(docs, own, rows).collect()
+    assert {names[v] for x in got for v in (x.a, x.b)} == {0, 60, 61} and moved == [3]
+
+
+def test_rows_are_marked_by_their_keys(spark, monkeypatch):
+    from locusframe.llm import nearcopies
+
+    rows = spark.range(4000).selectExpr("xxhash64(id) as rid", "id as i")
+    keys = rows.filter("i % 20 = 0").select("rid")
+    hits = [x.i for x in nearcopies.marked(rows, keys).filter("hit").collect()]
+    assert sorted(hits) == list(range(0, 4000, 20))
+    # a table that is too full rules out nothing, and still loses nothing
+    monkeypatch.setattr(nearcopies, "MARKS", 2)
+    assert set(range(0, 4000, 20)) < {x.i for x in nearcopies.marked(rows, keys).filter("hit").collect()}
+    assert nearcopies.marked(rows, keys.limit(0)).filter("hit").count() == 0
+
+
+def test_repeated_rows_are_one_and_clashing_columns_stay(spark):
+    from locusframe.llm import nearcopies
+
+    row = (5, "some text of a few words here", 1, 2)
+    docs = spark.createDataFrame([row, row, (None, "other words", 1, 3), (6, None, 2, 2), (7, "", 2, 2)], "doc_id long, text string, word int, rid int")
+    got = nearcopies.keep_one(docs)
+    assert got.columns == docs.columns and sorted(got.collect(), key=str) == sorted([row, (None, "other words", 1, 3), (6, None, 2, 2)], key=str)
