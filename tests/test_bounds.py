@@ -45,3 +45,20 @@ def test_opened_stretches_and_draws_are_dealt_to_several_tasks(spark, monkeypatc
     # the stretches are a few small rows, which Spark would put into one partition
     assert tasks(of.below()) > 1 and tasks(T.comparison_groups(of, 2)) > 1
     assert of.below().count() == 600 and T.comparison_groups(of, 2).count() == 600
+
+
+def test_jaccard_leaves_no_pairs_to_a_shuffle(spark, monkeypatch):
+    import random
+
+    r = random.Random(6)
+    sets = {f"s{i}": {r.randrange(60) ** 2 for _ in range(r.randint(1, 12))} for i in range(150)}
+    rows = [(k, x) for k, v in sets.items() for x in v] + [("s1", None), (None, 1), ("alone", -1)]
+    frame = spark.createDataFrame(rows + rows[:40], "sample string, kmer long")
+    want = {(a, b): (len(sets[a] & sets[b]), len(sets[a] | sets[b])) for a in sets for b in sets if a < b and sets[a] & sets[b]}
+    for blocks, pairs in ((1, 1 << 20), (4, 100), (None, 7)):
+        monkeypatch.setattr(K, "PAIRS", pairs)
+        got = K.jaccard(frame, blocks=blocks)
+        assert sorted((x.a, x.b, x.common, x.total) for x in got.collect()) == sorted((*k, *v) for k, v in want.items())
+    # counted in the last step, from blocks: nothing is moved after it
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("MapInArrow")[0].split("Initial Plan")[0] and K.jaccard(frame.limit(0)).count() == 0
