@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from locusframe import intervals as I
 from locusframe import spacing
+from locusframe.sources import kept
 
 SITE = ["contig", "pos", "ref"]
 
@@ -29,7 +30,10 @@ def site_flags(genotypes: DataFrame, ns_as_ref: bool = False) -> DataFrame:
 
 def site_filter(genotypes: DataFrame, mask: DataFrame | None = None, ambiguities: bool = False, invariant: bool = False, ns_as_ref: bool = False, flanking: int = 0) -> DataFrame:
     """The main filter. Sites in the mask, all-missing ones, those with ambiguity (unless `ambiguities`), and those without
-    variation (unless `invariant`) go; of the rest, sites closer than `flanking` to the last one kept."""
+    variation (unless `invariant`) go; of the rest, sites closer than `flanking` to the last one kept.
+
+    Genotypes are flagged and then taken, and thinning reads its sites several times: both are written once."""
+    genotypes = kept(genotypes, "genotypes")
     good = site_flags(genotypes, ns_as_ref).filter("missing < n")
     if not ambiguities:
         good = good.filter("ambiguous = 0")
@@ -38,7 +42,7 @@ def site_filter(genotypes: DataFrame, mask: DataFrame | None = None, ambiguities
     if mask is not None:
         good = I.outside(good, mask)
     if flanking:
-        good = spacing.thin(good.filter(F.col("pos") >= flanking), flanking)
+        good = spacing.thin(kept(good.filter(F.col("pos") >= flanking), "good-sites"), flanking)
     return _keep(genotypes, good, SITE)
 
 

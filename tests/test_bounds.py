@@ -62,3 +62,23 @@ def test_jaccard_leaves_no_pairs_to_a_shuffle(spark, monkeypatch):
     # counted in the last step, from blocks: nothing is moved after it
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan.split("MapInArrow")[0].split("Initial Plan")[0] and K.jaccard(frame.limit(0)).count() == 0
+
+
+def test_site_filter_reads_its_genotypes_once(spark):
+    from pyspark.sql import functions as F
+
+    from locusframe import sites as S
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def task(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [("c", p, "A", s, "ACGT"[(p + s) % 4]) for p in range(1, 400, 7) for s in range(3)]
+    frame = spark.createDataFrame(rows, "contig string, pos long, ref string, sample long, nt string")
+    mask = spark.createDataFrame([("c", 100, 150)], "contig string, lo long, hi long")
+    got = S.site_filter(frame.mapInArrow(task, frame.schema), mask=mask, flanking=50)
+    assert sorted(x.pos for x in got.select("pos").distinct().collect()) == [50, 155, 211, 267, 323, 379]
+    assert got.agg(F.count(F.lit(1))).first()[0] == 18 and seen.value == len(rows)
