@@ -82,3 +82,45 @@ def test_site_filter_reads_its_genotypes_once(spark):
     got = S.site_filter(frame.mapInArrow(task, frame.schema), mask=mask, flanking=50)
     assert sorted(x.pos for x in got.select("pos").distinct().collect()) == [50, 155, 211, 267, 323, 379]
     assert got.agg(F.count(F.lit(1))).first()[0] == 18 and seen.value == len(rows)
+
+
+def test_chunks_of_texts_take_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from locusframe.llm import arrays as A
+    from locusframe.llm import nearcopies, quality
+    from locusframe.llm.repeats import Tokens
+
+    column = pa.array([" ".join(f"w{(i * j) % 977}" for j in range(400)) for i in range(3000)] + [None, ""])
+    tracemalloc.start()
+    try:
+        for work in (quality.measure, nearcopies.shingle_sets, lambda *x: (t := Tokens("words", 35, 10)).runs(*t.hashes(*x))):
+            rows = 0
+            for at, end, data, offsets in A.chunks(column):
+                work(data, offsets)
+                rows += end - at
+            assert rows == 3002
+        assert tracemalloc.get_traced_memory()[1] < 64 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_batch_gives_its_memory_back():
+    import subprocess
+    import sys
+
+    # many small pieces, then one that stands behind them: the allocator alone keeps them all
+    code = """
+import pyarrow as pa
+from locusframe.llm import arrays as A
+held = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096 >> 20
+before = held()
+for _ in A.chunks(pa.array(["a b"])):
+    pieces = [bytes(100_000) for _ in range(2000)]
+    last = bytes(100_000)
+    del pieces
+print(held() - before)
+"""
+    assert int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout) < 60
