@@ -114,6 +114,29 @@ def test_nearest_is_exact(dense):
         assert rows[0] not in out
 
 
+def test_like_examples_share_blocks():
+    r, size = random.Random(9), 400
+    vectors = []
+    for i in range(8 * toxicity.BLOCK - 5):
+        topic = i % 8 * 50
+        ids = np.array(sorted({r.randrange(topic, topic + 50) for _ in range(12)} | {r.randrange(size)}))
+        vectors.append((ids, np.full(len(ids), len(ids) ** -0.5)))
+    order = toxicity.coherent(vectors, size)
+    assert sorted(order.tolist()) == list(range(len(vectors))) and toxicity.coherent([], size).tolist() == []
+    same = toxicity.coherent([vectors[0]] * 100, size)
+    assert sorted(same.tolist()) == list(range(100))
+    built = []
+    for rows in (range(len(vectors)), order.tolist()):
+        out = toxicity.Index({str(i): i for i in range(size)}, np.ones(size))
+        out.build([vectors[i] for i in rows], 2.0)
+        built.append(out)
+    assert 2 * len(built[1].postings) < len(built[0].postings)
+    for v in vectors[:40]:
+        (_, want), (rows, got) = (x.nearest(v) for x in built)
+        assert got == pytest.approx(want)
+        assert got == pytest.approx([sum(dict(zip(*v))[t] * y for t, y in zip(*vectors[order[i]]) if t in dict(zip(*v))) for i in rows])
+
+
 def test_finder_matches_counting():
     r = random.Random(5)
     texts = [words(r, "abc", r.randint(0, 60)) for _ in range(50)] + [None, "", "Aaaa aaaa AAAA aaaa aaaa"]
